@@ -29,6 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers started from here on import this package by reference."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")  # texts can be long
     env = spark.sparkContext.environment
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in known:
