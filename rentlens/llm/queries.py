@@ -6,20 +6,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship, table
+from . import byte_bpe, packing, token_files
 from .line_dedup import dedup_lines
 from .quality_rules import PHRASES, SEPARATORS, apply_rules
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.col("clean_text").alias("text"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.new_path(spark)
+    token_files.write(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return token_files.read(spark, path)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = apply_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "chars_lost")
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encode_column(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern).drop("text")
+    return byte_bpe.decode_column(ids, ranks, pattern).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("bytes"), 256).alias("decoded_sha256"),
+    )
+
+
 SQL_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 OP4_SQL = f"""
@@ -86,5 +117,5 @@ def _shipped(f):
     return query
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op4_line_dedup, op6_quality_rules)}
+QUERIES = {f.__name__: _shipped(f) for f in (op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op9_byte_bpe)}
 ORACLE = {"op4_line_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
