@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship, table
-from . import byte_bpe, packing, token_files
+from ..session import cut, ship, table
+from . import byte_bpe, language_id, packing, token_files, url_filters
+from . import quality_classifier as quality
 from .line_dedup import dedup_lines
 from .quality_rules import PHRASES, SEPARATORS, apply_rules
 
@@ -18,6 +19,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", language_id.bucket("doc_id", 3) == 1)
+    stats = cut(quality.describe(docs))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.avg("quality").alias("label"))
+    model = quality.fit(stats.filter(~F.col("held_out")).join(labels, "doc_id"))
+    return quality.score(stats, model).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a page's url ends with the number of its document, to which the labels belong
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.try_to_number(F.regexp_extract("url", "/([0-9]{1,18})(?:\\.html)?/?(?:[?#].*)?$", 1), F.lit("9" * 18)).cast("long")
+    bad = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
+    labelled = pages.select("url", number.alias("doc_id")).join(bad, "doc_id").select("url", "blocked")
+    return url_filters.judge(pages, labelled).select("page_id", "host", "path", "rule", "verdict", "mined_rule")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -38,6 +56,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_failed_lines", "chars_lost")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.bucket("doc_id", 4) == 2)
+    model = language_id.train(docs.filter(~F.col("held_out")), "text", "lang")
+    return language_id.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -117,5 +141,5 @@ def _shipped(f):
     return query
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op9_byte_bpe)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_quality_classifier, op2_url_filters, op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op7_language_id, op9_byte_bpe)}
 ORACLE = {"op4_line_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
