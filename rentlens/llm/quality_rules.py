@@ -30,11 +30,23 @@ OUTPUT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def _repeat_words(words: Column) -> Column:
-    """Positions inside three-word windows that occur twice or more, counted once each."""
+    """Positions inside three-word windows that occur twice or more, counted once each.
+
+    Hashes of the windows tell which may repeat; only those are then compared as strings."""
+
+    def hashes(w: Column) -> Column:
+        n = F.size(w) - 2
+        h = F.transform(w, lambda x: F.xxhash64(x))
+        return T.let(h, lambda h: F.zip_with(F.zip_with(F.slice(h, 1, n), F.slice(h, 2, n), lambda a, b: F.xxhash64(a, b)), F.slice(h, 3, n), lambda ab, c: F.xxhash64(ab, c)))
+
+    def exact(w: Column, h: Column) -> Column:
+        ordered = F.sort_array(h)
+        twice = T.let(ordered, lambda s: F.array_distinct(F.filter(F.zip_with(s, F.slice(s, 2, F.size(s)), lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())))
+        places = T.let(twice, lambda d: F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(d, x), i)), lambda i: i.isNotNull()))
+        return _covered(F.transform(places, lambda i: F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("w"), i.alias("i"))))
 
     def covered(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-        return T.let(windows, lambda x: F.when(F.size(F.array_distinct(x)) == F.size(x), F.lit(0)).otherwise(_covered(x)))
+        return T.let(hashes(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(exact(w, h)))
 
     return T.let(words, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(covered(w)))
 
@@ -49,23 +61,25 @@ def _covered(windows: Column) -> Column:
 
         return F.filter(F.transform(s, place), lambda i: i.isNotNull())
 
-    ordered = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    places = T.let(ordered, repeated)
+    places = T.let(F.sort_array(windows), repeated)
     return F.size(F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(i, i + 1, i + 2)))))
 
 
 def _failed(line: Column) -> Column:
     """Whether a line that has words fails one of the three rules."""
-    trimmed = F.trim(F.translate(line, "\t\x0b\x0c\r", "    "))
-    n = F.size(T.words(line))
-    doubled = (F.length(line) - F.length(F.replace(F.replace(line, F.lit("!!"), F.lit("")), F.lit("??"), F.lit("")))) / 2
+    end = F.right(F.expr("rtrim(' \t\x0b\x0c\r', __line)") if False else F.rtrim(line, F.lit(T.BLANKS)), F.lit(4))
+    n = F.regexp_count(line, F.lit(T.WORD_START_RE))
+    doubled = F.length(line) - F.length(F.replace(F.replace(line, F.lit("!!"), F.lit("")), F.lit("??"), F.lit("")))
+    bars = T.count(line, SEPARATORS)
     low = F.lower(line)
     phrase = low.contains(PHRASES[0])
     for p in PHRASES[1:]:
         phrase = phrase | low.contains(p)
-    punctuation = ~trimmed.rlike(CLOSING) | (2 * doubled >= n) | (3 * T.without(line, SYMBOLS) >= n)
-    navigation = (T.without(line, SEPARATORS) >= 3) & (4 * T.without(line, SEPARATORS) >= n)
-    return punctuation | navigation | phrase
+    rules = T.let(
+        F.struct(n.alias("n"), doubled.alias("d"), bars.alias("b"), T.count(line, SYMBOLS).alias("s")),
+        lambda x: ~end.rlike(CLOSING) | (x["d"] >= x["n"]) | (3 * x["s"] >= x["n"]) | ((x["b"] >= 3) & (4 * x["b"] >= x["n"])),
+    )
+    return rules | phrase
 
 
 def apply_rules(df: DataFrame, text: str = "text", *, min_words: int = 50, max_repeat: float = 0.5, max_loss: float = 0.5) -> DataFrame:
@@ -83,7 +97,7 @@ def apply_rules(df: DataFrame, text: str = "text", *, min_words: int = 50, max_r
                 F.size(full).cast("long").alias("n_lines"),
                 (F.size(full) - F.size(F.array_distinct(F.transform(full, lambda x: x["line"])))).cast("long").alias("n_dup_lines"),
                 F.size(F.filter(full, lambda x: x["bad"])).cast("long").alias("n_failed_lines"),
-                F.aggregate(F.filter(full, lambda x: x["bad"]), F.lit(0), lambda a, x: a + F.length(F.translate(x["line"], T.BLANKS, ""))).cast("long").alias("chars_lost"),
+                F.aggregate(F.filter(full, lambda x: x["bad"]), F.lit(0), lambda a, x: a + T.solid(x["line"])).cast("long").alias("chars_lost"),
                 F.array_join(F.transform(F.filter(j, lambda x: ~x["bad"]), lambda x: x["line"]), "\n").alias("clean_text"),
             ),
         ),
@@ -91,11 +105,11 @@ def apply_rules(df: DataFrame, text: str = "text", *, min_words: int = 50, max_r
     counts = T.let(T.words(F.col(text)), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words")))
     base = df.withColumns({"__facts": facts, "__counts": counts})
     f, c = F.col("__facts"), F.col("__counts")
-    word_chars = F.length(F.translate(body, T.BLANKS, "")).cast("long")
+    word_chars = T.solid(body).cast("long")
     failed = (c["n_words"] < min_words) | (c["n_repeat_words"] > max_repeat * c["n_words"])
     return base.withColumns(
         {
-            "n_words": c["n_words"], "word_chars": word_chars, "n_symbols": T.without(body, SYMBOLS).cast("long"),
+            "n_words": c["n_words"], "word_chars": word_chars, "n_symbols": T.count(body, SYMBOLS).cast("long"),
             "n_dup_lines": f["n_dup_lines"], "n_repeat_words": c["n_repeat_words"], "n_lines": f["n_lines"],
             "n_failed_lines": f["n_failed_lines"], "chars_lost": f["chars_lost"], "base_failed": failed,
             "kept": ~failed & (f["chars_lost"] <= max_loss * word_chars), "clean_text": f["clean_text"],

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RE = "[\\x20\\x09-\\x0D]+"
 WORD_RE = "[^\\x20\\x09-\\x0D]"
+WORD_START_RE = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -30,12 +31,17 @@ def lines(text: Column) -> Column:
 
 
 def has_word(line: Column) -> Column:
-    return F.length(F.translate(line, BLANKS, "")) > 0
+    return line.rlike(WORD_RE)
 
 
-def without(text: Column, chars: str) -> Column:
-    """Number of the characters of text that are among chars."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def count(text: Column, chars: str) -> Column:
+    """How many characters of text are among chars."""
+    return F.regexp_count(text, F.lit("[" + "".join("\\" + c if c in "\\]^-[&" else c for c in chars) + "]"))
+
+
+def solid(text: Column) -> Column:
+    """Characters other than blanks."""
+    return F.length(text) - F.regexp_count(text, F.lit("[\\x20\\x09-\\x0D]"))
 
 
 def lower_ascii(text: Column) -> Column:
