@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, ship, table
-from . import byte_bpe, language_id, packing, token_files, url_filters
+from . import byte_bpe, language_id, ngram_join, packing, token_files, url_filters
 from . import quality_classifier as quality
 from .line_dedup import dedup_lines
 from .quality_rules import PHRASES, SEPARATORS, apply_rules
@@ -75,6 +75,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
 SQL_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 OP4_SQL = f"""
@@ -109,7 +113,7 @@ ls as (select doc_id, unnest(string_split(body, chr(10))) as line from d),
 f as (
   select doc_id, line, length(translate(line, {SQL_BLANKS}, '')) as chars,
          len([x for x in regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+') if x <> '']) as n,
-         trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    '), ' ') as trimmed
+         right(rtrim(line, {SQL_BLANKS}), 4) as trimmed
   from ls where length(translate(line, {SQL_BLANKS}, '')) > 0),
 judged as (
   select *, not regexp_matches(trimmed, '[.!?:;\\x{{2026}}]["'')\\]\\x{{00BB}}\\x{{201D}}]*$')
@@ -141,5 +145,5 @@ def _shipped(f):
     return query
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_quality_classifier, op2_url_filters, op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op7_language_id, op9_byte_bpe)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_quality_classifier, op2_url_filters, op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op7_language_id, op9_byte_bpe, op10_ngram_join)}
 ORACLE = {"op4_line_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
