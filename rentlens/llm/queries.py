@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, ship, table
-from . import byte_bpe, language_id, ngram_join, packing, token_files, url_filters
+from . import byte_bpe, embedding_dedup, language_id, ngram_join, packing, token_files, url_filters
 from . import quality_classifier as quality
 from .line_dedup import dedup_lines
 from .quality_rules import PHRASES, SEPARATORS, apply_rules
@@ -62,6 +62,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -137,6 +141,24 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
 """
 
 
+OP8_SQL = """
+with recursive e as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and list_sum([case when x is null or isnan(x) or isinf(x) then 1 else 0 end for x in embedding]) = 0
+    and list_sum([abs(x) for x in embedding]) > 0),
+pairs as (
+  select a.vec_id as a, b.vec_id as b from e a join e b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(node, low) as (
+  select a, a from pairs union select p.b, r.low from reach r join pairs p on p.a = r.node where r.low < p.b),
+c as (select node, min(low) as low from reach group by node),
+n as (select a, count(*) as n from pairs group by a)
+select vec_id, coalesce(n.n, 0) as n_links, coalesce(c.low, vec_id) as component_id, coalesce(c.low, vec_id) = vec_id as kept
+from embeddings left join c on c.node = vec_id left join n on n.a = vec_id
+"""
+
+
 def _shipped(f):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -145,5 +167,5 @@ def _shipped(f):
     return query
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_quality_classifier, op2_url_filters, op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op7_language_id, op9_byte_bpe, op10_ngram_join)}
-ORACLE = {"op4_line_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_quality_classifier, op2_url_filters, op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op7_language_id, op8_embedding_dedup, op9_byte_bpe, op10_ngram_join)}
+ORACLE = {"op4_line_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL, "op8_embedding_dedup": OP8_SQL}
