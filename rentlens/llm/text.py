@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.scalars import let as let
+
 #: White space between words, and the letters that are lower-cased.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RE = "[\\x20\\x09-\\x0D]+"
@@ -15,11 +15,6 @@ WORD_START_RE = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with value computed once for each row even inside lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def words(text: Column) -> Column:
     """Array of words; empty for null or blank text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK_RE, -1), "")
