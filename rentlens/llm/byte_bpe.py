@@ -9,7 +9,7 @@ growing window of the right one's parts, until a match ends where a part of the
 LOOK characters of the window follow. A match depends only on what follows its start, so all parts
 beyond are what they would be in the whole text.
 
-Byte level: a part that is a token is that token. Else short byte strings are merged by rank; longer
+Byte level: a part that is a token is that token. Else byte strings of up to UNIT bytes are merged by rank (and remembered); longer
 ones are halved, and joined by merging a window of tokens at the border anew, growing until its
 outermost tokens come out as they were. Every neighbouring pair of the result then stands next to each other
 in some right encoding; an encoding all of whose neighbouring pairs do is the right one, so
@@ -23,13 +23,17 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LEAF, LOOK, SHORT, KEPT = 4096, 4, 24, 200_000
+LEAF, LOOK, UNIT, SHORT, KEPT = 4096, 4, 6, 24, 400_000
 NONE = 1 << 60
 
 
@@ -38,11 +42,28 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+class _Memo(dict):
+    """Ids of strings already met; at most KEPT of them, and no long ones."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, part: str) -> tuple[int, ...]:
+        ids = self.make(part)
+        if len(self) >= KEPT:
+            self.clear()
+        if len(part) <= SHORT:
+            self[part] = ids
+        return ids
+
+
 class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.tokens = ranks, {i: b for b, i in ranks.items()}
         self.match = regex.compile(pattern).findall
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.units = _Memo(lambda data: tuple(self.merge(data)))
+        self.memo = _Memo(self.piece)
 
     # text level
 
@@ -87,47 +108,37 @@ class ByteBpe:
                 break
             i = pairs.index(low)
             parts[i] += parts.pop(i + 1)
-            pairs.pop(i)
+            del pairs[i]
             if i < len(pairs):
                 pairs[i] = ranks.get(parts[i] + parts[i + 1], NONE)
             if i:
                 pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], NONE)
         return [ranks[p] for p in parts]
 
-    def tree(self, data: bytes) -> list[int]:
-        if len(data) <= SHORT:
-            return self.merge(data)
+    def tree(self, data: bytes) -> tuple[int, ...]:
+        if len(data) <= UNIT:
+            return self.units[data]
         half = len(data) // 2
         return self.join_ids(self.tree(data[:half]), self.tree(data[half:]))
 
-    def join_ids(self, left: list[int], right: list[int]) -> list[int]:
+    def join_ids(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         width = 1
         while True:
             a, b = left[-width:], right[:width]
-            ids = self.merge(self.decode(a) + self.decode(b))
+            data = self.decode(a) + self.decode(b)
+            ids = self.units[data] if len(data) <= SHORT else tuple(self.merge(data))
             settled = (len(a) == len(left) or ids[0] == a[0]) and (len(b) == len(right) or ids[-1] == b[-1])
             if settled:
                 return left[: len(left) - len(a)] + ids + right[len(b) :]
             width *= 2
 
     def piece(self, part: str) -> tuple[int, ...]:
-        ids = self.memo.get(part)
-        if ids is None:
-            data = part.encode()
-            whole = self.ranks.get(data)
-            ids = tuple(self.tree(data)) if whole is None else (whole,)
-            if len(self.memo) >= KEPT:
-                self.memo.clear()
-            if len(part) <= SHORT:
-                self.memo[part] = ids
-        return ids
+        data = part.encode()
+        whole = self.ranks.get(data)
+        return self.tree(data) if whole is None else (whole,)
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        extend, memo, piece = out.extend, self.memo.get, self.piece
-        for part in self.parts(text):
-            extend(memo(part) or piece(part))
-        return out
+        return list(chain.from_iterable(map(self.memo.__getitem__, self.parts(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= LEAF:
@@ -145,25 +156,38 @@ def load(path: str, pattern: str) -> ByteBpe:
     return _LOADED[path, pattern]
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, arrow: pa.DataType, make) -> DataFrame:
+def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, make) -> DataFrame:
     keep = [c for c in df.columns if c != name or c == source]
-    df = df.select(*[f"`{c}`" for c in keep])
+    df = df.select(*[F.col(f"`{c}`") for c in keep])
     others = [c for c in keep if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                made = pa.array(make(part.column(source).to_pylist()), arrow)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), made], [*others, name])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), make(part.column(source))], [*others, name])
 
     return df.mapInArrow(run, T.StructType([*(df.schema[c] for c in others), T.StructField(name, kind)]))
 
 
 def encode_column(df: DataFrame, ranks: str, pattern: str, text: str = "text", name: str = "ids") -> DataFrame:
     """df with an array<int> column of the text's ids."""
-    return _with_column(df, text, name, T.ArrayType(T.IntegerType(), False), pa.list_(pa.int32()), lambda texts: [load(ranks, pattern).encode(t or "") for t in texts])
+
+    def make(texts: pa.Array) -> pa.Array:
+        ids = [load(ranks, pattern).encode(t or "") for t in texts.to_pylist()]
+        ends = np.cumsum([len(x) for x in ids], dtype=np.int32)
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]) if len(ends) else 0)
+        return pa.ListArray.from_arrays(pa.array(np.append(np.int32(0), ends).astype(np.int32)), pa.array(flat))
+
+    return _with_column(df, text, name, T.ArrayType(T.IntegerType(), False), make)
 
 
 def decode_column(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", name: str = "bytes") -> DataFrame:
     """df with a binary column of the ids' bytes."""
-    return _with_column(df, ids, name, T.BinaryType(), pa.binary(), lambda rows: [load(ranks, pattern).decode(r or []) for r in rows])
+
+    def make(rows: pa.Array) -> pa.Array:
+        values = rows.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False))
+        decode = load(ranks, pattern).decode
+        return pa.array([decode(values[a:b].tolist()) for a, b in zip(np.append(0, ends[:-1]).astype(int), ends)], pa.binary())
+
+    return _with_column(df, ids, name, T.BinaryType(), make)
