@@ -142,8 +142,9 @@ class Model:
             for column in rows.T:
                 after = self.flat[state + column]
                 miss = after == 0
-                count += miss
                 again = self.flat[root + column]
+                # a phrase ends before the letter; one that the reference lacks is a phrase of its own
+                count += (miss & (state != root)) + (again == 0).astype(np.int32)
                 state = np.where(miss, np.where(again == 0, root, again), after)
             count += state != root
         return out
