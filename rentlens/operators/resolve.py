@@ -112,9 +112,10 @@ def cliques(hits: DataFrame) -> DataFrame:
     Greedy by degree (ties by id): a choice never looks past a connected component, so components are worked on apart. A
     node's degree is bounded by its blocks, which are capped."""
     hits = cut(hits.select("a", "b"))
-    comp = components(hits)
-    grouped = hits.join(comp.withColumnsRenamed({"node": "a"}), "a")
     kind = hits.schema["a"].dataType.simpleString()
+    # components() takes integers: number the nodes by a hash (a collision would only join two components, which stays right)
+    comp = components(hits.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")))
+    grouped = hits.withColumn("node", F.xxhash64("a")).join(comp, "node")
 
     def greedy(edges: pd.DataFrame) -> pd.DataFrame:
         near: dict = {}

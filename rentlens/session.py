@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -54,3 +55,9 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder and read it back, so that later jobs don't recompute it."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle and checkpoint files of finished rounds; it does so once the driver has dropped what refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
