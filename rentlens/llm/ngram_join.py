@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from ..session import cut
+from ..session import cut, release
 
 SKETCH = 1 << 18
 RUN = 128
@@ -308,7 +308,7 @@ def _chunked(members: DataFrame, docs: int, weight: int) -> DataFrame:
     sized = members.join(sums.select("region", chunks.alias("chunks")), "region")
     own = sized.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     spread = sized.filter("node = pivot and chunks > 1").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return own.unionByName(spread.select(own.columns)).distinct()
+    return own.unionByName(spread.select(own.columns))
 
 
 def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rounds: int = 4, heavy_docs: int = HEAVY_DOCS, heavy_shingles: int = HEAVY_SHINGLES) -> DataFrame:
@@ -324,6 +324,7 @@ def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rou
     kept = docs.filter("id is not null and text is not null").mapInArrow(packed, "id long, z binary")
     texts = cut(kept.join(members.select(F.col("node").alias("id")).distinct(), "id", "left_semi"))
     edges = None
+    release(docs.sparkSession)
     for turn in range(rounds + 1):
         dealt = cut(_chunked(members, heavy_docs, heavy_shingles))
         if turn == rounds:
@@ -351,6 +352,8 @@ def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rou
         radius = 1 - threshold + 1e-9
         left = state.join(edge, "region").join(nearest, "region").filter((F.col("component") != F.col("main")) | (F.col("d") >= F.col("low") - radius) | (F.col("node") == F.col("pivot")))
         members = cut(left.select("region", "pivot", "node", "n"))
+        del dealt, found, new, heavy, comp, far, state, sizes, main, edge, nearest, left
+        release(docs.sparkSession)
     return edges
 
 
