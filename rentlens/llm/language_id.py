@@ -181,7 +181,8 @@ def train(df: DataFrame, text: str, lang: str, *, docs_per_lang: int = 64, chars
     distinct = labelled.select("lang", F.xxhash64("text").alias("h")).distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     chosen = distinct.withColumn("r", rank).filter(F.col("r") <= docs_per_lang)
-    some = labelled.withColumn("h", F.xxhash64("text")).join(chosen, ["lang", "h"]).groupBy("lang", "r").agg(F.min(F.substring("text", 1, 2 * chars_per_doc)).alias("text"))
+    # at most docs_per_lang hashes for each language of the model
+    some = labelled.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "r").agg(F.min(F.substring("text", 1, 2 * chars_per_doc)).alias("text"))
     texts: dict[str, list[tuple[int, str]]] = {}
     for row in some.collect():
         texts.setdefault(row["lang"], []).append((row["r"], row["text"]))

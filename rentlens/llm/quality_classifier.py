@@ -9,7 +9,7 @@
    they don't ascend, and interpolated between the pools.
 
 A null or empty text has statistics like any other (zeros) and so a score. Training rows
-without a label don't count; without any training row all scores are 0.5. Rows are independent, equal texts get equal scores.
+without a label don't count; without any training row all scores are 0.5. Rows are independent, equal texts get equal scores up to rounding.
 """
 
 from __future__ import annotations
