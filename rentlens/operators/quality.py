@@ -67,3 +67,12 @@ def reject_rate(rejected: DataFrame, alarm: float = 0.1) -> DataFrame:
     sums = rejected.agg(F.count("*").alias("total"), F.count("reason").alias("rejected"))
     rate = F.coalesce(F.try_divide("rejected", "total"), F.lit(0.0))
     return sums.withColumn("rate", rate).withColumn("alarm", rate > alarm)
+
+
+def reason_text(reason: Column, bounds: Bounds = Bounds()) -> Column:
+    """A reason code as a sentence part with its bounds."""
+    texts = {"area_bounds": "area outside [%.0f, %.0f]" % bounds.area, "price_m2_bounds": "price a square metre outside [%.0f, %.0f]" % bounds.price_m2, "incomplete": "price, rooms or area missing", "outside": "coordinates outside the region"}
+    out = F
+    for code, text in texts.items():
+        out = out.when(reason == code, text)
+    return out.otherwise(reason)

@@ -188,3 +188,12 @@ def streaks(outcomes: DataFrame, key: str, order: list[str], good: str = "good")
     w = Window.partitionBy(key).orderBy(*order)
     marked = outcomes.withColumn("island", F.sum(F.col(good).cast("int")).over(w))
     return marked.filter(~F.col(good)).groupBy(key, "island").agg(F.count("*").alias("length"))
+
+
+def union_first(*frames: DataFrame, key: str = "id") -> DataFrame:
+    """Union that keeps each key's row from the first frame that has it."""
+    out = None
+    for i, df in enumerate(frames):
+        part = df.withColumn("__o", F.lit(i))
+        out = part if out is None else out.unionByName(part)
+    return first_wins(out, key, F.col("__o")).drop("__o")

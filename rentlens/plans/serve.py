@@ -40,6 +40,13 @@ def read_price_index(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{pointer['path']}/price_index_levels").orderBy("month")
 
 
+def price_index_envelope(spark: SparkSession, folder: str) -> dict:
+    """version, measured, note and the levels by month."""
+    meta = read_meta(spark, folder).first()
+    levels = [r.asDict() for r in read_price_index(spark, folder).collect()]
+    return {"version": meta["version"], "measured": meta["price_index_measured"], "note": meta["price_index_note"], "levels": levels}
+
+
 def read_changes(events: DataFrame, since: int = 0, limit: int = 200) -> dict:
     """A page of the change feed and the cursor for the next one."""
     rows = [r.asDict() for r in history.changes_page(events, since, limit).collect()]
