@@ -19,7 +19,8 @@ class Refused(RuntimeError):
 def version_hash(df: DataFrame, prefix: int = 16) -> DataFrame:
     """One row: version, the start of a SHA-256 over id:price:area in id order.
 
-    The hash needs one ordered text, so it is built in two steps: ranges of ids are joined into texts in parallel, then the texts in order."""
+    The hash needs one ordered text, so it is built in two steps: ranges of ids are joined into texts in parallel, then the texts in order.
+    The text must fit one task: about 30 bytes a row. For more than some ten million rows use content_hash."""
     area = F.col("square_m2").cast("double").cast("string")
     line = F.concat_ws(":", "id", F.coalesce(F.col("price").cast("string"), F.lit("None")), F.coalesce(area, F.lit("None")))
     lines = df.select("id", line.alias("line")).repartitionByRange("id").withColumn("part", F.spark_partition_id())
@@ -28,6 +29,15 @@ def version_hash(df: DataFrame, prefix: int = 16) -> DataFrame:
     return whole.select(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, prefix).alias("version"))
 
 
+def content_hash(df: DataFrame, prefix: int = 16) -> DataFrame:
+    """One row: version, from sums of 64-bit row hashes over all columns in name order: no order, no long text, so it scales with the rows.
+
+    Unlike version_hash it changes with any column."""
+    cols = sorted(df.columns)
+    sums = [F.sum(F.xxhash64(F.lit(seed), *cols).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+    return df.agg(F.concat_ws(":", F.count("*").cast("string"), *[F.coalesce(x, F.lit("0")) for x in sums]).alias("text")).select(F.substring(F.sha2("text", 256), 1, prefix).alias("version"))
+
+
 def guard(n: int, previous: int | None, least: int = 10, shrink: float = 0.25, from_rows: int = 100) -> None:
     """Refuse tiny versions, and ones much smaller than a sizeable previous one."""
     if n < least:
@@ -51,7 +61,7 @@ def curate(listings: DataFrame, bounds: quality.Bounds = quality.Bounds(), text_
     return resolve.dedupe(quality.accepted(listings, bounds), text_threshold, max_block)
 
 
-def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, bounds: quality.Bounds = quality.Bounds(), keep: int = 3) -> dict:
+def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, bounds: quality.Bounds = quality.Bounds(), keep: int = 3, full_hash: bool = False) -> dict:
     """Publish the current listings; returns the new pointer."""
     spark = listings.sparkSession
     rejected = quality.reject(listings, bounds)
@@ -63,7 +73,7 @@ def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, boun
     except tables.NotPublished:
         previous = None
     guard(n, previous)
-    version = version_hash(kept).first()["version"]
+    version = (content_hash if full_hash else version_hash)(kept).first()["version"]
     levels = price_index.levels(series)
     path = f"{folder}/{version}"
     if not (sinks.exists(spark, path) and is_valid(spark, path)):
