@@ -210,7 +210,8 @@ class Region:
         names, self.members = np.unique(np.concatenate(sets), return_inverse=True)
         self.mark = np.zeros(len(names), bool)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
-        self.root = list(range(len(nodes)))
+        first: dict[int, int] = {}
+        self.root = [first.setdefault(n, i) for i, n in enumerate(nodes)]
         self.links: list[tuple[int, int]] = []
         self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -263,17 +264,18 @@ def _join_groups(rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Rows (region, chunk, pivot, node, z), a group by region and chunk. Returns (a, b, d, region): links with d null, and each member's distance to the pivot with b null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, bytes] = {}
+        held: dict[tuple[int, bytes], None] = {}  # a repeated id can stand on several texts
         key = None
         out: list[tuple] = []
 
         def close() -> None:
             if len(held) < 2:
                 return
-            nodes = list(held)
-            region = Region(nodes, [_unpack(z, size) for z in held.values()], percent)
-            if key[2] in held and key[3] > 1:
-                d = region.measure(nodes.index(key[2]))[0]
+            nodes = [n for n, _ in held]
+            region = Region(nodes, [_unpack(z, size) for _, z in held], percent)
+            pivots = [i for i, n in enumerate(nodes) if n == key[2]]
+            if pivots and key[3] > 1:
+                d = np.min([region.measure(p)[0] for p in pivots], axis=0)
                 out.extend((n, None, float(x), key[0]) for n, x in zip(nodes, d))
             region.join(np.arange(len(nodes)))
             out.extend((a, b, None, key[0]) for a, b in region.links)
@@ -290,7 +292,7 @@ def _join_groups(rows: DataFrame, size: int, percent: int) -> DataFrame:
                     close()
                     held.clear()
                     key = (region, chunk, pivot, chunks)
-                held[node] = z
+                held[node, z] = None
             if out:
                 yield batch_of()
         close()

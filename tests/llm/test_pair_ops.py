@@ -77,6 +77,10 @@ def test_join_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "other words than those here"), (2, "a b c d e f"), (None, "a b c d e f"), (5, None)]
     got = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [(-1, 2, None), (1, 2, 1), (1, 2, 1), (2, 1, 1), (2, 2, 1), (5, 0, 5)]
+    a, b = [" ".join(f"{x}{i}" for i in range(50)) for x in "ab"]
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, b + " fin"), (5, "own words here and there again")]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
     assert ngram_join.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
