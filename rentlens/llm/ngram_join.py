@@ -14,8 +14,9 @@ distance 1 from each other, so a pivot document tells nothing about most of them
    a component are not looked at: near copies of one text cost one comparison each, not one for each pair.
 
 Regions too heavy for a task are dealt to chunks, each with the pivot's set. What is in one component then is done; the
-others, and those of the main component within r of their distances, form the next round's region around the member nearest to the
-last pivot. After `rounds` rounds what is left is compared chunk by chunk, which is exact as well.
+others, if few, go to every chunk and are compared with all of it; else they, and those of the main component within r of their
+distances, form the next round's region around another pivot. After `rounds` rounds what is left is compared chunk by
+chunk, each with each, which is exact as well.
 
 Sets of equal shingles are one node (the smallest id), found by a 128-bit hash; copies never meet.
 
@@ -304,19 +305,18 @@ def _join_groups(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _chunked(members: DataFrame, docs: int, weight: int) -> DataFrame:
-    """members (region, pivot, node, n) with chunks (how many the region needs) and chunk; the pivot goes to all chunks."""
+    """members (region, pivot, node, n, wide, last) with chunks (how many the region needs) and chunk; wide ones go to all chunks."""
     sums = members.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
     chunks = F.greatest(F.ceil(F.col("m") / docs), F.ceil(F.col("w") / weight), F.lit(1)).cast("int")
     sized = members.join(sums.select("region", chunks.alias("chunks")), "region")
-    own = sized.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    spread = sized.filter("node = pivot and chunks > 1").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return own.unionByName(spread.select(own.columns))
+    own = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    return sized.withColumn("chunk", F.explode(F.when(F.col("wide"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(own)))
 
 
 def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rounds: int = 4, heavy_docs: int = HEAVY_DOCS, heavy_shingles: int = HEAVY_SHINGLES) -> DataFrame:
     """Edges (a, b) between nodes whose components are those of all links. nodes: node, n, window; docs: id, text."""
     percent = round(threshold * 100)
-    members = cut(regions(nodes.filter("n > 0"), percent)).withColumn("region", F.col("pivot"))
+    members = cut(regions(nodes.filter("n > 0"), percent)).withColumns({"region": F.col("pivot"), "wide": F.col("node") == F.col("pivot"), "last": F.lit(False)})
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,24 +337,27 @@ def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rou
         found = cut(_join_groups(dealt.join(texts, dealt.node == texts.id).drop("id"), size, percent))
         new = found.filter("b is not null").select("a", "b")
         edges = new if edges is None else cut(edges.unionByName(new))
-        heavy = dealt.filter("chunks > 1").select("region", "node", "n").distinct() if turn < rounds else None
+        heavy = dealt.filter("chunks > 1 and not last").select("region", "node", "n").distinct() if turn < rounds else None
         if heavy is None or heavy.isEmpty():
             break
         comp = components(edges)
         far = found.filter("d is not null").groupBy("region", F.col("a").alias("node")).agg(F.min("d").alias("d"))
         state = heavy.join(far, ["region", "node"]).join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        sizes = state.groupBy("region", "component").agg(F.count("*").alias("m"))
-        main = sizes.groupBy("region").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.count("*").alias("parts"))
-        state = cut(state.join(main.filter("parts > 1").drop("parts"), "region"))
-        if state.isEmpty():
-            break
-        edge = state.filter("component <> main").groupBy("region").agg(F.min("d").alias("low"))
+        main = state.groupBy("region", "component").agg(F.count("*").alias("m")).groupBy("region").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+        state = cut(state.join(main, "region").withColumn("other", F.col("component") != F.col("main")))
         # the next pivot: first the member nearest to the last one (near the middle), then one that is left
-        nearest = state.filter("d > 0" if turn == 0 else "component <> main").groupBy("region").agg(F.min_by("node", F.struct("d", "node")).alias("pivot"))
+        candidate = (F.col("d") > 0) if turn == 0 else F.col("other")
+        nearest = F.min_by(F.when(candidate, F.col("node")), F.when(candidate, F.struct("d", "node")))
+        sums = state.groupBy("region").agg(F.min(F.when(F.col("other"), F.col("d"))).alias("low"), F.count_if("other").alias("m"), F.sum(F.when(F.col("other"), F.col("n")).otherwise(0)).alias("w"), nearest.alias("pivot"))
+        sums = cut(sums.filter("m > 0"))
+        if sums.isEmpty():
+            break
+        # few others: they go to every chunk, which compares them with all, and the region is done
+        few = (F.col("m") <= heavy_docs) & (F.col("w") <= heavy_shingles)
         radius = 1 - threshold + 1e-9
-        left = state.join(edge, "region").join(nearest, "region").filter((F.col("component") != F.col("main")) | (F.col("d") >= F.col("low") - radius) | (F.col("node") == F.col("pivot")))
-        members = cut(left.select("region", "pivot", "node", "n"))
-        del dealt, found, new, heavy, comp, far, state, sizes, main, edge, nearest, left
+        left = state.join(sums.select("region", "low", "pivot", few.alias("last")), "region").filter(F.col("other") | (F.col("d") >= F.col("low") - radius) | (F.col("node") == F.col("pivot")))
+        members = cut(left.select("region", "pivot", "node", "n", F.when(F.col("last"), F.col("other")).otherwise(F.col("node") == F.col("pivot")).alias("wide"), "last"))
+        del dealt, found, new, heavy, comp, far, state, main, sums, left
         release(docs.sparkSession)
     return edges
 
