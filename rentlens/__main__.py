@@ -8,7 +8,7 @@ from datetime import UTC, datetime
 from pyspark.sql import functions as F
 
 from . import schema
-from .operators import price_index, registry, resolve
+from .operators import monthly_index, registry, resolve
 from .plans import publish
 from .session import local_session
 from .sources import sinks, state, tables
@@ -38,7 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "build":
         series = tables.read_series(spark, args.series) if args.series else spark.createDataFrame([], "ordinal int, month string, value string")
         print(publish.build(old["listings"], series, args.path, now))
-        print(price_index.describe(price_index.levels(series)).first().asDict())
+        print(monthly_index.describe(monthly_index.levels(series)).first().asDict())
     else:
         rows, unknown = tables.known_columns(tables.read_csv(spark, args.path))
         print("unknown columns:", unknown)

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import price_index, quality, resolve
+from ..operators import monthly_index, quality, resolve
 from ..session import cut
 from ..sources import sinks, tables
 
@@ -74,7 +74,7 @@ def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, boun
         previous = None
     guard(n, previous)
     version = (content_hash if full_hash else version_hash)(kept).first()["version"]
-    levels = price_index.levels(series)
+    levels = monthly_index.levels(series)
     path = f"{folder}/{version}"
     if not (sinks.exists(spark, path) and is_valid(spark, path)):
         source = rejected.agg(F.count("*").alias("source_active"), F.count("reason").alias("source_filtered"))

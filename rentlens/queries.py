@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as X
 from .functions import scalars as S
-from .operators import history, price_index, quality, registry, resolve
+from .operators import history, monthly_index, quality, registry, resolve
 from .plans import publish, serve
 from .session import table
 from .sources import pages
@@ -351,7 +351,7 @@ lev as (select o_orderkey, o_totalprice, case when od.m <= lo or od.m >= hi then
 @query(f"with {_CAL} select o_orderkey, round(level, 6) as level from lev")
 def index_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
-    return price_index.with_level(o, price_index.levels(X.series(spark)), F.col("d")).select("o_orderkey", F.round("level", 6).alias("level"))
+    return monthly_index.with_level(o, monthly_index.levels(X.series(spark)), F.col("d")).select("o_orderkey", F.round("level", 6).alias("level"))
 
 
 @query(f"""
@@ -360,13 +360,13 @@ f as (select o_orderkey, o_totalprice, case when t / level between 0.5 and 2 the
 select o_orderkey, round(factor, 6) as factor, round(o_totalprice * factor, 2) as adjusted_price from f""")
 def adjusted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("d"))
-    out = price_index.with_factor(o, price_index.levels(X.series(spark)), F.col("d"), "2000-06-15")
+    out = monthly_index.with_factor(o, monthly_index.levels(X.series(spark)), F.col("d"), "2000-06-15")
     return out.select("o_orderkey", F.round("factor", 6).alias("factor"), F.round(F.col("o_totalprice") * F.col("factor"), 2).alias("adjusted_price"))
 
 
-@query("select '1996-01' as first_month, '2001-01' as last_month, 5 as points, 300.0 as growth")
+@query("select '1996-01' as first_month, '2001-01' as last_month, 5::bigint as points, 300.0::double as growth")
 def index_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return price_index.describe(price_index.levels(X.series(spark)))
+    return monthly_index.describe(monthly_index.levels(X.series(spark)))
 
 
 # resolution

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from rentlens import schema
 from rentlens.functions import scalars as S
-from rentlens.operators import history, price_index, quality, registry, resolve
+from rentlens.operators import history, monthly_index, quality, registry, resolve
 
 NOW = "2024-03-01T00:00:00+00:00"
 
@@ -144,13 +144,13 @@ def test_big_block_is_refined(spark):
 
 def test_index(spark):
     two = spark.createDataFrame([(0, "2024-01", "1"), (1, "2024-02", "2")], "ordinal int, month string, value string")
-    assert price_index.levels(two).count() == 0
+    assert monthly_index.levels(two).count() == 0
     df = spark.createDataFrame([("2024-01-10",), (None,)], "d string")
-    assert [r["factor"] for r in price_index.with_factor(df, price_index.levels(two), F.col("d").cast("date"), "2024-02-01").collect()] == [1.0, 1.0]
+    assert [r["factor"] for r in monthly_index.with_factor(df, monthly_index.levels(two), F.col("d").cast("date"), "2024-02-01").collect()] == [1.0, 1.0]
     series = spark.createDataFrame([(0, "2026-06", "5602"), (1, "2026-07", "5800"), (2, "2026-08", "6079"), (3, "bad", "-1"), (4, "2026-08", "6079")], two.schema)
-    levels = price_index.levels(series)
+    levels = monthly_index.levels(series)
     dates = spark.createDataFrame([("2026-06-01", 5602.0), ("2026-07-01", 5800.0), ("2026-08-20", 6079.0), ("2026-05-10", 5602.0), ("2026-07-01T00:30:00+05:00", 5800.0)], "d string, want double")
-    for r in price_index.with_level(dates, levels, S.own_date(F.col("d"))).collect():
+    for r in monthly_index.with_level(dates, levels, S.own_date(F.col("d"))).collect():
         assert r["level"] == r["want"]
-    assert one(spark, price_index.guarded(F.lit(2.5))) == 1.0
-    assert price_index.is_stale(levels, "2027-01-01").first()["stale"]
+    assert one(spark, monthly_index.guarded(F.lit(2.5))) == 1.0
+    assert monthly_index.is_stale(levels, "2027-01-01").first()["stale"]
