@@ -21,7 +21,7 @@ NARROW = ["sq", "price_n", "floor_n", "rooms_n", "lat", "lon", "house", "owner_n
 
 
 def prepare(listings: DataFrame) -> DataFrame:
-    """id with the columns that keys and rules read."""
+    """id with the columns that keys and rules read; shingles as hashes, as only their identity counts."""
 
     def col(c: str) -> Column:
         return F.col(c) if c in listings.columns else F.lit(None).cast("string")
@@ -31,7 +31,7 @@ def prepare(listings: DataFrame) -> DataFrame:
         "id", S.to_number(col("square_m2")).alias("sq"), S.to_number(col("price")).alias("price_n"), F.when(F.abs(floor) < 9e18, floor).cast("long").alias("floor_n"),
         S.norm(col("rooms")).alias("rooms_n"), S.to_number(col("latitude")).alias("lat"), S.to_number(col("longitude")).alias("lon"), S.norm(col("street")).alias("street_n"),
         S.first_text(S.norm(col("complex_name")), S.norm(col("complex_alias"))).alias("complex_n"), S.clean_house(col("house_num")).alias("house"), S.owner(col("owner_name")).alias("owner_n"),
-        S.shingles(S.word_list(col("full_description"))).alias("shingles"), F.coalesce(col("created_at"), F.lit("")).alias("created"), F.coalesce(col("scraped_at"), F.lit("")).alias("scraped"),
+        F.transform(S.shingles(S.word_list(col("full_description"))), lambda x: F.xxhash64(x)).alias("shingles"), F.coalesce(col("created_at"), F.lit("")).alias("created"), F.coalesce(col("scraped_at"), F.lit("")).alias("scraped"),
     )
 
 
@@ -96,7 +96,7 @@ def decisions(pairs: DataFrame, prepared: DataFrame, text_threshold: float = TEX
         .when(~same_floor, "floor")
     )
     firm = S.price_close(*x["price_n"]) & S.area_very_close(*x["sq"])
-    judged = j.select("a", "b", early.alias("why"), firm.alias("firm"))
+    judged = cut(j.select("a", "b", early.alias("why"), firm.alias("firm")))
     text = prepared.select("id", "shingles")
     open_pairs = judged.filter("why is null").join(text.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(text.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
     alike = F.coalesce(S.jaccard(F.col("sa"), F.col("sb")) >= text_threshold, F.lit(False))

@@ -9,7 +9,7 @@ from . import fixtures as X
 from .functions import scalars as S
 from .operators import history, monthly_index, quality, registry, resolve
 from .plans import publish, serve
-from .session import table
+from .session import cut, table
 from .sources import pages
 
 QUERIES: dict = {}
@@ -425,7 +425,7 @@ final as (select a, b, why from base where why is not null union all
 
 @query(f"with {_WHY} select a, b, why in ('A_owner', 'B_text', 'B_price') as ok, case when why in ('A_owner', 'B_text', 'B_price') then why[1] end as track, why from final")
 def pair_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = resolve.prepare(X.listings(spark, sf_dir))
+    prepared = cut(resolve.prepare(X.listings(spark, sf_dir)))
     return resolve.decisions(resolve.candidate_pairs(resolve.blocks(resolve.block_keys(prepared))), prepared)
 
 
@@ -436,7 +436,7 @@ def decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = resolve.prepare(X.listings(spark, sf_dir))
+    prepared = cut(resolve.prepare(X.listings(spark, sf_dir)))
     hits = resolve.decisions(resolve.candidate_pairs(resolve.blocks(resolve.block_keys(prepared))), prepared).filter("ok")
     return resolve.survivors(resolve.cliques(hits), prepared)
 
