@@ -5,7 +5,9 @@ and a rest. Pieces, a few numbers each, are dealt by a hash to groups of at most
 group_pieces and packed there by bounded-space best fit: at most open_bins bins are open; a
 bitset with a bit for each amount of free space finds the tightest bin that a piece fits in with one
 shift; a piece that fits nowhere opens a bin, and if that is one too many the fullest is closed.
-A group's pieces come longest first, so that short ones fill what long ones left.
+A group's pieces come in hash order, in blocks of open_bins; each block comes longest first, so that
+short ones fill what long ones left. A block can't open more bins than may be open, so a group of any
+size stays tight: with a whole group longest first, the bound would close bins before its short pieces came.
 
 Null text counts as empty (the end id alone). Null ids, repeated rows and ties are kept: each input row
 gets its own pieces; equal rows get equal pieces in places of their own. An empty table gives an
@@ -83,6 +85,20 @@ def tokenise(df: DataFrame, tokenizer: str, doc_id: str, text: str, size: int, e
     return df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(pieces, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
+def blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The rows of all batches again, in tables of rows rows; the last may have fewer."""
+    held, n = [], 0
+    for batch in batches:
+        while n + batch.num_rows >= rows:
+            yield pa.Table.from_batches([*held, batch.slice(0, rows - n)])
+            batch, held, n = batch.slice(rows - n), [], 0
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def pack(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", *, size: int = 2048, end_id: int = 0, open_bins: int = 4096, group_pieces: int = 200_000) -> DataFrame:
     """The pieces of tokenise() with sequence_id and offset."""
     pieces = cut(tokenise(df, tokenizer, doc_id, text, size, end_id))
@@ -91,15 +107,13 @@ def pack(df: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "tex
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, group = Bins(size, open_bins), TaskContext.get().partitionId()
-        for batch in batches:
-            spots = [bins.place(n) for n in batch.column("length").to_pylist()]
-            number, offset = zip(*spots) if spots else ((), ())
-            names = [n for n in batch.schema.names if n != "o"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array([(group << 40) + b for b in number], pa.int64()), pa.array(offset, pa.int64())],
-                [*names, "sequence_id", "offset"],
-            )
+        for block in blocks(batches, open_bins):
+            block = block.take(np.argsort(-block.column("length").to_numpy(), kind="stable")).combine_chunks()
+            number, offset = zip(*(bins.place(n) for n in block.column("length").to_pylist()))
+            names = [n for n in block.column_names if n != "o"]
+            out = [*(block.column(n) for n in names), pa.array([(group << 40) + b for b in number], pa.int64()), pa.array(offset, pa.int64())]
+            yield from pa.table(out, [*names, "sequence_id", "offset"]).to_batches()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    dealt = pieces.withColumn("o", order).repartition(groups, "o").sortWithinPartitions(F.desc("length"), "o", "doc_id", "piece")
+    dealt = pieces.withColumn("o", order).repartition(groups, "o").sortWithinPartitions("o", "doc_id", "piece")
     return dealt.mapInArrow(packed, f"{kinds}, sequence_id long, offset long")

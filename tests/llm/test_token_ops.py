@@ -89,6 +89,25 @@ def test_packing_in_groups(spark, plain):
     checked(rows, docs.collect(), plain, 256)
 
 
+def test_packing_more_bins_than_open(spark, plain):
+    docs = spark.createDataFrame([(i, "ab " * (i * 37 % 60)) for i in range(2000)], DOC)
+    rows = packing.pack(docs, WORDS, size=128, open_bins=64).collect()
+    n = checked(rows, docs.collect(), plain, 128)
+    assert 64 < n <= 1.02 * sum(r["length"] for r in rows) / 128
+
+
+def test_packing_blocks():
+    import pyarrow as pa
+
+    for sizes in ([0, 3, 9, 1, 0], [4, 4], [2], []):
+        at, batches = 0, []
+        for k in sizes:
+            batches.append(pa.record_batch([pa.array(range(at, at + k), pa.int64())], ["x"]))
+            at += k
+        got = [t.column("x").to_pylist() for t in packing.blocks(iter(batches), 4)]
+        assert got == [list(range(i, min(i + 4, at))) for i in range(0, at, 4)]
+
+
 def test_index():
     keys = np.unique(np.random.default_rng(3).integers(0, 2**63, 5000).astype(np.uint64))
     index = token_files.Index.parse(memoryview(token_files.Index.build(keys, np.arange(len(keys))).dump()))
