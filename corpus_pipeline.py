@@ -46,10 +46,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-line windows are removed; documents left without a word go."""
+    """Later occurrences of three-sentence windows are removed, also inside lines; documents left without a word go."""
     made = ["n_lines", "n_removed", "clean_text"]
     named = {c: f"__own_{c}" for c in docs.columns if c in made}
-    out = dedup_lines(docs.withColumnsRenamed(named)).filter(F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]"))
+    out = dedup_lines(docs.withColumnsRenamed(named), sentences=True).filter(F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]"))
     return _retexted(docs, out.withColumnRenamed("clean_text", "__clean").drop("n_lines", "n_removed").withColumnsRenamed({b: a for a, b in named.items()}), F.col("__clean"))
 
 

@@ -12,6 +12,8 @@ on repeated hashes; adaptive execution splits it, as nothing above needs a key's
 Null and empty texts, and documents of fewer than three lines with a word, have no window and stay as
 they are (null text: empty). Rows that repeat both id and text count as one document: none of
 them is later than the other, so they get the same result. A null id is an id like any other, before all others.
+With sentences, the units are the sentences of each line instead of whole lines, so that repeated passages inside
+long lines, and the ends of passages that begin or end inside a line, are found too; a line goes when all its sentences went.
 A window that overlaps its own first occurrence (one line many times over) is a later one. Other columns
 of the input pass through; columns named like an output are replaced.
 """
@@ -24,16 +26,25 @@ from pyspark.sql import functions as F
 from . import text as T
 
 WINDOW = 3
+#: Where a sentence ends inside a line: its mark and the blank after it stay with it.
+SENTENCE_END = "(?<=[.!?\\x{2026}\\x{0964}\\x{061F}][ \\t])|(?<=[\\x{3002}\\x{FF01}\\x{FF1F}])"
 
 
-def _full_lines(text: Column) -> Column:
-    """Structs (line trimmed, i place among all lines) of the lines with a word."""
-    all_lines = F.transform(T.lines(text), lambda x, i: F.struct(F.trim(F.translate(x, "\t\x0b\x0c\r", "    ")).alias("line"), i.alias("i")))
-    return F.filter(all_lines, lambda x: F.length(x["line"]) > 0)
+def _units(text: Column, sentences: bool) -> Column:
+    """Structs (x text, l number of its line) of all units."""
+    if not sentences:
+        return F.transform(T.lines(text), lambda x, l: F.struct(x.alias("x"), l.alias("l")))
+    return F.flatten(F.transform(T.lines(text), lambda x, l: F.transform(F.split(x, SENTENCE_END, -1), lambda s: F.struct(s.alias("x"), l.alias("l")))))
 
 
-def _windows(text: Column) -> Column:
-    """Structs (h1, h2, k) of each window; k counts lines with a word."""
+def _full_units(text: Column, sentences: bool) -> Column:
+    """Structs (line trimmed, i place among all units) of the units with a word."""
+    units = F.transform(_units(text, sentences), lambda u, i: F.struct(F.trim(F.translate(u["x"], "\t\x0b\x0c\r", "    ")).alias("line"), i.alias("i")))
+    return F.filter(units, lambda x: F.length(x["line"]) > 0)
+
+
+def _windows(text: Column, sentences: bool) -> Column:
+    """Structs (h1, h2, k) of each window; k counts units with a word."""
 
     def of(ls: Column) -> Column:
         def one(k: Column) -> Column:
@@ -42,27 +53,32 @@ def _windows(text: Column) -> Column:
 
         return F.when(F.size(ls) >= WINDOW, F.transform(F.sequence(F.lit(0), F.size(ls) - WINDOW), one))
 
-    return T.let(_full_lines(text), of)
+    return T.let(_full_units(text, sentences), of)
+
+
+def _joined(units: Column) -> Column:
+    """Text of units in order; a new line starts where the line number changes."""
+    return F.array_join(F.transform(units, lambda u, i: F.concat(F.when(F.get(units, i - 1)["l"] != u["l"], "\n").otherwise(""), u["x"])), "")
 
 
-def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with n_lines (lines with a word), n_removed, and clean_text without the removed lines."""
+def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, sentences: bool = False) -> DataFrame:
+    """df with n_lines (units with a word), n_removed, and clean_text without the removed units."""
     key = df.select(F.col(doc_id).alias("d"), F.xxhash64(F.col(text)).alias("t"), F.col(text).alias("x"))
-    seen = key.select("d", "t", F.explode(_windows(F.col("x"))).alias("w")).select("d", "t", "w.h1", "w.h2", "w.k")
+    seen = key.select("d", "t", F.explode(_windows(F.col("x"), sentences)).alias("w")).select("d", "t", "w.h1", "w.h2", "w.k")
     at = F.struct("d", "t", "k")
     first = seen.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter(F.col("first") != F.col("last")).drop("last")
     later = seen.join(first, ["h1", "h2"]).filter(at > F.col("first"))
     places = later.groupBy("d", "t").agg(F.collect_set("k").alias("__ks")).withColumnsRenamed({"d": "__d", "t": "__t"})
     marked = df.withColumn("__h", F.xxhash64(F.col(text)))
     joined = marked.join(places, F.col(doc_id).eqNullSafe(F.col("__d")) & (F.col("__h") == F.col("__t")), "left")
-    full = F.transform(_full_lines(F.col(text)), lambda x: x["i"])
+    full = F.transform(_full_units(F.col(text), sentences), lambda x: x["i"])
 
     def cleaned(places: Column) -> Column:
         covered = F.array_distinct(F.flatten(F.transform(F.col("__ks"), lambda k: F.array(*[k + j for j in range(WINDOW)]))))
         gone = F.transform(covered, lambda k: F.get(places, k))
         out = T.let(
-            T.lines(F.col(text)),
-            lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), gone), lambda i: F.get(ls, i)), "\n"),
+            _units(F.col(text), sentences),
+            lambda us: T.let(F.transform(F.array_except(F.sequence(F.lit(0), F.size(us) - 1), gone), lambda i: F.get(us, i)), _joined),
         )
         return F.struct(
             F.size(places).cast("long").alias("n_lines"),

@@ -41,6 +41,24 @@ def test_line_dedup_cases(spark):
     assert dedup_lines(df.limit(0)).count() == 0
 
 
+def test_sentence_dedup_cases(spark):
+    p = "One two three. Four five! Six seven? Eight nine."
+    rows = [(1, p), (2, f"Own start. {p}\nOwn end."), (3, f"Own.\n{p}\n\nOther end."), (4, "One two three.\nFour five!\nSix seven? New."), (5, "Six seven? Eight nine."), (6, None), (7, " a. b.  \n\nc d. ")]
+    df = spark.createDataFrame(rows, DOC)
+    got = {r["doc_id"]: r["clean_text"] for r in dedup_lines(df, sentences=True).collect()}
+    assert got == {1: p, 2: "Own start. \nOwn end.", 3: "Own.\n\nOther end.", 4: "New.", 5: rows[4][1], 6: "", 7: rows[6][1]}
+    whole = spark.read.parquet(f"{SMALL}/documents.parquet").limit(1)
+    assert [r["clean_text"] for r in dedup_lines(whole, sentences=True).collect()] == [r["text"] for r in whole.collect()]
+
+
+def test_pipeline_dedup_inside_lines(spark):
+    import corpus_pipeline
+
+    p = " ".join(f"Some {w} of the passage number {w}." for w in "abcdefghij")
+    df = spark.createDataFrame([(1, f"First own words. {p}"), (2, f"{p} Second own words.")], DOC)
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, df, SMALL).collect()} == {1: f"First own words. {p}", 2: "Second own words."}
+
+
 def test_quality_rules_cases(spark):
     clean = ". ".join(f"word{i} goes here{i}" for i in range(30)) + "."
     nav = "home | shop | cart | help | about | more"
