@@ -30,9 +30,11 @@ def _retexted(docs: DataFrame, out: DataFrame, text: Column) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identifiable language go; a missing lang is filled in."""
+    """Documents without a letter go; a missing lang is filled in, a given one stays. Without any labelled row there is no model, and lang stays null."""
     ship(spark)
     model = lid.train(docs, "text", "lang")
+    if not model.langs:
+        return docs.filter(F.col("text").rlike("\\p{L}"))
     out = lid.identify(docs, model, names=("__lang", "__score")).filter(F.col("__lang") != "und")
     filled = F.coalesce("lang", "__lang").alias("lang")
     return out.select(*[filled if c == "lang" else F.col(f"`{c}`") for c in docs.columns])

@@ -124,6 +124,14 @@ def test_language_cases(spark):
     assert language_id.identify(df.limit(0), model).count() == 0
 
 
+def test_pipeline_language_without_labels(spark):
+    import corpus_pipeline
+
+    rows = [(1, "the cat", None), (2, None, None), (3, "12 !!", None), (4, "日本", None), (5, "", None)]
+    out = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, DOC + ", lang string"), SMALL).collect()
+    assert {(r["doc_id"], r["text"], r["lang"]) for r in out} == {rows[0], rows[3]}
+
+
 def test_classifier_held_out(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     out = QUERIES["op1_quality_classifier"](spark, SMALL)
