@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import schema
 from .operators import monthly_index, registry, resolve
 from .plans import publish
-from .session import local_session
+from .session import cut, local_session
 from .sources import sinks, state, tables
 
 
@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("path", nargs="?", help="CSV to read or write, or the folder to publish to")
     parser.add_argument("--series", help="index series file (build)")
     parser.add_argument("--dry-run", action="store_true", help="only report (seed, dedupe)")
+    parser.add_argument("--no-backup", action="store_true", help="dedupe a file in place without a copy of it")
     args = parser.parse_args(argv)
     spark, now = local_session(), datetime.now(UTC).isoformat(timespec="seconds")
     if args.command == "dedupe":
@@ -28,7 +29,9 @@ def main(argv: list[str] | None = None) -> None:
         kept, stats = resolve.dedupe(rows)
         print(stats.first().asDict())
         if args.path and not args.dry_run:
-            sinks.export_csv(kept, args.path)
+            if args.path == args.folder and not args.no_backup:
+                print("backup:", sinks.backup(spark, args.folder))
+            sinks.export_csv(cut(kept), args.path)
         return
     old = state.load(spark, args.folder)
     if args.command == "stats":

@@ -21,27 +21,28 @@ BASE = {
 }
 _DAY = "lpad(cast(1 + doc_id % 30 as string), 2, '0')"
 _F = "doc_id % 20"
+_UNPLACED = "doc_id % 47 = 11"
 LISTING = {
     "id": "cast(doc_id as string)",
     "doc_id": "doc_id",
     "url": "concat('https://listing.example/', cast(doc_id as string))",
-    "lat_u": "51000000 + bld * 10000 + (doc_id % 3) * 100",
-    "lon_u": "71400000 + bld * 10000 + (doc_id % 2) * 100",
-    "latitude": "cast(51000000 + bld * 10000 + (doc_id % 3) * 100 as double) / 1000000",
-    "longitude": "cast(71400000 + bld * 10000 + (doc_id % 2) * 100 as double) / 1000000",
+    "lat_u": f"case when {_UNPLACED} then null else 51000000 + bld * 10000 + (doc_id % 3) * 100 end",
+    "lon_u": f"case when {_UNPLACED} then null else 71400000 + bld * 10000 + (doc_id % 2) * 100 end",
+    "latitude": f"case when {_UNPLACED} then null else cast(51000000 + bld * 10000 + (doc_id % 3) * 100 as double) / 1000000 end",
+    "longitude": f"case when {_UNPLACED} then null else cast(71400000 + bld * 10000 + (doc_id % 2) * 100 as double) / 1000000 end",
     "rooms": "1 + rb % 4",
-    "square_m2": "cast(sqm as double)",
-    "floor": "1 + fb % 9",
+    "square_m2": "case when doc_id % 41 = 7 then null else cast(sqm as double) end",
+    "floor": "case when doc_id % 43 = 9 then null else 1 + fb % 9 end",
     "price": "sqm * (4000 + (doc_id % 5) * 150)",
     "owner_name": "case when doc_id % 4 = 0 then concat('owner', cast(ob % 6 as string)) else 'Хозяин' end",
     "status": "case when doc_id % 10 = 0 then 'missing' else 'active' end",
     "full_description": "full_description",
     "city": "'Astana'",
     "storage": "'live'",
-    "street": "cast(null as string)",
+    "street": "case doc_id % 6 when 0 then concat(' Улица  ', cast(bld % 7 as string)) when 1 then '' end",
     "house_num": "case when doc_id % 7 = 3 then '9/1' when doc_id % 7 = 5 then '9/1,_9/2' end",
-    "complex_name": "cast(null as string)",
-    "complex_alias": "cast(null as string)",
+    "complex_name": "case doc_id % 5 when 2 then concat('ЖК  ', cast(bld as string)) when 3 then '' end",
+    "complex_alias": "case when doc_id % 5 = 3 then concat('alias-', cast(bld as string)) end",
     "created_at": f"concat('2024-01-', {_DAY})",
     "scraped_at": f"concat('2024-02-', lpad(cast(1 + doc_id % 28 as string), 2, '0'), 'T00:00:00+00:00')",
     "first_seen_at": "'2024-01-01T00:00:00+00:00'",
@@ -81,8 +82,18 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("user_id").alias("id"), F.col("value").alias("price"), F.col("ts").alias("observed_at"), F.col("event_id").alias("seq"))
 
 
+def recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price history (id, price, observed_at as text): the observations of the first half of the month whose id isn't a multiple of 4."""
+    p = observations(spark, sf_dir).filter("observed_at < '2024-01-16' and id % 4 <> 0")
+    at = F.date_format("observed_at", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return p.groupBy(F.col("id").cast("string").alias("id"), at.alias("observed_at")).agg(F.max_by("price", "seq").alias("price")).select("id", "price", "observed_at")
+
+
 OBSERVATIONS_SQL = "select user_id as id, value as price, ts as observed_at, event_id as seq from events where event_type = 'purchase'"
 
+RECORDED_SQL = f"""select cast(id as varchar) as id, arg_max(price, seq) as price, strftime(observed_at, '%Y-%m-%dT%H:%M:%S+00:00') as observed_at
+from ({OBSERVATIONS_SQL}) where observed_at < '2024-01-16' and id % 4 <> 0 group by 1, 3"""
+
 #: An index series with a gap, a jump and an end, so that every branch occurs.
 SERIES = [("1996-01", 100.0), ("1996-02", 110.0), ("1996-05", 140.0), ("1997-01", 150.0), ("2001-01", 400.0)]
 

@@ -14,8 +14,13 @@ NUMBER_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 NBSP = " "
 #: Owner names that say a role, not a person.
 GENERIC_OWNERS = ["хозяин", "хозяйка", "собственник", "владелец", "агент", "риелтор", "риэлтор", "", "-"]
+#: The Earth's radius, and how far apart two listings of one building can be.
 EARTH_M = 6371000.0
 SAME_BUILDING_M = 30.0
+#: Tolerances (square metres, share of the smaller area) of the two area rules, share of the larger price, and least price change; sets of fewer
+#: shingles aren't compared.
+LEAST_SHINGLES = 8
+AREA_CLOSE, AREA_VERY_CLOSE, PRICE_CLOSE, PRICE_STEP = (3.0, 0.08), (2.0, 0.04), 0.02, 0.01
 
 
 def _gated(text: Column) -> Column:
@@ -131,32 +136,33 @@ def set_hash(values: Column) -> Column:
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Metres between two points; null if a coordinate is."""
     half = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return F.asin(F.sqrt(F.least(F.lit(1.0), half))) * (2 * EARTH_M)
+    return F.asin(F.sqrt(F.when(half > 1, 1.0).otherwise(half))) * (2 * EARTH_M)
 
 
-def jaccard(a: Column, b: Column, least: int = 8) -> Column:
+def jaccard(a: Column, b: Column, least: int = LEAST_SHINGLES) -> Column:
     """Shared part of two sets; null if either has fewer than `least` members."""
     shared = F.size(F.array_intersect(a, b))
     return F.when((F.size(a) >= least) & (F.size(b) >= least), shared / (F.size(a) + F.size(b) - shared))
 
 
-def area_close(a: Column, b: Column, absolute: float = 3.0, relative: float = 0.08) -> Column:
+def area_close(a: Column, b: Column, absolute: float = AREA_CLOSE[0], relative: float = AREA_CLOSE[1]) -> Column:
     """Within the larger of an absolute and a relative tolerance; missing or zero areas aren't."""
     near = F.abs(a - b) <= F.greatest(F.lit(absolute), F.least(a, b) * relative)
     return F.coalesce(present(a) & present(b) & near, F.lit(False))
 
 
 def area_very_close(a: Column, b: Column) -> Column:
-    return area_close(a, b, 2.0, 0.04)
+    return area_close(a, b, *AREA_VERY_CLOSE)
 
 
-def price_close(a: Column, b: Column, tolerance: float = 0.02) -> Column:
+def price_close(a: Column, b: Column, tolerance: float = PRICE_CLOSE) -> Column:
     return F.coalesce(present(a) & present(b) & (F.try_divide(F.abs(a - b), F.greatest(a, b)) <= tolerance), F.lit(False))
 
 
 def price_changed(old: Column, new: Column) -> Column:
-    return F.abs(old - new) > 0.01
+    return F.abs(old - new) > PRICE_STEP
 
 
 def price_m2(price: Column, area: Column) -> Column:
@@ -171,6 +177,12 @@ def own_date(text: Column) -> Column:
     return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(text, 1, 10).try_cast("date"))
 
 
+def moment(text: Column) -> Column:
+    """Timestamp of an ISO text, Z or an offset or none at its end; what stands after the seconds is ignored if it is unreadable. Null for other texts."""
+    dated = text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}")
+    return F.when(dated, F.coalesce(F.nullif(text, F.lit("")).try_cast("timestamp"), F.substring(text, 1, 19).try_cast("timestamp")))
+
+
 def month_index(date: Column) -> Column:
     return F.year(date) * 12 + F.month(date) - 1
 

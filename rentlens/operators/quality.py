@@ -71,8 +71,12 @@ def reject_rate(rejected: DataFrame, alarm: float = 0.1) -> DataFrame:
 
 def reason_text(reason: Column, bounds: Bounds = Bounds()) -> Column:
     """A reason code as a sentence part with its bounds."""
-    texts = {"area_bounds": "area outside [%.0f, %.0f]" % bounds.area, "price_m2_bounds": "price a square metre outside [%.0f, %.0f]" % bounds.price_m2, "incomplete": "price, rooms or area missing", "outside": "coordinates outside the region"}
+    texts = {
+        "incomplete": "price, rooms or area missing", "missing": "no longer listed", "storage": "not a live advert", "price": "price not positive", "area": "area not positive",
+        "area_bounds": "area outside [%.0f, %.0f]" % bounds.area, "price_m2_bounds": "price a square metre outside [%.0f, %.0f]" % bounds.price_m2,
+        "outside": "coordinates outside [%.2f, %.2f] x [%.2f, %.2f]" % (*bounds.latitude, *bounds.longitude), "city": "city is not one of: " + ", ".join(bounds.cities),
+    }
     out = F
-    for code, text in texts.items():
-        out = out.when(reason == code, text)
+    for code in REASONS:
+        out = out.when(reason == code, texts[code])
     return out.otherwise(reason)

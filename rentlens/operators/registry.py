@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import scalars as S
 
+#: Attempts before an id is given up, bad cards in a row that mean a changed layout, seconds before an unseen id is missing.
 MAX_ATTEMPTS = 4
+MAX_BAD_STREAK = 3
 GRACE_S = 6 * 3600
 
 
@@ -48,29 +50,45 @@ def merge(state: DataFrame, batch: DataFrame) -> DataFrame:
     return old.join(new, F.col("o.id") == F.col("n.id"), "full").select(*[column(c).alias(c) for c in state.columns])
 
 
+def folded(typed: DataFrame, order: str = "scraped_at") -> DataFrame:
+    """One row for each id, as if the rows were taken one by one: each column's last value that isn't null, by `order`, rows of equal
+    order by all their values. Null ids go. The shuffle is by id, which the merge that follows needs as well."""
+    rest = [c for c in typed.columns if c != "id"]
+    at = F.struct(F.coalesce(order, F.lit("")), F.xxhash64(*rest))
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in rest]
+    return typed.filter("id is not null").groupBy("id").agg(*last).select(typed.columns)
+
+
+def last_prices(prices: DataFrame, order: str | None = None) -> DataFrame:
+    """(id, price) with one row for each id: its last price by `order`, the larger one among equals; null only if it has no other."""
+    price = S.to_long(F.col("price"))
+    at = F.struct(F.col(order), price) if order else price
+    return prices.filter("id is not null").groupBy("id").agg(F.max_by(price, F.when(price.isNotNull(), at)).alias("price"))
+
+
 def upsert_full(state: DataFrame, details: DataFrame, now: str) -> DataFrame:
-    """State after complete records were fetched at `now`; one row for each id in details."""
+    """State after complete records were fetched at `now`; of rows that repeat an id the last by scraped_at wins, column by column. Null ids are ignored."""
     seen = {"first_seen_at": F.lit(now), "last_seen_at": F.lit(now), "status": F.lit("active")}
-    return merge(state, coerced(details.withColumns(seen)))
+    return merge(state, folded(coerced(details.withColumns(seen))))
 
 
 def import_rows(state: DataFrame, rows: DataFrame, now: str) -> DataFrame:
     """State after an import that keeps the rows' own sightings and status."""
-    typed = coerced(rows).filter("id is not null")
+    typed = folded(coerced(rows))
     first = F.coalesce("first_seen_at", F.lit(now))
     return merge(state, typed.withColumns({"first_seen_at": first, "last_seen_at": F.coalesce("last_seen_at", first), "status": F.coalesce("status", F.lit("active"))}))
 
 
 def seed(state: DataFrame, rows: DataFrame, now: str) -> DataFrame:
     """State with the rows of unknown ids added as missing."""
-    typed = coerced(rows).filter("id is not null").join(state.select("id"), "id", "left_anti")
+    typed = folded(coerced(rows)).join(state.select("id"), "id", "left_anti")
     at = F.coalesce("scraped_at", F.lit(now))
     return state.unionByName(typed.withColumns({"first_seen_at": at, "last_seen_at": at, "status": F.lit("missing")}).select(state.columns))
 
 
-def update_prices(state: DataFrame, prices: DataFrame, now: str) -> DataFrame:
-    """Known ids with a new non-null price become active at `now`."""
-    new = prices.select(F.col("id").alias("__id"), S.to_long(F.col("price")).alias("__price")).filter("__price is not null")
+def update_prices(state: DataFrame, prices: DataFrame, now: str, order: str | None = None) -> DataFrame:
+    """Known ids with a new non-null price become active at `now`; of repeated ids the last price by `order` counts, else the larger one."""
+    new = last_prices(prices, order).filter("price is not null").withColumnsRenamed({"id": "__id", "price": "__price"})
     hit = F.col("__id").isNotNull()
     out = state.join(new, state.id == F.col("__id"), "left")
     return out.withColumns({"price": F.coalesce("__price", "price"), "last_seen_at": F.when(hit, now).otherwise(F.col("last_seen_at")), "status": F.when(hit, "active").otherwise(F.col("status"))}).select(state.columns)
@@ -147,12 +165,18 @@ def stats(state: DataFrame) -> DataFrame:
 
 
 def merge_pages(rows: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Snapshot (the last page of an id wins) and its one-row meta from parsed rows and page outcomes (page_number, total_pages, ok).
+    """Snapshot (the last page of an id wins) and its one-row meta from parsed rows and page outcomes (page_number, total_pages, ok, ended).
 
-    A scan is complete if every page from 1 to the largest known count was read."""
+    total_pages is what a page itself says. A list ends at the count of its first page, or before it at an empty page that says there are fewer pages
+    than its own number (ended, a column that may be absent). A scan is complete if every page before the end was read."""
     snapshot = latest_wins(rows, "id", F.col("page_number"))
-    meta = pages.agg(F.max("total_pages").alias("total_pages"), F.count_distinct(F.when(F.col("ok"), F.col("page_number"))).alias("pages_read"), F.array_sort(F.collect_set(F.when(~F.col("ok"), F.col("page_number")))).alias("skipped_pages"))
-    return snapshot, meta.withColumn("complete", F.coalesce((F.size("skipped_pages") == 0) & (F.col("pages_read") >= F.col("total_pages")), F.lit(False)))
+    end = F.col("ended") if "ended" in pages.columns else F.lit(False)
+    bounds = pages.agg(F.min_by("total_pages", F.when(F.col("total_pages").isNotNull(), F.col("page_number"))).alias("total_pages"), F.min(F.when(end, F.col("page_number"))).alias("__end"))
+    inside = pages.drop("total_pages").join(F.broadcast(bounds)).withColumn("__in", F.col("__end").isNull() | (F.col("page_number") < F.col("__end")))
+    bad = F.array_sort(F.collect_set(F.when(F.col("__in") & ~F.col("ok"), F.col("page_number"))))
+    meta = inside.agg(F.max("total_pages").alias("total_pages"), F.count_distinct(F.when(F.col("ok") & F.col("__in"), F.col("page_number"))).alias("pages_read"), bad.alias("skipped_pages"), F.max("__end").alias("__end"))
+    wanted = F.least(F.col("total_pages"), F.col("__end") - 1)
+    return snapshot, meta.withColumn("complete", F.coalesce((F.size("skipped_pages") == 0) & (F.col("pages_read") >= wanted), F.lit(False))).drop("__end")
 
 
 def is_fresh(complete: Column, finished_at: Column, now: str, most_s: int = 3 * 3600) -> Column:
@@ -161,12 +185,19 @@ def is_fresh(complete: Column, finished_at: Column, now: str, most_s: int = 3 *
     return F.coalesce(complete & (age <= most_s), F.lit(False))
 
 
-def window_diff(window: DataFrame, known: DataFrame, complete_ids: DataFrame) -> DataFrame:
-    """(id, reason, price, old_price): new ids without a complete record, and known ids that became cheaper."""
+def window_diff(window: DataFrame, known: DataFrame, complete_ids: DataFrame, *, warmup: bool = False, all_new: bool = False) -> DataFrame:
+    """(id, reason, price, old_price): new ids without a complete record, and known ids that became cheaper.
+
+    A warm-up, or a window before which nothing is known, is only remembered: no rows. all_new takes every id of the window for new, before either."""
+    none = F.lit(None).cast(window.schema["price"].dataType)
+    if all_new:
+        return window.select("id", F.lit("new").alias("reason"), "price", none.alias("old_price"))
+    some = known.agg((F.count("*") > 0).alias("__some"))  # one row
     old = known.select("id", F.col("price").alias("old_price"), F.lit(True).alias("known"))
-    both = window.select("id", "price").join(old, "id", "left").join(complete_ids.select("id", F.lit(True).alias("have")), "id", "left")
+    both = window.select("id", "price").join(old, "id", "left").join(complete_ids.select("id", F.lit(True).alias("have")), "id", "left").join(F.broadcast(some))
     reason = F.when(F.col("known").isNull() & F.col("have").isNull(), "new").when(F.col("known") & (F.col("price") < F.col("old_price")), "price_drop")
-    return both.withColumn("reason", reason).filter("reason is not null").select("id", "reason", "price", F.when(F.col("reason") == "price_drop", F.col("old_price")).alias("old_price"))
+    out = both.withColumn("reason", F.when(F.col("__some") & F.lit(not warmup), reason)).filter("reason is not null")
+    return out.select("id", "reason", "price", F.when(F.col("reason") == "price_drop", F.col("old_price")).alias("old_price"))
 
 
 def window_state(window: DataFrame, known: DataFrame, failed: DataFrame, *, complete: bool) -> DataFrame:
@@ -185,9 +216,19 @@ def enrich_drops(drops: DataFrame, state: DataFrame) -> DataFrame:
 
 def streaks(outcomes: DataFrame, key: str, order: list[str], good: str = "good") -> DataFrame:
     """(key, island, length) of each run of bad outcomes; a good one ends it."""
-    w = Window.partitionBy(key).orderBy(*order)
-    marked = outcomes.withColumn("island", F.sum(F.col(good).cast("int")).over(w))
-    return marked.filter(~F.col(good)).groupBy(key, "island").agg(F.count("*").alias("length"))
+    return _islands(outcomes, key, order, good).filter(~F.col(good)).groupBy(key, "island").agg(F.count("*").alias("length"))
+
+
+def _islands(outcomes: DataFrame, key: str, order: list[str], good: str) -> DataFrame:
+    return outcomes.withColumn("island", F.sum(F.col(good).cast("int")).over(Window.partitionBy(key).orderBy(*order)))
+
+
+def counted_failures(outcomes: DataFrame, key: str, order: list[str], good: str = "good", most: int = MAX_BAD_STREAK) -> DataFrame:
+    """The bad outcomes that count as failures of their ids. A bad card is pending until a good one follows or its run ends; a streak of `most` means that
+    the site's layout changed, so none of that streak counts."""
+    w = Window.partitionBy(key, "island")
+    marked = _islands(outcomes, key, order, good).withColumn("__n", F.count_if(~F.col(good)).over(w))
+    return marked.filter(~F.col(good) & (F.col("__n") < most)).drop("__n", "island")
 
 
 def union_first(*frames: DataFrame, key: str = "id") -> DataFrame:

@@ -17,22 +17,25 @@ from .graph import components
 
 MAX_BLOCK = 60
 TEXT_THRESHOLD = 0.35
-NARROW = ["sq", "price_n", "floor_n", "rooms_n", "lat", "lon", "house", "owner_n"]
+NARROW = ["sq", "price_n", "floor_n", "rooms_n", "lat", "lon", "house", "owner_n", "n_shingles"]
+#: Hits of a connected component that one task may hold; larger components are worked on in rounds.
+TASK_HITS = 200_000
 
 
 def prepare(listings: DataFrame) -> DataFrame:
-    """id with the columns that keys and rules read; shingles as hashes, as only their identity counts."""
+    """id with the columns that keys and rules read; shingles as hashes, as only their identity counts, with their number."""
 
     def col(c: str) -> Column:
         return F.col(c) if c in listings.columns else F.lit(None).cast("string")
 
     floor = S.to_number(col("floor"))
-    return listings.select(
+    made = listings.select(
         "id", S.to_number(col("square_m2")).alias("sq"), S.to_number(col("price")).alias("price_n"), F.when(F.abs(floor) < 9e18, floor).cast("long").alias("floor_n"),
         S.norm(col("rooms")).alias("rooms_n"), S.to_number(col("latitude")).alias("lat"), S.to_number(col("longitude")).alias("lon"), S.norm(col("street")).alias("street_n"),
         S.first_text(S.norm(col("complex_name")), S.norm(col("complex_alias"))).alias("complex_n"), S.clean_house(col("house_num")).alias("house"), S.owner(col("owner_name")).alias("owner_n"),
         F.transform(S.shingles(S.word_list(col("full_description"))), lambda x: F.xxhash64(x)).alias("shingles"), F.coalesce(col("created_at"), F.lit("")).alias("created"), F.coalesce(col("scraped_at"), F.lit("")).alias("scraped"),
     )
+    return made.withColumn("n_shingles", F.size("shingles"))
 
 
 def block_keys(prepared: DataFrame) -> DataFrame:
@@ -75,8 +78,11 @@ def candidate_pairs(parts: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
     return left.join(right, ["kind", "key", "part"]).filter("a < b").select("a", "b").distinct()
 
 
-def decisions(pairs: DataFrame, prepared: DataFrame, text_threshold: float = TEXT_THRESHOLD) -> DataFrame:
-    """(a, b, ok, track, why) for each pair, by the first rule that applies."""
+def decisions(pairs: DataFrame, prepared: DataFrame, text_threshold: float = TEXT_THRESHOLD, *, tracks: bool = True) -> DataFrame:
+    """(a, b, ok, track, why) for each pair, by the first rule that applies.
+
+    Shingles are compared only where they can decide: two sets can't be alike if their sizes alone bound the similarity below the threshold. Without
+    tracks, pairs that price and area confirm anyway are not compared either, and count as B_price."""
     a = prepared.select(F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in NARROW])
     b = prepared.select(F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in NARROW])
     j = pairs.join(a, "a").join(b, "b")
@@ -96,48 +102,90 @@ def decisions(pairs: DataFrame, prepared: DataFrame, text_threshold: float = TEX
         .when(~same_floor, "floor")
     )
     firm = S.price_close(*x["price_n"]) & S.area_very_close(*x["sq"])
-    judged = cut(j.select("a", "b", early.alias("why"), firm.alias("firm")))
+    sizes = x["n_shingles"]
+    hopeless = (F.least(*sizes) < S.LEAST_SHINGLES) | (F.least(*sizes) < text_threshold * F.greatest(*sizes) * (1 - 1e-9))
+    done = hopeless if tracks else hopeless | firm
+    late = F.when(done, F.when(firm, "B_price").otherwise("unconfirmed"))
+    judged = cut(j.select("a", "b", F.coalesce(early, late).alias("why"), firm.alias("firm")))
     text = prepared.select("id", "shingles")
     open_pairs = judged.filter("why is null").join(text.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a").join(text.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
     alike = F.coalesce(S.jaccard(F.col("sa"), F.col("sb")) >= text_threshold, F.lit(False))
-    late = open_pairs.select("a", "b", F.when(alike, "B_text").when(F.col("firm"), "B_price").otherwise("unconfirmed").alias("why"))
-    out = judged.filter("why is not null").select("a", "b", "why").unionByName(late)
+    read = open_pairs.select("a", "b", F.when(alike, "B_text").when(F.col("firm"), "B_price").otherwise("unconfirmed").alias("why"))
+    out = judged.filter("why is not null").select("a", "b", "why").unionByName(read)
     track = F.when(F.col("why").isin("A_owner", "B_text", "B_price"), F.substring("why", 1, 1))
     return out.select("a", "b", track.isNotNull().alias("ok"), track.alias("track"), "why")
 
 
-def cliques(hits: DataFrame) -> DataFrame:
+def why_text(why: Column, similarity: Column) -> Column:
+    """A decision as a sentence part; text decisions name the similarity."""
+    return F.when(why.isin("B_text", "unconfirmed") & similarity.isNotNull(), F.format_string("%s (similarity %.2f)", why, similarity)).otherwise(why)
+
+
+def _greedy(edges: pd.DataFrame, seeds: set | None = None) -> pd.DataFrame:
+    """Cliques of a graph (a, b, ra, rb), seeds by rank (all nodes, if none are given)."""
+    near: dict = {}
+    rank: dict = {}
+    for a, b, ra, rb in zip(edges["a"], edges["b"], edges["ra"], edges["rb"]):
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+        rank[a], rank[b] = (ra, a), (rb, b)
+    used: set = set()
+    rows = []
+    for node in sorted(near if seeds is None else seeds, key=rank.__getitem__):
+        if node in used:
+            continue
+        group = [node]
+        for other in sorted(near[node] - used, key=rank.__getitem__):
+            if all(other in near[m] for m in group):
+                group.append(other)
+        if len(group) > 1:
+            used.update(group)
+            rows += [(node, m, i) for i, m in enumerate(group)]
+    return pd.DataFrame(rows, columns=["clique", "id", "place"])
+
+
+def cliques(hits: DataFrame, task_hits: int = TASK_HITS) -> DataFrame:
     """(clique, id, place): disjoint groups in which every two members are a hit.
 
-    Greedy by degree (ties by id): a choice never looks past a connected component, so components are worked on apart. A
-    node's degree is bounded by its blocks, which are capped."""
-    hits = cut(hits.select("a", "b"))
+    Greedy by degree over the whole graph, ties by the id's digest, then id. A choice never looks past a connected component, so components of up to task_hits
+    hits are worked on apart, a task each. In larger ones the nodes of least rank within two steps choose at once: no other choice
+    can touch theirs, so the result is that of one after the other. Their members go, and what is left falls into components
+    again. A node's degree, and so the work of a choice, is bounded by its blocks, which are capped."""
     kind = hits.schema["a"].dataType.simpleString()
-    # components() takes integers: number the nodes by a hash (a collision would only join two components, which stays right)
-    comp = components(hits.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")))
-    grouped = hits.withColumn("node", F.xxhash64("a")).join(comp, "node")
-
-    def greedy(edges: pd.DataFrame) -> pd.DataFrame:
-        near: dict = {}
-        for a, b in zip(edges["a"], edges["b"]):
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
-        rank = {n: (-len(x), n) for n, x in near.items()}
-        used: set = set()
-        rows = []
-        for node in sorted(near, key=rank.__getitem__):
-            if node in used:
-                continue
-            group = [node]
-            for other in sorted(near[node] - used, key=rank.__getitem__):
-                if all(other in near[m] for m in group):
-                    group.append(other)
-            if len(group) > 1:
-                used.update(group)
-                rows += [(node, m, i) for i, m in enumerate(group)]
-        return pd.DataFrame(rows, columns=["clique", "id", "place"])
-
-    return grouped.groupBy("component").applyInPandas(greedy, f"clique {kind}, id {kind}, place int")
+    out_kind = f"clique {kind}, id {kind}, place int"
+    ends = hits.select("a", "b").distinct()
+    degrees = ends.select(F.explode(F.array("a", "b")).alias("n")).groupBy("n").agg(F.count("*").alias("degree"))
+    # ranks as text that sorts: many neighbours first; the digest keeps chains of equal degree short
+    ranks = cut(degrees.select("n", F.concat(F.lpad((F.lit(9_999_999_999) - F.col("degree")).cast("string"), 10, "0"), F.md5(F.col("n").cast("string").cast("binary"))).alias("r")))
+    edges = cut(ends.join(ranks.withColumnsRenamed({"n": "a", "r": "ra"}), "a").join(ranks.withColumnsRenamed({"n": "b", "r": "rb"}), "b"))
+    out = None
+    while True:
+        # components() takes integers: number the nodes by a hash (a collision would only join two components, which stays right)
+        comp = components(edges.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")))
+        placed = cut(edges.withColumn("node", F.xxhash64("a")).join(comp, "node").drop("node"))
+        large = placed.groupBy("component").agg(F.count("*").alias("m")).filter(F.col("m") > task_hits)
+        small = placed.join(large, "component", "left_anti").groupBy("component").applyInPandas(lambda rows: _greedy(rows), out_kind)
+        out = small if out is None else out.unionByName(small)
+        edges = placed.join(large, "component", "left_semi").drop("component")
+        if edges.isEmpty():
+            return out
+        chosen = cut(_round(edges, out_kind))
+        out = out.unionByName(chosen)
+        gone = chosen.select("id")
+        edges = cut(edges.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti"))
+
+
+def _round(edges: DataFrame, kind: str) -> DataFrame:
+    """The cliques of the nodes that have the least rank of all within two steps."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("rb").alias("ra"), F.col("ra").alias("rb")))
+    one = both.groupBy("a").agg(F.least(F.min("ra"), F.min("rb")).alias("low"))
+    two = both.join(one.withColumnsRenamed({"a": "b", "low": "blow"}), "b").groupBy("a").agg(F.least(F.min("ra"), F.min("blow")).alias("low"), F.first("ra").alias("ra"))
+    seeds = cut(two.filter("ra = low").select(F.col("a").alias("seed")))
+    near = both.join(seeds, both.a == seeds.seed).select("seed", F.col("b").alias("n"))
+    spokes = both.join(seeds, both.a == seeds.seed).select("seed", "a", "b", "ra", "rb")
+    # edges between two neighbours of one seed; seeds are three steps apart, so a node neighbours one seed at most
+    rim = edges.join(near.withColumnRenamed("n", "a"), "a").join(near.withColumnsRenamed({"n": "b", "seed": "other"}), "b").filter("seed = other").select("seed", "a", "b", "ra", "rb")
+    return spokes.unionByName(rim).groupBy("seed").applyInPandas(lambda key, rows: _greedy(rows, {key[0]}), kind)
 
 
 def survivors(groups: DataFrame, prepared: DataFrame) -> DataFrame:
@@ -152,7 +200,7 @@ def dedupe(listings: DataFrame, text_threshold: float = TEXT_THRESHOLD, max_bloc
     prepared = cut(prepare(listings))
     parts = cut(blocks(block_keys(prepared), max_block))
     pairs = cut(candidate_pairs(parts, max_block))
-    hits = decisions(pairs, prepared, text_threshold).filter("ok")
+    hits = decisions(pairs, prepared, text_threshold, tracks=False).filter("ok")
     groups = cut(survivors(cliques(hits), prepared))
     dropped = groups.filter("not keep").select("id")
     kept = listings.join(dropped, "id", "left_anti")

@@ -13,11 +13,12 @@ from ..operators import history, registry
 def apply_run(old: dict[str, DataFrame], details: DataFrame, snapshot: DataFrame, now: str, *, complete: bool, attempts: DataFrame | None = None, grace_s: int = registry.GRACE_S, strict: bool = True) -> dict[str, DataFrame]:
     """New listings, history, events and failures.
 
-    details: fetched records, one for each id. snapshot: (id, price) of the list, price may be null. attempts: failed fetches (id, error, at).
+    details: fetched records; of those that repeat an id the last by scraped_at wins. snapshot: (id, price) of the list, price may be null. attempts: failed fetches (id, error, at).
     Prices are compared with the old state before it changes; drops are numbered before new listings. Listed ids without a
     new record get their price or at least the sighting; unlisted ones may become missing if the scan was complete.
     """
     state = old["listings"]
+    details, snapshot = registry.folded(registry.coerced(details)), registry.last_prices(snapshot)
     rest = snapshot.join(details.select("id"), "id", "left_anti")
     prices = details.select("id", S.to_long(F.col("price")).alias("price")).unionByName(rest.select("id", S.to_long(F.col("price")).alias("price")))
     points, drops = history.price_changes(state, old["history"], prices, now, strict)

@@ -48,11 +48,13 @@ def guard(n: int, previous: int | None, least: int = 10, shrink: float = 0.25, f
 
 def is_valid(spark, path: str) -> bool:
     """Whether a version has its three tables, one meta row, and as many rows as that says."""
+    if not sinks.exists(spark, path):
+        return False
     try:
         meta = spark.read.parquet(f"{path}/meta").collect()
         spark.read.parquet(f"{path}/price_index_levels").schema  # noqa: B018
-        return len(meta) == 1 and spark.read.parquet(f"{path}/baseline").count() == meta[0]["row_count"]
-    except Exception:
+        return len(meta) == 1 and spark.read.parquet(f"{path}/baseline").agg(F.count(F.hash("*"))).first()[0] == meta[0]["row_count"]
+    except Exception:  # whatever can't be read whole is written anew
         return False
 
 
@@ -61,8 +63,8 @@ def curate(listings: DataFrame, bounds: quality.Bounds = quality.Bounds(), text_
     return resolve.dedupe(quality.accepted(listings, bounds), text_threshold, max_block)
 
 
-def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, bounds: quality.Bounds = quality.Bounds(), keep: int = 3, full_hash: bool = False) -> dict:
-    """Publish the current listings; returns the new pointer."""
+def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, bounds: quality.Bounds = quality.Bounds(), keep: int = 3, ordered_hash: bool = False) -> dict:
+    """Publish the current listings; returns the new pointer. ordered_hash names versions by version_hash, for tables of some million rows at most."""
     spark = listings.sparkSession
     rejected = quality.reject(listings, bounds)
     kept, stats = curate(listings, bounds)
@@ -73,10 +75,10 @@ def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, boun
     except tables.NotPublished:
         previous = None
     guard(n, previous)
-    version = (content_hash if full_hash else version_hash)(kept).first()["version"]
+    version = (version_hash if ordered_hash else content_hash)(kept).first()["version"]
     levels = monthly_index.levels(series)
     path = f"{folder}/{version}"
-    if not (sinks.exists(spark, path) and is_valid(spark, path)):
+    if not is_valid(spark, path):
         source = rejected.agg(F.count("*").alias("source_active"), F.count("reason").alias("source_filtered"))
         points = levels.agg(F.count("*").alias("points"))
         meta = stats.join(F.broadcast(source)).join(F.broadcast(points)).select(
@@ -84,7 +86,7 @@ def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, boun
             (F.col("points") > 0).alias("price_index_measured"), F.concat(F.col("points").cast("string"), F.lit(" points")).alias("price_index_note"),
         )
         ordinal = kept.withColumn("ordinal", F.monotonically_increasing_id())
-        sinks.write_version(folder, version, {"baseline": ordinal, "meta": meta, "price_index_levels": levels})
+        sinks.write_version(folder, version, {"baseline": ordinal, "meta": meta, "price_index_levels": levels}, lambda p: is_valid(spark, p))
     pointer = {"version": version, "path": path, "built_at": now, "row_count": n}
     sinks.write_text(spark, f"{folder}/latest.json", json.dumps(pointer))
     sinks.clean_versions(spark, folder, version, keep)

@@ -62,7 +62,11 @@ def read_listing(spark: SparkSession, folder: str, listing: str) -> dict:
     return row.asDict()
 
 
-def health(has_pointer: Column, age_s: Column, uptime_s: Column, stale_s: int = 4 * 3600, grace_s: int = 4 * 3600) -> Column:
+#: Seconds after which a version is stale, and that a start may take.
+STALE_S, GRACE_S = 4 * 3600, 4 * 3600
+
+
+def health(has_pointer: Column, age_s: Column, uptime_s: Column, stale_s: int = STALE_S, grace_s: int = GRACE_S) -> Column:
     """Struct (state, code): starting, broken, ok or stale."""
     state = F.when(~has_pointer, F.when(uptime_s > grace_s, "broken").otherwise("starting")).when(age_s > stale_s, "stale").otherwise("ok")
     code = F.when(state.isin("ok", "starting"), 200).otherwise(503)

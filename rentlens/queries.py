@@ -9,8 +9,8 @@ from . import fixtures as X
 from .functions import scalars as S
 from .operators import history, monthly_index, quality, registry, resolve
 from .plans import publish, serve
-from .session import cut, table
-from .sources import pages
+from .session import cut, own_dir, table
+from .sources import pages, tables
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -70,21 +70,22 @@ def text_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FLOORS = "case doc_id % 4 when 0 then concat(cast(floor as string), ' из 9') when 1 then cast(floor as string) when 2 then 'цоколь' end"
 
 
-@query(f"select id, cast(floor as bigint) as f, case when doc_id % 4 = 0 then 9 end::bigint as total from ({L}) where doc_id % 4 < 2 union all select id, null, null from ({L}) where doc_id % 4 >= 2")
+@query(f"select id, cast(floor as bigint) as f, case when doc_id % 4 = 0 and floor is not null then 9 end::bigint as total from ({L}) where doc_id % 4 < 2 union all select id, null, null from ({L}) where doc_id % 4 >= 2")
 def floor_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = X.listings(spark, sf_dir).selectExpr("id", f"{_FLOORS} as t")
     return df.select("id", S.floor_pair(F.col("t")).alias("p")).select("id", F.col("p.floor").alias("f"), "p.total")
 
 
 @query(f"""
-with l as (select * from ({L}))
+with l as (select *, case when lower(owner_name) <> 'хозяин' then lower(owner_name) end as own from ({L}))
 select a.id as a, b.id as b, round(2 * 6371000.0 * asin(sqrt(pow(sin(radians(b.latitude - a.latitude) / 2), 2)
   + cos(radians(a.latitude)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - a.longitude) / 2), 2))), 3) as metres
-from l a join l b on a.owner_name = b.owner_name and a.doc_id < b.doc_id where a.doc_id % 4 = 0 and a.rooms = b.rooms""")
+from l a join l b on a.own = b.own and a.rooms = b.rooms and a.floor = b.floor and a.square_m2 = b.square_m2 and a.doc_id < b.doc_id""")
 def haversine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = X.listings(spark, sf_dir).filter("doc_id % 4 = 0").select("id", "doc_id", "owner_name", "rooms", "latitude", "longitude")
-    a, b = df.alias("a"), df.alias("b")
-    j = a.join(b, (F.col("a.owner_name") == F.col("b.owner_name")) & (F.col("a.rooms") == F.col("b.rooms")) & (F.col("a.doc_id") < F.col("b.doc_id")))
+    """Distances of listings with an owner of their own that have the same owner, rooms, floor and area."""
+    same = ["own", "rooms", "floor", "square_m2"]
+    df = X.listings(spark, sf_dir).select("id", "doc_id", S.owner(F.col("owner_name")).alias("own"), *same[1:], "latitude", "longitude")
+    j = df.alias("a").join(df.select("id", "doc_id", *same, "latitude", "longitude").alias("b"), same).filter("a.doc_id < b.doc_id")
     metres = S.haversine_m(F.col("a.latitude"), F.col("a.longitude"), F.col("b.latitude"), F.col("b.longitude"))
     return j.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.round(metres, 3).alias("metres"))
 
@@ -99,7 +100,7 @@ def hashes_and_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _REASON = """case when price is null or rooms is null or square_m2 is null then 'incomplete' when storage <> '' and storage <> 'live' then 'storage' when price <= 0 then 'price'
   when square_m2 <= 0 then 'area' when square_m2 not between 15 and 400 then 'area_bounds' when price / square_m2 not between 1500 and 40000 then 'price_m2_bounds'
-  when latitude is not null and not (latitude between 50.5 and 52.0 and longitude between 70.5 and 72.5) then 'outside'
+  when latitude is not null and longitude is not null and not (latitude between 50.5 and 52.0 and longitude between 70.5 and 72.5) then 'outside'
   when city <> '' and lower(city) not in ('astana') then 'city' end"""
 
 
@@ -278,25 +279,33 @@ def price_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NEWP = f"select cast(id as varchar) as id, trunc(arg_max(price, seq)) as new from ({P}) group by 1"
 
 
-@query(f"""
-with s as (select id, price, last_seen_at from ({L}) where doc_id % 3 <> 0), n as ({_NEWP}), j as (select n.id, n.new, s.price as old, s.last_seen_at from n left join s on s.id = n.id)
-select id, old::double as price, last_seen_at as observed_at from j where old is not null union all
-select id, new, '2024-03-01T00:00:00+00:00' from j where old is null or abs(old - new) > 0.01""")
+_CHANGES = f"""
+with s as (select id, price::double as price, last_seen_at from ({L}) where doc_id % 3 <> 0), n as ({_NEWP}), h as ({X.RECORDED_SQL}),
+last as (select id, arg_max(price, observed_at) as last from h group by id),
+j as (select n.id, n.new, s.price as old, s.last_seen_at, last from n left join s on s.id = n.id left join last on last.id = n.id),
+points as (
+  select id, old as price, last_seen_at as observed_at from j where old is not null and last is null union all
+  select id, new, '2024-03-01T00:00:00+00:00' from j where case when old is null then last is null or abs(last - new) > 0.01 else abs(old - new) > 0.01 end)"""
+
+
+@query(f"{_CHANGES} select id, price, observed_at from points p where not exists (from h where h.id = p.id and h.observed_at = p.observed_at)")
 def price_history_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changes(spark, sf_dir)[0]
 
 
-@query(f"""
-select n.id, 'price_drop' as reason, n.new as price, s.price::double as old_price, '2024-03-01T00:00:00+00:00' as observed_at
-from ({_NEWP}) n join (select id, price from ({L}) where doc_id % 3 <> 0) s on s.id = n.id where n.new < s.price - 0.01""")
+@query(f"{_CHANGES} select id, 'price_drop' as reason, new as price, old as old_price, '2024-03-01T00:00:00+00:00' as observed_at from j where new < old - 0.01")
 def price_drop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _changes(spark, sf_dir)[1]
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     prices = X.observations(spark, sf_dir).groupBy(F.col("id").cast("string").alias("id")).agg(F.max_by("price", "seq").alias("price"))
-    empty = spark.createDataFrame([], "id string, price double, observed_at string")
-    return history.price_changes(_state(spark, sf_dir), empty, prices, "2024-03-01T00:00:00+00:00")
+    return history.price_changes(_state(spark, sf_dir), X.recorded(spark, sf_dir), prices, "2024-03-01T00:00:00+00:00")
+
+
+@query(f"{_CHANGES} select 500 + row_number() over (order by id) as event_id, id, new as price from j where new < old - 0.01")
+def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.numbered(_changes(spark, sf_dir)[1], 500).select("event_id", "id", "price")
 
 
 @query(f"""
@@ -331,7 +340,7 @@ def table_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select id, price, status from ({L}) where id = '42'")
 def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.listings(spark, sf_dir).filter("doc_id = 42").select("id", "price", "status")
+    return tables.point(X.listings(spark, sf_dir), "42").select("id", "price", "status")
 
 
 # index
@@ -371,20 +380,44 @@ def index_description(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # resolution
 
-_PREP = f"""select id, square_m2 as sq, price as price_n, floor as floor_n, rooms, lat_u, lon_u, latitude as lat, longitude as lon,
-  case when house_num not like '%,%' then house_num end as house, case when lower(owner_name) <> 'хозяин' then lower(owner_name) end as owner_n, full_description from ({L})"""
-_KEYS = f"""
-prep as ({_PREP}),
+_AREA = "coalesce(cast(cast(sq as bigint) as varchar), '~')"
+_KINDS = {
+    "geo4": "(lat_u // 100) || ':' || (lon_u // 100)", "geo3_area": f"(lat_u // 1000) || ':' || (lon_u // 1000) || '|' || {_AREA}", "geo3_rooms": "(lat_u // 1000) || ':' || (lon_u // 1000) || '|' || rooms",
+    "street_area": f"street_n || '|' || {_AREA}", "street_rooms": "street_n || '|' || rooms", "complex_area": f"complex_n || '|' || {_AREA}", "complex_rooms": "complex_n || '|' || rooms",
+    "owner_area": f"owner_n || '|' || {_AREA}", "owner_rooms": "owner_n || '|' || rooms",
+}
+
+
+def _prep(rows: str) -> str:
+    return f"""select id, square_m2 as sq, price as price_n, floor as floor_n, rooms, lat_u, lon_u, latitude as lat, longitude as lon,
+  case when house_num not like '%,%' then house_num end as house, case when lower(owner_name) <> 'хозяин' then lower(owner_name) end as owner_n,
+  nullif(trim(replace(lower(street), '  ', ' ')), '') as street_n, coalesce(nullif(replace(lower(complex_name), '  ', ' '), ''), nullif(lower(complex_alias), '')) as complex_n,
+  full_description, created_at, scraped_at from ({rows})"""
+
+
+def _keys(rows: str) -> str:
+    return f"""
+prep as ({_prep(rows)}),
 keys as (
-  select id, kind, key, rooms || '|' || cast(sq as bigint) || '|' || floor_n as refine from (
-    select *, unnest(['geo4', 'geo3_area', 'geo3_rooms', 'owner_area', 'owner_rooms']) as kind,
-      unnest([(lat_u // 100) || ':' || (lon_u // 100), (lat_u // 1000) || ':' || (lon_u // 1000) || '|' || cast(sq as bigint), (lat_u // 1000) || ':' || (lon_u // 1000) || '|' || rooms,
-        owner_n || '|' || cast(sq as bigint), owner_n || '|' || rooms]) as key from prep) where key is not null)"""
-_PARTS = f"""{_KEYS},
+  select id, kind, key, rooms || '|' || {_AREA} || '|' || coalesce(cast(floor_n as varchar), '~') as refine from (
+    select *, unnest([{", ".join(f"'{k}'" for k in _KINDS)}]) as kind, unnest([{", ".join(_KINDS.values())}]) as key from prep) where key is not null)"""
+
+
+_KEYS = _keys(L)
+
+
+def _parts(rows: str) -> str:
+    return f"""{_keys(rows)},
 whole as (select kind, key, count(*) as n from keys group by 1, 2 having count(*) > 1),
 parts0 as (select k.id, k.kind, k.key, case when n <= 60 then '' else refine end as part from keys k join whole w on w.kind = k.kind and w.key = k.key),
 parts as (select *, count(*) over (partition by kind, key, part) as size from parts0)"""
-_PAIRS = f"{_PARTS}, pairs as (select distinct a.id as a, b.id as b from parts a join parts b on a.kind = b.kind and a.key = b.key and a.part = b.part and a.id < b.id where a.size between 2 and 60)"
+
+
+def _pairs(rows: str) -> str:
+    return f"{_parts(rows)}, pairs as (select distinct a.id as a, b.id as b from parts a join parts b on a.kind = b.kind and a.key = b.key and a.part = b.part and a.id < b.id where a.size between 2 and 60)"
+
+
+_PARTS, _PAIRS = _parts(L), _pairs(L)
 
 
 @query(f"with {_KEYS} select id, kind, key from keys")
@@ -408,12 +441,13 @@ def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.candidate_pairs(resolve.blocks(resolve.block_keys(resolve.prepare(X.listings(spark, sf_dir)))))
 
 
-_WHY = f"""{_PAIRS},
+def _why(rows: str) -> str:
+    return f"""{_pairs(rows)},
 sh as (select id, case when len(w) < 4 then [] else list_distinct([array_to_string(w[i:i+3], ' ') for i in range(1, len(w) - 2)]) end as s
   from (select id, regexp_extract_all(lower(full_description), '[а-яёa-z0-9]+') as w from prep)),
 base as (select p.a, p.b, case when x.house <> y.house then 'house'
-    when 2 * 6371000.0 * asin(sqrt(pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2))) > 30 then 'distance'
-    when x.rooms <> y.rooms then 'rooms' when abs(x.sq - y.sq) > greatest(3.0, 0.08 * least(x.sq, y.sq)) then 'area'
+    when not coalesce(2 * 6371000.0 * asin(sqrt(pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2))) <= 30, false) then 'distance'
+    when x.rooms <> y.rooms then 'rooms' when not coalesce(abs(x.sq - y.sq) <= greatest(3.0, 0.08 * least(x.sq, y.sq)), false) then 'area' when x.floor_n is null or y.floor_n is null then 'floor_unknown'
     when x.owner_n = y.owner_n and x.floor_n = y.floor_n and abs(x.sq - y.sq) <= greatest(2.0, 0.04 * least(x.sq, y.sq)) then 'A_owner'
     when x.owner_n = y.owner_n and x.floor_n = y.floor_n then 'owner_area' when x.owner_n = y.owner_n then 'owner_floor' when x.floor_n <> y.floor_n then 'floor' end as why,
     abs(x.price_n - y.price_n) / greatest(x.price_n, y.price_n) <= 0.02 and abs(x.sq - y.sq) <= greatest(2.0, 0.04 * least(x.sq, y.sq)) as firm
@@ -423,6 +457,30 @@ final as (select a, b, why from base where why is not null union all
   select a, b, case when n >= 8 and m >= 8 and i / (n + m - i) >= 0.35 then 'B_text' when firm then 'B_price' else 'unconfirmed' end from open_)"""
 
 
+# Greedy cliques, one node after the other in rank order; grp is [node, members...] of the step, used what all steps took.
+def _groups(rows: str) -> str:
+    return f"""{_why(rows)},
+hits as (select a, b from final where why in ('A_owner', 'B_text', 'B_price')),
+ends as (select a as n, b as m from hits union all select b, a from hits),
+deg as (select n, count(*) as d, list(m) as near from ends group by n),
+ranked as (select n, near, row_number() over (order by d desc, md5(n), n) as r from deg),
+steps as (select x.n, x.r, list([struct_pack(id := y.n, near := y.near)] order by y.r) as cands from ranked x join ends e on e.n = x.n join ranked y on y.n = e.m group by x.n, x.r),
+walk(r, used, grp) as (
+  select 0::bigint, []::varchar[], []::varchar[] union all
+  select s.r, list_concat(w.used, s.grp), s.grp from walk w, lateral (
+    select t.r, case when list_contains(w.used, t.n) then [] else list_transform(
+      list_reduce(list_filter(t.cands, lambda c: not list_contains(w.used, c[1].id)),
+        lambda acc, c: case when list_has_all(c[1].near, list_transform(acc, lambda x: x.id)) then list_concat(acc, c) else acc end,
+        [struct_pack(id := t.n, near := []::varchar[])]), lambda x: x.id) end as found,
+      case when len(found) > 1 then found else [] end as grp from steps t where t.r = w.r + 1) s),
+members as (select grp[1] as clique, unnest(grp) as id, generate_subscripts(grp, 1) - 1 as place from walk where len(grp) > 1),
+dated as (select m.*, coalesce(created_at, '') as created, coalesce(scraped_at, '') as scraped from members m join prep using (id)),
+groups as (select clique, id, row_number() over (partition by clique order by created desc, scraped desc, place) = 1 as keep from dated)"""
+
+
+_WHY = _why(L)
+
+
 @query(f"with {_WHY} select a, b, why in ('A_owner', 'B_text', 'B_price') as ok, case when why in ('A_owner', 'B_text', 'B_price') then why[1] end as track, why from final")
 def pair_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = cut(resolve.prepare(X.listings(spark, sf_dir)))
@@ -434,21 +492,26 @@ def decision_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_decisions(spark, sf_dir).groupBy("why").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"with recursive {_groups(L)} select clique, id, keep from groups")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = cut(resolve.prepare(X.listings(spark, sf_dir)))
     hits = resolve.decisions(resolve.candidate_pairs(resolve.blocks(resolve.block_keys(prepared))), prepared).filter("ok")
     return resolve.survivors(resolve.cliques(hits), prepared)
 
 
-@query()
+_GOOD = f"select * from ({LF}) where ({_REASON}) is null"
+
+
+@query(f"with recursive {_groups(_GOOD)} select id, price, square_m2, rooms, floor, created_at from ({_GOOD}) l where not exists (from groups g where g.id = l.id and not keep)")
 def er_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: accepted listings without duplicates."""
     kept, _ = publish.curate(X.listings(spark, sf_dir, faults=True))
     return kept.select("id", "price", "square_m2", "rooms", "floor", "created_at")
 
 
-@query()
+@query(f"""
+with recursive {_groups(L)} select (select count(*) from ({L})) as total, (select count(*) from pairs) as candidate_pairs, (select count(distinct clique) from groups) as groups,
+  (select count(*) from groups where not keep) as dropped, (select count(distinct (kind, key, part)) from parts where size > 60) as skipped_blocks, (select count(*) from parts where size > 60) as skipped_rows""")
 def er_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.dedupe(X.listings(spark, sf_dir))[1]
 
@@ -456,9 +519,19 @@ def er_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # publication and pages
 
 
-@query(f"select sha256(string_agg(id || ':' || price || ':' || cast(square_m2 as double), '|' order by id))[1:16] as version from ({L}) where square_m2 <= 400")
+@query(f"select sha256(string_agg(id || ':' || coalesce(price::varchar, 'None') || ':' || coalesce(cast(square_m2 as double)::varchar, 'None'), '|' order by id))[1:16] as version from ({LF})")
 def version_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish.version_hash(X.listings(spark, sf_dir).filter("square_m2 <= 400"))
+    return publish.version_hash(X.listings(spark, sf_dir, faults=True))
+
+
+@query(f"""
+with recursive {_groups(_GOOD)} select (select count(*) from ({_GOOD})) - (select count(*) from groups where not keep) as row_count, (select count(*) from ({LF})) as source_active,
+  (select count({_REASON}) from ({LF})) as source_filtered, (select count(distinct clique) from groups) as groups_deduped, true as price_index_measured, '{len(X.SERIES)} points' as price_index_note""")
+def published_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The meta row of a version that is built and published for it."""
+    folder = own_dir(spark, "published")
+    publish.build(X.listings(spark, sf_dir, faults=True), X.series(spark), folder, "2024-03-01T00:00:00+00:00")
+    return serve.read_meta(spark, folder).drop("version", "built_at")
 
 
 @query("""
@@ -484,7 +557,7 @@ _PAGE = "concat('<script>window.digitalData = {\"listing\":{\"pagesCount\":', ca
 
 @query("select page_id, cast(nullif(page_id % 4, 0) as integer) as n_pages, 't' || page_id as title, cast(page_id * 10 as varchar) as price from pages")
 def page_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").selectExpr("page_id", f"{_PAGE} as html")
+    p = table(spark, sf_dir, "pages").selectExpr("page_id", f"concat(html, {_PAGE}) as html")
     return p.select("page_id", pages.pages_count(F.col("html")).alias("n_pages"), pages.payload(F.col("html")).alias("d")).select("page_id", "n_pages", "d.advert.title", "d.advert.price")
 
 
@@ -495,8 +568,12 @@ _CARDS = "concat('<div class=\"x a-card\" data-id=\"', cast(page_id as string),
 select cast(page_id as varchar) as id, 'u/' || page_id as url, cast(page_id || '500' as bigint) as price, page_id as page_number from pages
 union all select 'p' || page_id, 'u/p' || page_id, null, page_id from pages""")
 def list_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages").selectExpr("page_id as page_number", f"{_CARDS} as html")
-    return pages.parse_list(p, url_prefix="u/")
+    return pages.parse_list(_list_pages(spark, sf_dir), url_prefix="u/")
+
+
+def _list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with two cards each behind their own content."""
+    return table(spark, sf_dir, "pages").selectExpr("page_id as page_number", f"concat(html, {_CARDS}) as html")
 
 
 @query("select doc_id as id from documents intersect select doc_id from labels")
@@ -510,6 +587,83 @@ def ids_not_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id")), "id", "left_anti")
 
 
-@query("select page_id as id from pages union select doc_id from labels")
+@query("select coalesce(p.page_id, l.doc_id) as id, case when p.page_id is null then 'label' else 'page' end as origin from pages p full join (select distinct doc_id from labels) l on l.doc_id = p.page_id")
 def ids_of_either(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id")).union(table(spark, sf_dir, "labels").select("doc_id")).distinct()
+    p, a = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return registry.union_first(p.select(F.col("page_id").alias("id"), F.lit("page").alias("origin")), a.select(F.col("doc_id").alias("id"), F.lit("label").alias("origin")))
+
+
+# rules of scans and runs
+
+
+@query(f"""
+select n as page_number, case when n % 5 = 0 then null when n % 5 = 1 then nullif(n - 1, 0) else n end as total_pages, n % 3 <> 0 as ok, n % 3 = 0 and n % 5 = 1 and n > 1 as ended
+from (select n_nationkey as n from nation)""")
+def list_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("page_number"))
+    count = "case when page_number % 5 = 0 then '' else concat('<script>window.digitalData = {\"listing\":{\"pagesCount\":', case when page_number % 5 = 1 then page_number - 1 else page_number end, '}};</script>') end"
+    card = "case when page_number % 3 <> 0 then '<div class=\"a-card\" data-id=\"1\"></div>' else '' end"
+    return pages.list_outcomes(n.selectExpr("page_number", f"concat({count}, {card}) as html")).withColumn("total_pages", F.col("total_pages").cast("long"))
+
+
+@query(f"""
+with b as (select * from ({L}) where doc_id % 2 = 0),
+n as (select id, price + 2 as price, city from b union all select id, price + 1, null from b where doc_id % 4 = 0)
+select coalesce(o.id, n.id) as id, coalesce(n.price, o.price) as price, coalesce(n.city, o.city) as city from (select * from ({L}) where doc_id % 3 <> 0) o
+full join (select id, arg_max(price, price) as price, max(city) as city from n group by id) n on n.id = o.id""")
+def upsert_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that repeats ids: an older record, then the newest one, without its city, as well as rows without an id."""
+    rows = X.listings(spark, sf_dir).filter("doc_id % 2 = 0")
+    old = rows.filter("doc_id % 4 = 0").withColumns({"price": F.col("price") + 1, "city": F.lit(None).cast("string"), "scraped_at": F.lit("2024-01-01")})
+    new = rows.withColumns({"price": F.col("price") + 2, "scraped_at": F.lit("2024-02-01")})
+    none = rows.withColumn("id", F.lit(None).cast("string"))
+    return registry.upsert_full(_state(spark, sf_dir), new.unionByName(old).unionByName(none), "2024-03-01T00:00:00+00:00").select("id", "price", "city")
+
+
+@query(f"""
+select l.id from ({LF}) l left join ({_ATTEMPTS}) f on f.id = l.id
+where (price is null or rooms is null or square_m2 is null) and coalesce(attempts, 0) < 4 and l.id in (select cast(doc_id as varchar) from labels)""")
+def refetch_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    return registry.refetch_queue(X.listings(spark, sf_dir, faults=True), _failures(spark, sf_dir), wanted)
+
+
+@query(f"""
+select event_id, user_id from (select *, count(*) filter (event_type = 'error') over (partition by user_id, island) as n from ({_STREAK})) where event_type = 'error' and n < 3""")
+def counted_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", (F.col("event_type") != "error").alias("good"))
+    return registry.counted_failures(e, "user_id", ["ts", "event_id"]).select("event_id", "user_id")
+
+
+@query(f"select id, 'new' as reason, price, cast(null as double) as old_price from ({_WINDOW})")
+def window_all_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every id of the window is new; a warm-up adds nothing."""
+    window, known = _windows(spark, sf_dir)
+    nothing = registry.window_diff(window, known, window, warmup=True).unionByName(registry.window_diff(window, known.limit(0), window.limit(0)))
+    return registry.window_diff(window, known, window, all_new=True).unionByName(nothing)
+
+
+@query(f"""
+select d.id, d.reason, d.price, d.old_price, nullif(l.street, '') as street, l.status from (
+  select w.id, 'price_drop' as reason, w.price, k.price as old_price from ({_WINDOW}) w join ({_KNOWN}) k on k.id = w.id where w.price < k.price) d
+left join (select * from ({L}) where doc_id % 3 <> 0) l on l.id = d.id""")
+def enriched_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    window, known = _windows(spark, sf_dir)
+    drops = registry.window_diff(window, known, window).filter("reason = 'price_drop'")
+    return registry.enrich_drops(drops, _state(spark, sf_dir)).select("id", "reason", "price", "old_price", "street", "status")
+
+
+@query("select event_id, epoch(date_trunc('second', ts))::bigint as at from events")
+def moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO texts with Z, an offset, none, or junk after the seconds."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    tail = F.element_at(F.array(F.lit("Z"), F.lit("+00:00"), F.lit(""), F.lit(" junk")), (F.col("event_id") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", S.moment(F.concat(text, tail)).cast("long").alias("at"))
+
+
+@query("select n_nationkey as k, n_nationkey % 2 = 0 and n_nationkey <= 6 as fresh from nation")
+def snapshot_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots finished k half hours before the time asked about; every odd one is incomplete."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
+    finished = S.iso(F.lit("2024-03-01T12:00:00+00:00").cast("timestamp") - F.make_dt_interval(mins=F.col("k").cast("int") * 30))
+    return n.select("k", registry.is_fresh(F.col("k") % 2 == 0, finished, "2024-03-01T12:00:00+00:00").alias("fresh"))

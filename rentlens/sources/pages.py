@@ -38,15 +38,20 @@ class _Node:
         return name in (self.attrs.get("class") or "").split()
 
     def walk(self):
-        for c in self.children:
+        """All tags below, in order; without recursion, as pages may nest to any depth."""
+        todo = list(reversed(self.children))
+        while todo:
+            c = todo.pop()
             if isinstance(c, _Node):
                 yield c
-                yield from c.walk()
+                todo.extend(reversed(c.children))
 
     def texts(self):
-        for c in self.children:
+        todo = list(reversed(self.children))
+        while todo:
+            c = todo.pop()
             if isinstance(c, _Node):
-                yield from c.texts()
+                todo.extend(reversed(c.children))
             else:
                 yield c
 
@@ -117,26 +122,47 @@ def detail_blocks(html: str | None) -> dict:
 
 
 def _mapped(pages: DataFrame, html: str, name: str, kind: T.DataType, arrow: pa.DataType, parse) -> DataFrame:
+    """pages with what parse makes of each page; null for a page that it can't take, as one bad page must not stop the rest."""
     ship(pages.sparkSession)
+
+    def guarded(h: str | None):
+        try:
+            return parse(h)
+        except Exception:
+            return None
+
     others = [c for c in pages.columns if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([parse(h) for h in batch.column(html).to_pylist()], arrow)
+            made = pa.array([guarded(h) for h in batch.column(html).to_pylist()], arrow)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), made], [*others, name])
 
     return pages.select(others).mapInArrow(run, T.StructType([*(pages.schema[c] for c in others), T.StructField(name, kind)]))
 
 
-def parse_list(pages: DataFrame, html: str = "html", page: str = "page_number", url_prefix: str = "") -> DataFrame:
-    """(id, url, price, page_number) for each card of each page."""
+def _carded(pages: DataFrame, html: str, page: str) -> DataFrame:
     kind = T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("price", T.StringType())]))
     arrow = pa.list_(pa.struct([("id", pa.string()), ("price", pa.string())]))
-    cards = _mapped(pages.select(page, html), html, "cards", kind, arrow, list_cards)
-    c = cards.select(F.col(page).alias("page_number"), F.explode("cards").alias("c"))
+    return _mapped(pages.select(page, html), html, "cards", kind, arrow, list_cards)
+
+
+def parse_list(pages: DataFrame, html: str = "html", page: str = "page_number", url_prefix: str = "") -> DataFrame:
+    """(id, url, price, page_number) for each card of each page; see list_outcomes for pages without one."""
+    c = _carded(pages, html, page).select(F.col(page).alias("page_number"), F.explode("cards").alias("c"))
     return c.select("c.id", F.concat(F.lit(url_prefix), F.col("c.id")).alias("url"), F.col("c.price").try_cast("long").alias("price"), "page_number")
 
 
+def list_outcomes(pages: DataFrame, html: str = "html", page: str = "page_number") -> DataFrame:
+    """(page_number, total_pages, ok, ended): what the scan may conclude from each list page.
+
+    ok: it has cards. An empty page ends the list only if its own count says that there are fewer pages than its number; otherwise it was not read."""
+    n = F.coalesce(F.size("cards"), F.lit(0))
+    seen = _carded(pages, html, page).select(F.col(page).alias("page_number"), pages_count(F.col(html)).alias("total_pages"), n.alias("n"))
+    ended = (F.col("n") <= 0) & F.coalesce(F.col("total_pages") < F.col("page_number"), F.lit(False))
+    return seen.select("page_number", "total_pages", (F.col("n") > 0).alias("ok"), ended.alias("ended"))
+
+
 def pages_count(html: Column) -> Column:
     """Number of list pages from the embedded JSON; zero, junk or none is null."""
     payload = F.regexp_extract(html, r"(?s)window\.digitalData\s*=\s*(\{.*?\});", 1)
@@ -172,7 +198,7 @@ def links_of(html: Column) -> Column:
 
 
 def parse_detail(pages: DataFrame, scraped_at: str, page_id: str = "id", html: str = "html", url_prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """(listing rows, quarantined ids): pages without an advert are set aside."""
+    """(listing rows, quarantined ids): pages without an advert, or that can't be parsed, are set aside."""
     text, both = T.StringType(), T.StructType([T.StructField("_1", T.StringType()), T.StructField("_2", T.StringType())])
     kind = T.StructType([T.StructField("info", T.ArrayType(both)), *[T.StructField(c, text) for c in ("href", "complex", "description", "price")]])
     arrow = pa.struct([("info", pa.list_(pa.struct([("_1", pa.string()), ("_2", pa.string())]))), *[(c, pa.string()) for c in ("href", "complex", "description", "price")]])
@@ -183,7 +209,7 @@ def parse_detail(pages: DataFrame, scraped_at: str, page_id: str = "id", html: s
 
     found = _mapped(pages.select(page_id, html), html, "b", kind, arrow, blocks)
     d = found.select(F.col(page_id).cast("string").alias("id"), payload(F.col(html)).alias("d"), "b", F.map_from_entries("b.info").alias("info"))
-    good = F.col("d.advert").isNotNull()
+    good = F.col("d.advert").isNotNull() & F.col("b").isNotNull()
     ad, extra = F.col("d.advert"), F.get(F.col("d.adverts"), F.lit(0))
     owner = extra["owner"]
     photos = F.coalesce(F.filter(F.transform(ad["photos"], lambda p: p["src"]), lambda s: s.isNotNull() & (s != "")), F.array().cast("array<string>"))

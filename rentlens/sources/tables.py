@@ -40,13 +40,26 @@ def point(df: DataFrame, listing: str) -> DataFrame:
 
 
 class NotPublished(LookupError):
-    """There is no readable version yet."""
+    """There is no version yet."""
+
+
+class DamagedPointer(ValueError):
+    """The pointer is there, but isn't JSON."""
+
+
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether path exists. A store that can't be reached raises; it isn't taken for an empty one."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_pointer(spark: SparkSession, folder: str) -> dict:
-    """The pointer's content; NotPublished if it is missing or unreadable."""
+    """The pointer's content; NotPublished only if the file isn't there."""
+    path = f"{folder}/latest.json"
+    if not stored(spark, path):
+        raise NotPublished(folder)
+    rows = spark.read.text(path, wholetext=True).collect()
     try:
-        rows = spark.read.text(f"{folder}/latest.json", wholetext=True).collect()
         return json.loads(rows[0][0])
-    except Exception as e:
-        raise NotPublished(folder) from e
+    except (IndexError, ValueError) as e:
+        raise DamagedPointer(path) from e

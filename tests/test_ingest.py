@@ -1,10 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
 
 from rentlens import schema
 from rentlens.functions import sql
-from rentlens.operators import graph
+from rentlens.operators import graph, registry
 from rentlens.plans import ingest
-from rentlens.sources import state
+from rentlens.sources import pages, sinks, state, tables
 
 
 def test_runs(spark, tmp_path):
@@ -29,6 +30,70 @@ def test_runs(spark, tmp_path):
     assert now["listings"].columns == schema.LISTING_COLUMNS
 
 
+def test_commit_after_a_crash(spark, tmp_path):
+    """A run that wrote its generation but not the pointer must not win over the next commit."""
+    folder, empty = str(tmp_path), state.load(spark, str(tmp_path))
+    row = lambda i: empty["failures"].unionByName(spark.createDataFrame([(i, 1, "e", "t")], schema.FAILURES))
+    assert state.commit(spark, folder, empty | {"failures": row("old")}) == 1
+    real = sinks.write_text
+    sinks.write_text = lambda *_: (_ for _ in ()).throw(OSError("crash"))
+    try:
+        with pytest.raises(OSError):
+            state.commit(spark, folder, empty | {"failures": row("crashed")})
+    finally:
+        sinks.write_text = real
+    assert [r["id"] for r in state.load(spark, folder)["failures"].collect()] == ["old"]
+    assert state.commit(spark, folder, empty | {"failures": row("new")}) == 2
+    assert [r["id"] for r in state.load(spark, folder)["failures"].collect()] == ["new"]
+    # many commits keep a few folders, the current one among them
+    for _ in range(3):
+        state.commit(spark, folder, empty | {"failures": row("last")})
+    assert len([p for p in tmp_path.iterdir() if p.name.startswith("gen-")]) == 3
+    assert [r["id"] for r in state.load(spark, folder)["failures"].collect()] == ["last"]
+
+
+def test_damaged_pointer_is_not_an_empty_store(spark, tmp_path):
+    (tmp_path / "latest.json").write_text("{")
+    with pytest.raises(tables.DamagedPointer):
+        state.load(spark, str(tmp_path))
+
+
+def test_repeated_and_null_ids(spark):
+    details = spark.createDataFrame([("1", "100", "A", "t1"), ("1", "90", None, "t2"), (None, "5", "B", "t1"), ("1", "90", None, "t2")], "id string, price string, street string, scraped_at string")
+    out = registry.upsert_full(spark.createDataFrame([], schema.LISTING), details, "now").collect()
+    assert [(r["id"], r["price"], r["street"]) for r in out] == [("1", 90, "A")]
+    held = registry.upsert_full(spark.createDataFrame([], schema.LISTING), details.filter("scraped_at = 't1'"), "now")
+    prices = spark.createDataFrame([("1", "7", 1), ("1", "5", 2), (None, "3", 3), ("1", None, 3)], "id string, price string, at int")
+    assert [(r["id"], r["price"]) for r in registry.update_prices(held, prices, "now", "at").collect()] == [("1", 5)]
+    assert [(r["id"], r["price"]) for r in registry.update_prices(held, prices, "now").collect()] == [("1", 7)]
+
+
+def test_window_rules(spark):
+    window = spark.createDataFrame([("1", 5.0), ("2", 9.0)], "id string, price double")
+    known = spark.createDataFrame([("1", 7.0)], window.schema)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    none = window.limit(0)
+    assert rows(registry.window_diff(window, known, none)) == [("1", "price_drop", 5.0, 7.0), ("2", "new", 9.0, None)]
+    assert rows(registry.window_diff(window, none, none)) == [] == rows(registry.window_diff(window, known, none, warmup=True))
+    assert rows(registry.window_diff(window, none, none, all_new=True)) == [("1", "new", 5.0, None), ("2", "new", 9.0, None)]
+
+
+def test_list_ends(spark):
+    """An empty page ends the list only if it says itself that there are fewer pages."""
+    card, count = '<div class="a-card" data-id="{0}"></div>', '<script>window.digitalData = {{"listing":{{"pagesCount":{0}}}}};</script>'
+    full = [(i, count.format(3) + card.format(i)) for i in (1, 2)]
+    for last, complete, skipped in [(count.format(2), True, []), (count.format(3), False, [3]), ("", False, [3]), (None, False, [3]), (count.format(3) + card.format(3), True, [])]:
+        df = spark.createDataFrame([*full, (3, last)], "page_number int, html string")
+        meta = registry.merge_pages(pages.parse_list(df), pages.list_outcomes(df))[1].first()
+        assert (meta["complete"], meta["skipped_pages"], meta["total_pages"]) == (complete, skipped, 3), last
+
+
+def test_pending_failures(spark):
+    rows = [("r", 1, False), ("r", 2, False), ("r", 3, True), ("r", 4, False), ("r", 5, False), ("r", 6, False), ("q", 1, True), ("q", 2, False)]
+    df = spark.createDataFrame(rows, "run string, n int, good boolean")
+    assert sorted((r["run"], r["n"]) for r in registry.counted_failures(df, "run", ["n"]).collect()) == [("q", 2), ("r", 1), ("r", 2)]
+
+
 def test_sql_functions(spark):
     sql.register(spark)
     r = spark.sql(r"select haversine_m(51.1, 71.4, 51.1, 71.4) as a, norm_text(' A  b ') as b, clean_house(' 9\\1 A ') as c, clean_house('1,2') as d, jaccard(array('a','b'), array('b')) as e").first()

@@ -39,6 +39,16 @@ def test_texts(spark):
     assert one(spark, S.duration_text(F.lit(3720))) == "1h 02m"
 
 
+def test_null_coordinates(spark):
+    assert one(spark, S.haversine_m(F.lit(51.0), F.lit(None).cast("double"), F.lit(51.0), F.lit(71.0))) is None
+
+
+def test_moments(spark):
+    want = {"2024-01-02T03:04:05Z": 1704164645, "2024-01-02T03:04:05+05:00": 1704146645, "2024-01-02 03:04:05": 1704164645, "2024-01-02T03:04:05.5xyz": 1704164645, "2024": None, "junk": None, "": None}
+    for text, at in want.items():
+        assert one(spark, S.moment(F.lit(text)).cast("long")) == at, text
+
+
 def test_upsert_keeps_old_values(spark):
     state = rows(spark, {"id": "1", "street": "S", "price": 100, "status": "missing", "first_seen_at": "a", "last_seen_at": "b"})
     out = registry.upsert_full(state, spark.createDataFrame([("1", None, "200"), ("2", "T", "5")], "id string, street string, price string"), NOW)
@@ -124,6 +134,61 @@ def test_decisions(spark):
     assert decide(spark, {"full_description": text, "price": 1}, {"full_description": text + " end", "price": 9}) == (True, "B_text")
 
 
+def one_by_one(hits):
+    """Greedy cliques, a node after the other by degree and digest."""
+    import hashlib
+
+    near = {}
+    for a, b in hits:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    rank = sorted(near, key=lambda n: (-len(near[n]), hashlib.md5(str(n).encode()).hexdigest()))
+    used, out = set(), set()
+    for n in rank:
+        if n not in used:
+            group = [n]
+            for m in rank:
+                if m in near[n] and m not in used and all(m in near[g] for g in group):
+                    group.append(m)
+            if len(group) > 1:
+                used.update(group)
+                out.add((n, *group[1:]))
+    return out
+
+
+def test_cliques_in_rounds(spark):
+    """Components of any size give what one choice after the other gives, also if none fits a task."""
+    import random
+
+    random.seed(6)
+    edges = {tuple(sorted(random.sample(range(60), 2))) for _ in range(160)} | {(i, i + 1) for i in range(100, 160)} | {(200, 201), (201, 202), (200, 202)}
+    hits = spark.createDataFrame([*edges, (200, 201)], "a long, b long")
+    for bound in (200_000, 40, 1):
+        got = {}
+        for r in resolve.cliques(hits, task_hits=bound).orderBy("place").collect():
+            got.setdefault(r["clique"], []).append(r["id"])
+        assert {tuple(g) for g in got.values()} == one_by_one(edges)
+
+
+def test_text_bound_changes_nothing(spark):
+    """Decisions with the size bound are those of the plain similarity, and tracks only name them."""
+    import random
+
+    random.seed(1)
+    words = [f"w{i}" for i in range(40)]
+    base = {"latitude": 51.1, "longitude": 71.4, "rooms": 2, "square_m2": 58.0, "floor": 3}
+    df = rows(spark, *[{**base, "id": str(i), "price": random.choice([100, 101, 200]), "full_description": " ".join(words[: random.randint(5, 40)])} for i in range(25)])
+    p = resolve.prepare(df)
+    pairs = resolve.candidate_pairs(resolve.blocks(resolve.block_keys(p)))
+    got = {(r["a"], r["b"]): r for r in resolve.decisions(pairs, p).collect()}
+    assert {k: r["ok"] for k, r in got.items()} == {(r["a"], r["b"]): r["ok"] for r in resolve.decisions(pairs, p, tracks=False).collect()}
+    n = {r["id"]: (max(0, len(r["full_description"].split()) - 3), r["price"]) for r in df.collect()}
+    for (a, b), r in got.items():
+        (x, pa), (y, pb) = n[a], n[b]
+        alike = min(x, y) >= 8 and min(x, y) / max(x, y) >= 0.35
+        assert r["why"] == ("B_text" if alike else "B_price" if abs(pa - pb) / max(pa, pb) <= 0.02 else "unconfirmed")
+
+
 def test_cliques(spark):
     hits = spark.createDataFrame([(1, 2), (2, 3), (5, 6), (6, 7), (5, 7)], "a long, b long")
     groups = {}
