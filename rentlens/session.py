@@ -35,9 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Let Python workers started from here on import this package by reference, from where it is installed on their machines.
 
-    Arrow batches are bounded, as texts can be long, unless the session has a bound of its own below the default."""
+    Arrow batches are bounded in rows and bytes, as texts can be long, unless the session has a bound of its own below the default."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) >= 10_000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     env = spark.sparkContext.environment
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in known:
