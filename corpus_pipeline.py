@@ -20,8 +20,12 @@ from rentlens.llm import ngram_join, packing
 from rentlens.llm.line_dedup import dedup_lines
 from rentlens.llm.quality_rules import OUTPUT, apply_rules
 from rentlens.llm.queries import vocabulary
+from rentlens.llm.text import free_name
 from rentlens.session import cut, shared_dir, ship, table
 
+#: Least scores of a prediction that overrides a given language, and of one that stands for a missing one.
+REFUTED, FITS = 0.9, 0.55
+
 
 def _retexted(docs: DataFrame, out: DataFrame, text: Column) -> DataFrame:
     """The columns of docs with a new text and its length."""
@@ -30,14 +34,21 @@ def _retexted(docs: DataFrame, out: DataFrame, text: Column) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go; a missing lang is filled in, a given one stays. Without any labelled row there is no model, and lang stays null."""
+    """Documents without a letter go; of the others those whose language the text refutes (another one is predicted with a score of at
+    least REFUTED), and those without a language that none fits (a score below FITS). A missing lang is filled in.
+
+    Without any labelled row there is no model: texts with a letter stay and lang stays null. Ties between languages score one half, so
+    they refute nothing. Texts of any length are parsed whole; repeated rows get equal decisions."""
     ship(spark)
     model = lid.train(docs, "text", "lang")
     if not model.langs:
         return docs.filter(F.col("text").rlike("\\p{L}"))
-    out = lid.identify(docs, model, names=("__lang", "__score")).filter(F.col("__lang") != "und")
-    filled = F.coalesce("lang", "__lang").alias("lang")
-    return out.select(*[filled if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+    pred, score = free_name(docs, "predicted"), free_name(docs, "fit")
+    out = lid.identify(docs, model, names=(pred, score)).filter(F.col(pred) != "und")
+    given, fit = F.col("lang"), F.col(score)
+    good = F.when(given.isNull(), fit >= FITS).otherwise((given == F.col(pred)) | (fit < REFUTED))
+    filled = F.coalesce("lang", pred).alias("lang")
+    return out.filter(good).select(*[filled if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,53 +1,55 @@
 """Language identification by cross-parsing.
 
-A suffix automaton stands for the reference text of each language. A text is parsed
-into phrases, each the longest prefix of what is left that occurs in the reference; the phrases
-needed, times the logarithm of the reference's length, over the text's length estimate the cross
-entropy in bits a letter. The language with the lowest estimate wins.
-
-The references come from a bounded sample: docs_per_lang labelled texts (distinct ones, in hash
-order) of each language, up to chars_per_doc letters from each and chars_per_lang in all, joined so that no phrase
-crosses a border. The automata become one table (state, letter) -> state of at most
-2 * chars_per_lang rows a language, sent to the workers. Texts are lower-cased, runs of other
-characters than letters become one space; whole texts are parsed, in lockstep over pieces of
-STEP letters: each piece starts a phrase, which costs every language the same.
-
-Null and blank texts and texts without a letter are `und` with score 0, as is everything if there
-is no labelled text. The score of other texts, from 0.5 to 1, grows with the distance to the second language (1 if there is only one).
-Ties go to the language first by name. Other columns pass through; columns named like an output are replaced.
+A suffix automaton stands for the reference text of each language. A text is parsed into phrases, each the longest prefix of what is left
+that occurs in the reference; the phrases needed, times the logarithm of the reference's length, over the text's length estimate the
+cross entropy in bits a letter. The language with the lowest estimate wins.
+
+The references come from a bounded sample of labelled rows: of each language at most docs_per_lang distinct texts, those of up to `short`
+characters first and in hash order, longer ones by length, until they have chars_per_lang characters; at least one. Texts are taken whole and
+joined so that no phrase crosses a border. An automaton has at most two states a letter; its edges lie in one array of displaced rows
+(a state's edge with letter c at place state + c, with its owner), whose size follows the edges, not states times alphabet. Labels of more than
+most_langs different values raise an error, as the model is sent to the workers.
+
+Texts are lower-cased, runs of other characters than letters become one space; whole texts are parsed. Pieces of STEP letters are parsed in
+lockstep, each from its own start past its end to the end of its last phrase. What depends on a start is then done again: a piece is
+entered where the piece before ends its last phrase, and parsed from there until a phrase starts where one did before. So the phrases are
+those of one parse from left to right. A letter that the reference lacks is a phrase of its own.
+
+Null and blank texts and texts without a letter are `und` with score 0, as is everything if there is no labelled text. The score of other
+texts, from 0.5 to 1, grows with the distance to the second language (1 if there is only one). Ties go to the language first by name; rows
+are independent, so repeated rows get equal results. Other columns pass through; columns named like an output are replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .text import free_name
+
 STEP = 256
 SCALE = 12.0
+#: Letters that are parsed at once; one longer text is parsed alone.
+AT_ONCE = 1 << 20
+POINTS = 0x110000
 
 
-def letter_codes(alphabet: str | None = None) -> np.ndarray:
-    """Code of each code point: 0 for other than letters, else the lower-case letter's place in alphabet (from 1), or one more than the last."""
-    points = np.arange(0x110000, dtype=np.uint32)
-    low = points.copy()
-    letters = np.zeros(len(points), bool)
-    for i in range(0x110000):
+@lru_cache(1)
+def letters() -> np.ndarray:
+    """The lower-case letter of each code point, 0 for other than letters; made once in each Python process."""
+    low = np.zeros(POINTS, np.uint32)
+    for i in range(POINTS):
         c = chr(i)
         if c.isalpha():
-            letters[i] = True
-            if len(c.lower()) == 1:
-                low[i] = ord(c.lower())
-    if alphabet is None:
-        return np.where(letters, low, 0)
-    place = np.full(len(points), len(alphabet) + 1, np.uint16)
-    for k, c in enumerate(alphabet):
-        place[ord(c)] = k + 1
-    return np.where(letters, place[low], 0).astype(np.uint16)
+            small = c.lower()
+            low[i] = ord(small) if len(small) == 1 else i
+    return low
 
 
 def squeeze(text: str, codes: np.ndarray) -> np.ndarray:
@@ -59,8 +61,8 @@ def squeeze(text: str, codes: np.ndarray) -> np.ndarray:
     return c[:-1] if len(c) and c[-1] == 0 else c
 
 
-def automaton(pieces: list[np.ndarray], n_codes: int) -> np.ndarray:
-    """Transition table of the pieces' suffix automaton: 0 is no state, 1 the root, n_codes the padding that stays."""
+def automaton(pieces: list[np.ndarray]) -> list[dict[int, int]]:
+    """The edges of each state of the pieces' suffix automaton; 1 is the root, 0 no state."""
     goto, link, length = [{}, {}], [0, 0], [0, 0]
     for piece in pieces:
         last = 1
@@ -92,101 +94,166 @@ def automaton(pieces: list[np.ndarray], n_codes: int) -> np.ndarray:
                     p = link[p]
                 new = new or clone
             last = new
-    table = np.zeros((len(goto), n_codes + 1), np.int32)
-    for s, edges in enumerate(goto):
-        for c, t in edges.items():
-            table[s, c] = t
-    table[:, n_codes] = np.arange(len(goto))
-    return table
+    return goto
+
+
+def displaced(goto: list[dict[int, int]], n_codes: int) -> tuple[np.ndarray, int]:
+    """(edges, root): each state is a number of its own, and its edge with code c is at state + c: the owner in the upper half, the target in the lower.
+
+    States with many edges are placed first, each at the first number from a scattered one on that is free and whose edges fall on free places."""
+    size = 2 * (sum(map(len, goto)) + len(goto)) + 16
+    if size + n_codes >= 1 << 31:
+        raise ValueError("the references are too long")
+    used, taken, place = bytearray(size), bytearray(size + n_codes), [0] * len(goto)
+    used[0] = 1
+    for s in sorted(range(1, len(goto)), key=lambda s: -len(goto[s])):
+        at, codes = s * 2654435761 % size, list(goto[s])
+        while used[at] or any(taken[at + c] for c in codes):
+            at = (at + 1) % size
+        place[s], used[at] = at, 1
+        for c in codes:
+            taken[at + c] = 1
+    edges = np.zeros(size + n_codes, np.int64)
+    for s, out in enumerate(goto):
+        for c, t in out.items():
+            edges[place[s] + c] = place[s] << 32 | place[t]
+    return edges, place[1]
 
 
 class Model:
-    def __init__(self, langs: list[str], texts: dict[str, list[str]], chars_per_doc: int, chars_per_lang: int):
-        self.langs = sorted(langs)
-        points = letter_codes()
-        cut = {}
-        for lang in self.langs:
-            room, cut[lang] = chars_per_lang, []
-            for t in texts[lang]:
-                piece = squeeze(t, points)[: min(room, chars_per_doc)]
-                if len(piece):
-                    cut[lang].append(piece)
-                    room -= len(piece)
-        self.langs = [lang for lang in self.langs if cut[lang]]
-        seen = np.unique(np.concatenate([p for lang in self.langs for p in cut[lang]])) if self.langs else np.zeros(0, int)
+    """Automata of the languages' texts; each text is taken whole."""
+
+    def __init__(self, texts: dict[str, list[str]]):
+        pieces = {lang: [p for p in (squeeze(t, letters()) for t in texts[lang]) if len(p)] for lang in sorted(texts)}
+        self.langs = [lang for lang in pieces if pieces[lang]]
+        seen = np.unique(np.concatenate([p for lang in self.langs for p in pieces[lang]])) if self.langs else np.zeros(0, int)
         self.alphabet = "".join(chr(c) for c in seen if c)
-        place = {0: 0} | {ord(c): k + 1 for k, c in enumerate(self.alphabet)}
-        self.n_codes = len(self.alphabet) + 2
-        tables = [automaton([np.array([place[c] for c in p.tolist()]) for p in cut[lang]], self.n_codes) for lang in self.langs]
-        width = self.n_codes + 1
-        # states of all languages in one flat table; what is stored is a row's start
-        self.roots, flat, base = [], [], 0
-        for t in tables:
-            flat.append(np.where(t > 0, (t + base) * width, 0).astype(np.int32).ravel())
-            self.roots.append((base + 1) * width)
-            base += len(t)
-        self.flat = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        self.bits = np.array([np.log2(sum(map(len, cut[lang]))) for lang in self.langs])
-
-    def start(self) -> Model:
-        """Build what isn't worth sending."""
-        self.codes = letter_codes(self.alphabet)
-        return self
-
-    def phrases(self, rows: np.ndarray) -> np.ndarray:
-        """Phrases of each row of codes (padded with n_codes), by language."""
-        n = len(rows)
-        out = np.zeros((len(self.langs), n), np.int32)
-        for k, root in enumerate(self.roots):
-            state, count = np.full(n, root, np.int32), out[k]
-            for column in rows.T:
-                after = self.flat[state + column]
-                miss = after == 0
-                again = self.flat[root + column]
-                # a phrase ends before the letter; one that the reference lacks is a phrase of its own
-                count += (miss & (state != root)) + (again == 0).astype(np.int32)
-                state = np.where(miss, np.where(again == 0, root, again), after)
-            count += state != root
-        return out
+        place = np.zeros(POINTS, np.int32)
+        place[[ord(c) for c in self.alphabet]] = np.arange(1, len(self.alphabet) + 1)
+        self.n_codes = len(self.alphabet) + 3  # a letter that no reference has, and the end of a text
+        self.tables = [displaced(automaton([place[p] for p in pieces[lang]]), self.n_codes) for lang in self.langs]
+        self.bits = np.array([np.log2(max(2, sum(map(len, pieces[lang])))) for lang in self.langs])
+        self.made: np.ndarray | None = None
+
+    @property
+    def codes(self) -> np.ndarray:
+        """Code of each code point; not sent, but made once in each Python process."""
+        if self.made is None:
+            place = np.full(POINTS, len(self.alphabet) + 1, np.int32)
+            place[[ord(c) for c in self.alphabet]] = np.arange(1, len(self.alphabet) + 1)
+            low = letters()
+            self.made = np.where(low > 0, place[low], 0).astype(np.int32)
+        return self.made
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"made": None}
+
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Phrases of each text of codes, by language."""
+        sizes = np.array([len(t) for t in texts])
+        end = np.array([len(self.alphabet) + 2], np.int32)
+        flat = np.concatenate([x for t in texts for x in (t, end)] or [end])
+        first = np.cumsum(sizes + 1) - sizes - 1
+        n_pieces = -(-sizes // STEP)
+        owner = np.repeat(np.arange(len(texts)), n_pieces)
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+        start = first[owner] + number * STEP
+        stop = np.minimum(start + STEP, first[owner] + sizes[owner])
+        return np.stack([np.bincount(owner, _parsed(flat, start, stop, number > 0, *table), len(texts)) for table in self.tables])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        parts = [squeeze(t, self.codes) if t else np.zeros(0, np.uint16) for t in texts]
-        sizes = np.array([len(p) for p in parts])
+        parts = [squeeze(t, self.codes) if t else np.zeros(0, np.int32) for t in texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
         if not self.langs or not sizes.sum():
             return ["und"] * len(texts), [0.0] * len(texts)
-        pieces = -(-sizes // STEP)
-        rows = np.full((int(pieces.sum()), STEP), self.n_codes, np.int32)
-        flat, at = rows.ravel(), 0
-        for p, k in zip(parts, pieces):
-            flat[at : at + len(p)] = p
-            at += int(k) * STEP
-        counts = self.phrases(rows)
-        owner = np.repeat(np.arange(len(texts)), pieces)
-        total = np.stack([np.bincount(owner, c, len(texts)) for c in counts])
-        cost = total * self.bits[:, None] / np.maximum(sizes, 1)
+        cost = self.phrases(parts) * self.bits[:, None] / np.maximum(sizes, 1)
         best = cost.argmin(axis=0)
         if len(self.langs) > 1:
-            ranked = np.sort(cost, axis=0)
+            ranked = np.partition(cost, 1, axis=0)
             score = 1 / (1 + np.exp(-SCALE * (ranked[1] - ranked[0]) / np.maximum(ranked[1], 1e-9)))
         else:
             score = np.ones(len(texts))
         return [self.langs[b] if s else "und" for b, s in zip(best, sizes)], [float(x) if s else 0.0 for x, s in zip(score, sizes)]
 
 
-def train(df: DataFrame, text: str, lang: str, *, docs_per_lang: int = 64, chars_per_doc: int = 2048, chars_per_lang: int = 16384) -> Model:
-    """A model from labelled rows; rows with a null text or label don't count."""
-    from pyspark.sql import Window
+def _walk(flat: np.ndarray, start: np.ndarray, limit: np.ndarray, marks: np.ndarray, edges: np.ndarray, root: int, until: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Parse from each start to the first phrase that starts at the limit or later; returns (that start, phrases begun before it).
+
+    Without until, the starts of phrases are noted in marks; with it, a parse also ends at a phrase that starts at a mark."""
+    reached, begun = start.copy(), np.ones(len(start), np.int64)
+    who, at, state = np.arange(len(start)), start.copy(), np.full(len(start), root, np.int64)
+    if not until:
+        marks[start] = True
+    while len(who):
+        edge = edges[state + flat[at]]
+        on = edge >> 32 == state
+        at += on | (state == root)  # a letter that misses at the root is a phrase
+        state = np.where(on, edge & 0xFFFFFFFF, root)
+        new = np.flatnonzero(~on)
+        if not len(new):
+            continue
+        place, whose = at[new], who[new]
+        done = place >= limit[whose]
+        if until:
+            done |= marks[place]
+        reached[whose[done]] = place[done]
+        begun[whose[~done]] += 1
+        if not until:
+            marks[place[~done]] = True
+        if done.any():
+            left = np.ones(len(who), bool)
+            left[new[done]] = False
+            who, at, state = who[left], at[left], state[left]
+    return reached, begun
 
-    labelled = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
-    distinct = labelled.select("lang", F.xxhash64("text").alias("h")).distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = distinct.withColumn("r", rank).filter(F.col("r") <= docs_per_lang)
-    # at most docs_per_lang hashes for each language of the model
-    some = labelled.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "r").agg(F.min(F.substring("text", 1, 2 * chars_per_doc)).alias("text"))
+
+def _parsed(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, inner: np.ndarray, edges: np.ndarray, root: int) -> np.ndarray:
+    """Phrases that start in each piece (start to stop) in the parse of whole texts; inner pieces follow another one of their text."""
+    marks = np.zeros(len(flat) + 1, bool)
+    own_leave, count = _walk(flat, start, stop, marks, edges, root, False)
+    before = np.concatenate(([0], np.cumsum(marks)))
+    leave, entered = own_leave.copy(), start
+    while True:
+        entry = np.where(inner, np.concatenate((start[:1], leave[:-1])), start)
+        todo = np.flatnonzero(entry != entered)
+        if not len(todo):
+            return count
+        entered, at = entry, entry[todo]
+        past, known = at >= stop[todo], marks[at]
+        skipped, same, other = todo[past], todo[~past & known], todo[~past & ~known]
+        count[skipped], leave[skipped] = 0, entry[skipped]
+        count[same], leave[same] = before[stop[same]] - before[entry[same]], own_leave[same]
+        reached, begun = _walk(flat, entry[other], stop[other], marks, edges, root, True)
+        joined = reached < stop[other]
+        count[other] = begun + np.where(joined, before[stop[other]] - before[np.minimum(reached, stop[other])], 0)
+        leave[other] = np.where(joined, own_leave[other], reached)
+
+
+def train(df: DataFrame, text: str, lang: str, *, docs_per_lang: int = 64, short: int = 4096, chars_per_lang: int = 16_384, most_langs: int = 128) -> Model:
+    """A model from a bounded sample of the labelled rows; rows with a null text or label don't count."""
+    labelled = df.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
+    place = F.struct(F.greatest(F.length("text"), F.lit(short)).alias("size"), F.xxhash64("text").alias("h"))
+    distinct = labelled.select("lang", place.alias("o"), F.length("text").alias("n")).distinct()
+    # two levels, so that no task ranks all texts of a language
+    part = F.pmod(F.col("o.h"), F.lit(64))
+    for by in (["lang", "part"], ["lang"]):
+        distinct = distinct.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("o"))).filter(F.col("r") <= docs_per_lang)
+    chosen: dict[str, list[tuple[int, int]]] = {}
+    for row in distinct.select("lang", "o.h", "n").orderBy("lang", "r").limit(docs_per_lang * most_langs + 1).toLocalIterator():
+        rows = chosen.setdefault(row["lang"], [])
+        if sum(n for _, n in rows) < chars_per_lang:
+            rows.append((row["h"], row["n"]))
+    if len(chosen) > most_langs:
+        raise ValueError(f"more than {most_langs} languages; most_langs bounds the model, which is sent to every worker")
+    if not chosen:
+        return Model({})
+    # at most docs_per_lang hashes for each of most_langs languages
+    wanted = df.sparkSession.createDataFrame([(k, h, i) for k, rows in chosen.items() for i, (h, _) in enumerate(rows)], "lang string, h long, r int")
+    found = labelled.withColumn("h", F.xxhash64("text")).join(F.broadcast(wanted), ["lang", "h"]).groupBy("lang", "r").agg(F.min("text").alias("text"))
     texts: dict[str, list[tuple[int, str]]] = {}
-    for row in some.collect():
+    for row in found.collect():
         texts.setdefault(row["lang"], []).append((row["r"], row["text"]))
-    return Model(list(texts), {k: [t for _, t in sorted(v)] for k, v in texts.items()}, chars_per_doc, chars_per_lang)
+    return Model({k: [t for _, t in sorted(v)] for k, v in texts.items()})
 
 
 def identify(df: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -194,14 +261,27 @@ def identify(df: DataFrame, model: Model, text: str = "text", names: tuple[str,
     sent = df.sparkSession.sparkContext.broadcast(model)
     others = [c for c in df.columns if c not in names]
 
+    def some(texts: list[str | None]) -> Iterator[list[str | None]]:
+        held, n = [], 0
+        for t in texts:
+            if held and n + len(t or "") > AT_ONCE:
+                yield held
+                held, n = [], 0
+            held.append(t)
+            n += len(t or "")
+        yield held
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value.start()
         for batch in batches:
-            langs, scores = m.predict(batch.column("__t").to_pylist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*others, *names])
+            langs, scores = [], []
+            for part in some(batch.column(len(others)).to_pylist()):
+                a, b = sent.value.predict(part)
+                langs += a
+                scores += b
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*others, *names])
 
     schema = T.StructType([*(df.schema[c] for c in others), T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    return df.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias("__t")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias(free_name(df, "text"))).mapInArrow(run, schema)
 
 
 def bucket(doc_id: str, parts: int) -> Column:

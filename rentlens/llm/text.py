@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import let as let
@@ -41,3 +41,11 @@ def solid(text: Column) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever it has: for columns that an operator makes for itself."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -89,21 +89,52 @@ def brute_phrases(text, ref):
     return n
 
 
-def test_cross_parsing_against_brute_force():
+@pytest.mark.parametrize("letters", ["abcd", "абвгд", "日本語中文字学漢"])
+def test_cross_parsing_against_brute_force(monkeypatch, letters):
+    """The phrases of whole texts of many pieces, some holding long parts of the references, in several scripts."""
     import random
 
     random.seed(5)
-    words = ["".join(random.choice("abcd") for _ in range(random.randint(1, 5))) for _ in range(12)]
-    ref = " ".join(random.choice(words) for _ in range(150))
-    m = language_id.Model(["x"], {"x": [ref]}, 10_000, 10_000).start()
-    ref_clean = "".join(" " if c == 0 else m.alphabet[c - 1] for c in language_id.squeeze(ref, m.codes))
+    monkeypatch.setattr(language_id, "STEP", 16)
+    words = ["".join(random.choice(letters) for _ in range(random.randint(1, 5))) for _ in range(12)]
+    refs = [" ".join(random.choice(words) for _ in range(n)) for n in (150, 40, 1)]
+    m, ref = language_id.Model({"x": refs}), "\n".join(refs)
     for _ in range(60):
-        text = " ".join(random.choice(words + ["zz", "abba"]) for _ in range(random.randint(1, 30)))[: language_id.STEP]
-        codes = language_id.squeeze(text, m.codes)
+        parts = [*words, "zz", "xé", refs[0][: random.randint(1, 500)], refs[1][random.randint(0, 50) :]]
+        codes = language_id.squeeze(" ".join(random.choice(parts) for _ in range(random.randint(1, 60))), m.codes)
         clean = "".join(" " if c == 0 else (m.alphabet + "#")[c - 1] for c in codes)
-        rows = __import__("numpy").full((1, language_id.STEP), m.n_codes, "int32")
-        rows[0, : len(codes)] = codes
-        assert m.phrases(rows)[0, 0] == brute_phrases(clean, ref_clean), (text, clean)
+        got = m.phrases([codes, codes[:0], codes[:10], codes])
+        assert got.tolist() == [[brute_phrases(t, ref) for t in (clean, "", clean[:10], clean)]]
+
+
+def test_wide_alphabets_stay_sparse():
+    """The table of a language follows its edges, not states times the alphabet of all languages."""
+    import random
+
+    random.seed(9)
+    chinese = "".join(chr(0x4E00 + random.randint(0, 5000)) for _ in range(8000))
+    m = language_id.Model({"zh": [chinese], "en": ["some words of another language"]})
+    edges = dict(zip(m.langs, (len(e) for e, _ in m.tables)))
+    assert edges["zh"] < 12 * len(chinese) + m.n_codes and edges["en"] < 500 + m.n_codes and m.tables[0][0].dtype == "int64"
+    assert m.predict([chinese[100:300], "words of language"])[0] == ["zh", "en"]
+
+
+def test_language_sample(spark):
+    """Whole texts, short ones first, until the bound is reached; always at least one of a language."""
+    rows = [(i, f"{'a' * (i + 1)}{'bcdefgh'[i % 7]}" * 10, "en") for i in range(30)] + [(90, "z" * 50_000 + "q", "de"), (91, "z" * 50_000 + "q", "de")]
+    df = spark.createDataFrame(rows, DOC + ", lang string")
+    m = language_id.train(df, "text", "lang", docs_per_lang=5, chars_per_lang=600)
+    assert m.langs == ["de", "en"] and round(2 ** m.bits[0]) == 50_001 and round(2 ** m.bits[1]) < 5 * 320
+    with pytest.raises(ValueError):
+        language_id.train(df, "text", "lang", most_langs=1)
+
+
+def test_language_long_texts(spark):
+    rows = [(1, "der hund und die katze " * 200, "de"), (2, "the dog and the cat " * 200, "en"), (3, "und die katze " * 40_000, None), (4, "and the cat " * 40_000, None), (4, "and the cat " * 40_000, None)]
+    df = spark.createDataFrame(rows, DOC + ", lang string").withColumns({"text_": F.lit(1), "__t": F.lit("mine")})
+    out = language_id.identify(df, language_id.train(df, "text", "lang"))
+    got = [(r["doc_id"], r["lang_pred"], r["__t"], r["text_"]) for r in out.collect()]
+    assert sorted(got) == [(1, "de", "mine", 1), (2, "en", "mine", 1), (3, "de", "mine", 1), (4, "en", "mine", 1), (4, "en", "mine", 1)]
 
 
 def test_language_held_out(spark):
@@ -124,9 +155,19 @@ def test_language_cases(spark):
     assert language_id.identify(df.limit(0), model).count() == 0
 
 
-def test_pipeline_language_without_labels(spark):
+def test_pipeline_language_decisions(spark, monkeypatch):
+    """Texts without a letter go, as do those whose language is refuted, and unlabelled ones that no language fits; a missing language is filled in."""
+    from functools import partial
+
     import corpus_pipeline
 
+    monkeypatch.setattr(language_id, "train", partial(language_id.train, docs_per_lang=1, short=600))
+    de, en = "der Hund und die Katze gehen nach Haus und schlafen ", "the dog and the cat are going home and sleeping there "
+    rows = [(1, de * 10, "de"), (2, en * 10, "en"), (3, de * 3, None), (4, en * 20, "de"), (5, "12 !!", "en"), (6, None, "en"), (7, "", None), (8, "ΩΨΦ", None), (9, de * 20, "de"), (3, de * 3, None)]
+    df = spark.createDataFrame(rows, DOC + ", lang string").withColumns({"lang_pred": F.lit("mine"), "score": F.lit(1)})
+    out = corpus_pipeline.language_id(spark, df, SMALL)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"], r["lang"]) for r in out.collect()) == [(1, "de"), (2, "en"), (3, "de"), (3, "de"), (9, "de")]
     rows = [(1, "the cat", None), (2, None, None), (3, "12 !!", None), (4, "日本", None), (5, "", None)]
     out = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, DOC + ", lang string"), SMALL).collect()
     assert {(r["doc_id"], r["text"], r["lang"]) for r in out} == {rows[0], rows[3]}
