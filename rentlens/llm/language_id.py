@@ -230,8 +230,8 @@ def _parsed(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, inner: np.nda
 
 
 def train(df: DataFrame, text: str, lang: str, *, docs_per_lang: int = 64, short: int = 4096, chars_per_lang: int = 16_384, most_langs: int = 128) -> Model:
-    """A model from a bounded sample of the labelled rows; rows with a null text or label don't count."""
-    labelled = df.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
+    """A model from a bounded sample of the labelled rows; rows with a null label, or without a letter in their text, don't count."""
+    labelled = df.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
     place = F.struct(F.greatest(F.length("text"), F.lit(short)).alias("size"), F.xxhash64("text").alias("h"))
     distinct = labelled.select("lang", place.alias("o"), F.length("text").alias("n")).distinct()
     # two levels, so that no task ranks all texts of a language
