@@ -4,24 +4,23 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes eac
 shared folder and reads them back as the next one's docs. All but the last return the columns of their docs, with text
 and n_chars as the stage leaves them.
 
-Nulls, empty tables and repeated rows: a null or blank text has no letter, so the first stage drops it; rows with a null id
-pass all stages (they are compared with nothing in the join); of rows that repeat an id, the join keeps one.
+Nulls, empty tables and repeated rows: a null or blank text has no letter, so the first stage drops it; rows with a null id are
+documents like any other; of rows that repeat id and text, the join keeps one. Texts of any length are processed whole.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.llm import language_id as lid
 from rentlens.llm import ngram_join, packing
+from rentlens.llm.line_dedup import OUTPUT as DEDUP_OUTPUT
 from rentlens.llm.line_dedup import dedup_lines
 from rentlens.llm.quality_rules import OUTPUT, apply_rules
 from rentlens.llm.queries import vocabulary
 from rentlens.llm.text import free_name
-from rentlens.session import cut, shared_dir, ship, table
+from rentlens.session import cut, own_dir, remove, ship, table
 
 #: Least scores of a prediction that overrides a given language, and of one that stands for a missing one.
 REFUTED, FITS = 0.9, 0.55
@@ -51,36 +50,55 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.filter(good).select(*[filled if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
+def _through(docs: DataFrame, made: list[str], stage) -> DataFrame:
+    """docs with the text that stage(df) puts into clean_text, under a filter of its own; columns named like its results are kept."""
+    own = {c: free_name(docs, f"own_{c}") for c in docs.columns if c in made}
+    out = stage(docs.withColumnsRenamed(own))
+    clean = free_name(docs, "clean")
+    return _retexted(docs, out.withColumnRenamed("clean_text", clean).drop(*made).withColumnsRenamed({b: a for a, b in own.items()}), F.col(clean))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failed lines are removed; documents that fail go."""
-    named = {c: f"__own_{c}" for c in docs.columns if c in OUTPUT}
-    out = apply_rules(docs.withColumnsRenamed(named)).filter("kept")
-    return _retexted(docs, out.withColumnRenamed("clean_text", "__clean").drop(*OUTPUT).withColumnsRenamed({b: a for a, b in named.items()}), F.col("__clean"))
+    """Failed lines are removed; documents that fail go. Rows are judged one by one, texts of any length whole, so ties and repeats don't matter; null and empty texts go."""
+    return _through(docs, OUTPUT, lambda df: apply_rules(df).filter("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of three-sentence windows are removed, also inside lines; documents left without a word go."""
-    made = ["n_lines", "n_removed", "clean_text"]
-    named = {c: f"__own_{c}" for c in docs.columns if c in made}
-    out = dedup_lines(docs.withColumnsRenamed(named), sentences=True).filter(F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]"))
-    return _retexted(docs, out.withColumnRenamed("clean_text", "__clean").drop("n_lines", "n_removed").withColumnsRenamed({b: a for a, b in named.items()}), F.col("__clean"))
+    """Later occurrences of three-sentence windows are removed, also inside lines; documents left without a word go.
+
+    The first occurrence is that of the smallest id, then text hash, then place; rows that repeat id and text get the same result."""
+    return _through(docs, DEDUP_OUTPUT, lambda df: dedup_lines(df, sentences=True).filter(F.col("clean_text").rlike("[^\\x20\\x09-\\x0D]")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest id."""
+    """One document of each group of near duplicates stays: that with the smallest id.
+
+    Documents are texts: where rows repeat an id or have none, one text keeps the id and each other one gets a key from its hash, larger
+    than other ids, so that no text is lost with its id. Rows that repeat id and text are one document, of which one row stays."""
     ship(spark)
-    classes = cut(ngram_join.link(docs))
-    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = classes.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if not again.isEmpty():
-        twice = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(twice)
+    key, low = free_name(docs, "key"), free_name(docs, "low")
+    hashed = F.xxhash64("doc_id", "text")
+    again = cut(docs.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select("doc_id"))
+    unique = again.isEmpty()
+    if unique:
+        keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
+    else:
+        of = free_name(docs, "of")
+        ids = again.withColumnRenamed("doc_id", of)
+        lows = docs.join(ids, F.col("doc_id").eqNullSafe(F.col(of))).groupBy(of).agg(F.min(hashed).alias(low))
+        marked = docs.join(lows, F.col("doc_id").eqNullSafe(F.col(of)), "left")
+        own = F.col(low).isNotNull() & (F.col("doc_id").isNull() | (hashed != F.col(low)))
+        keyed = marked.withColumn(key, F.when(own, F.lit(1 << 62) + F.shiftrightunsigned(hashed, 2)).otherwise(F.col("doc_id").cast("long"))).drop(of)
+    classes = cut(ngram_join.link(keyed, key))
+    gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = keyed.join(gone, key, "left_anti")
+    if not unique:
+        kept = kept.filter(F.col(low).isNull()).unionByName(kept.filter(F.col(low).isNotNull()).dropDuplicates([key]))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and place."""
+    """The pieces of all documents with their sequence and place; long texts are cut, no row is left out. Equal pieces go in any order."""
     ship(spark)
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
@@ -98,9 +116,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents. Each stage's rows go when the next one's are written; the last one's with the driver."""
+    docs, folder = table(spark, sf_dir, "documents"), own_dir(spark, "pipeline")
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
     return docs

@@ -14,8 +14,8 @@ they are (null text: empty). Rows that repeat both id and text count as one docu
 them is later than the other, so they get the same result. A null id is an id like any other, before all others.
 With sentences, the units are the sentences of each line instead of whole lines, so that repeated passages inside
 long lines, and the ends of passages that begin or end inside a line, are found too; a line goes when all its sentences went.
-A window that overlaps its own first occurrence (one line many times over) is a later one. Other columns
-of the input pass through; columns named like an output are replaced.
+A window that overlaps its own first occurrence (one line many times over) is a later one. Texts of any length are taken whole. Other
+columns of the input pass through, whatever their names; columns named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .text import free_name
 
 WINDOW = 3
+OUTPUT = ["n_lines", "n_removed", "clean_text"]
 #: Where a sentence ends inside a line: its mark and the blank after it stay with it.
 SENTENCE_END = "(?<=[.!?\\x{2026}\\x{0964}\\x{061F}][ \\t])|(?<=[\\x{3002}\\x{FF01}\\x{FF1F}])"
 
@@ -63,32 +65,31 @@ def _joined(units: Column) -> Column:
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, sentences: bool = False) -> DataFrame:
     """df with n_lines (units with a word), n_removed, and clean_text without the removed units."""
-    key = df.select(F.col(doc_id).alias("d"), F.xxhash64(F.col(text)).alias("t"), F.col(text).alias("x"))
+    body = F.col(f"`{text}`")
+    key = df.select(F.col(f"`{doc_id}`").alias("d"), F.xxhash64(body).alias("t"), body.alias("x"))
     seen = key.select("d", "t", F.explode(_windows(F.col("x"), sentences)).alias("w")).select("d", "t", "w.h1", "w.h2", "w.k")
     at = F.struct("d", "t", "k")
     first = seen.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter(F.col("first") != F.col("last")).drop("last")
     later = seen.join(first, ["h1", "h2"]).filter(at > F.col("first"))
-    places = later.groupBy("d", "t").agg(F.collect_set("k").alias("__ks")).withColumnsRenamed({"d": "__d", "t": "__t"})
-    marked = df.withColumn("__h", F.xxhash64(F.col(text)))
-    joined = marked.join(places, F.col(doc_id).eqNullSafe(F.col("__d")) & (F.col("__h") == F.col("__t")), "left")
-    full = F.transform(_full_units(F.col(text), sentences), lambda x: x["i"])
-
-    def cleaned(places: Column) -> Column:
-        covered = F.array_distinct(F.flatten(F.transform(F.col("__ks"), lambda k: F.array(*[k + j for j in range(WINDOW)]))))
-        gone = F.transform(covered, lambda k: F.get(places, k))
+    # names that df doesn't have, for what the join brings
+    d, t, ks, h, r = (free_name(df, n) for n in ("of_doc", "of_text", "places", "hash", "result"))
+    places = later.groupBy("d", "t").agg(F.collect_set("k").alias(ks)).withColumnsRenamed({"d": d, "t": t})
+    marked = df.withColumn(h, F.xxhash64(body))
+    joined = marked.join(places, F.col(f"`{doc_id}`").eqNullSafe(F.col(d)) & (F.col(h) == F.col(t)), "left")
+    full = F.transform(_full_units(body, sentences), lambda x: x["i"])
+
+    def cleaned(units: Column) -> Column:
+        covered = F.array_distinct(F.flatten(F.transform(F.col(ks), lambda k: F.array(*[k + j for j in range(WINDOW)]))))
+        gone = F.transform(covered, lambda k: F.get(units, k))
         out = T.let(
-            _units(F.col(text), sentences),
+            _units(body, sentences),
             lambda us: T.let(F.transform(F.array_except(F.sequence(F.lit(0), F.size(us) - 1), gone), lambda i: F.get(us, i)), _joined),
         )
         return F.struct(
-            F.size(places).cast("long").alias("n_lines"),
-            F.when(F.col("__ks").isNull(), 0).otherwise(F.size(covered)).cast("long").alias("n_removed"),
-            F.when(F.col("__ks").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(out).alias("clean_text"),
+            F.size(units).cast("long").alias("n_lines"),
+            F.when(F.col(ks).isNull(), 0).otherwise(F.size(covered)).cast("long").alias("n_removed"),
+            F.when(F.col(ks).isNull(), F.coalesce(body, F.lit(""))).otherwise(out).alias("clean_text"),
         )
 
-    r = F.col("__r")
-    return (
-        joined.withColumn("__r", T.let(full, cleaned))
-        .withColumns({"n_lines": r["n_lines"], "n_removed": r["n_removed"], "clean_text": r["clean_text"]})
-        .drop("__r", "__h", "__d", "__t", "__ks")
-    )
+    others = [F.col(f"`{c}`") for c in df.columns if c not in OUTPUT]
+    return joined.withColumn(r, T.let(full, cleaned)).select(*others, *[F.col(f"{r}.{c}").alias(c) for c in OUTPUT])

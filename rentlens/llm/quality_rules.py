@@ -1,14 +1,16 @@
 """Line-first quality rules, in native column expressions only: no shuffle, one pass over the rows.
 
-Each \\n-split line with a word is judged alone: it fails the punctuation rule (no closing
-mark at its end, or doubled marks / symbols on many of its words), the navigation rule
-(separators between short items) or the boilerplate rule (a stock phrase). Failed lines are
-removed; a document that loses more than max_loss of its word characters is rejected, as is
-one that fails the base rules (too few words, or mostly repeated three-word windows).
-
-Null, empty and blank texts have no words, so they fail the base rules and are not kept; their
-cleaned text is empty. Rows are independent: repeated rows get equal results, other columns
-pass through, and a column of the input with the name of an output is replaced.
+Each \\n-split line with a word is judged alone: it fails the punctuation rule (no closing mark at its end, or doubled marks / symbols
+on many of its words), the navigation rule (separators between short items) or the boilerplate rule (a stock phrase as whole words).
+Closing marks are those of Latin, Arabic, Indic and East Asian scripts; a line of WRAPPED words or more needs none if the next line goes on in
+lower case, as a hard-wrapped paragraph is judged by its last line. Failed lines are removed; a document that loses more than max_loss of
+its word characters is rejected, as is one that fails the base rules (too few words, or mostly repeated three-word windows).
+
+All results come from one struct behind a generator, so that a filter on them doesn't compute them again.
+
+Null, empty and blank texts have no words, so they fail the base rules and are not kept; their cleaned text is empty. Texts of any length
+are judged whole. Rows are independent: repeated rows get equal results, other columns pass through, whatever their names, and
+a column of the input with the name of an output is replaced.
 """
 
 from __future__ import annotations
@@ -18,16 +20,24 @@ from pyspark.sql import functions as F
 
 from . import text as T
 
-#: Symbols that count, closing marks, separators and stock phrases.
+#: Symbols that count, closing marks (. ! ? : ; and their like in other scripts) with what may follow them, separators.
 SYMBOLS = "#*$%&|<>"
-CLOSING = "[.!?:;\\x{2026}][\"')\\]\\x{00BB}\\x{201D}]*$"
+CLOSING = (
+    "[.!?:;\\x{2026}\\x{061B}\\x{061F}\\x{06D4}\\x{0964}\\x{0965}\\x{3002}\\x{FF01}\\x{FF0E}\\x{FF1A}\\x{FF1B}\\x{FF1F}\\x{FF61}]"
+    "[\"')\\]\\x{00BB}\\x{201D}\\x{2019}\\x{300D}\\x{300F}\\x{3011}\\x{FF09}]*$"
+)
 SEPARATORS = "|>·•»"
+#: Stock phrases of web pages and licences.
 PHRASES = [
-    "all rights reserved", "click here", "cookie policy", "copyright", "enable javascript", "licensed under",
-    "log in", "privacy policy", "released under", "sign up", "subscribe to", "terms of service", "terms of use",
-]
+    "accept cookies", "alle rechte vorbehalten", "all rights reserved", "click here", "conditions générales", "cookie policy", "copyright (c)", "copyright ©",
+    "datenschutzerklärung", "enable javascript", "haga clic aquí", "iniciar sesión", "licensed under", "log in", "mentions légales", "politique de confidentialité",
+    "política de privacidad", "privacy policy", "released under", "se connecter", "sign up", "subscribe to", "terms of service", "terms of use", "todos los derechos reservados", "tous droits réservés",
+]
+WRAPPED = 6
 OUTPUT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_failed_lines", "chars_lost", "base_failed", "kept", "clean_text"]
 
+_STOCK = "(^|[^\\p{L}\\p{N}])(" + "|".join(p.replace("(", "\\(").replace(")", "\\)") for p in PHRASES) + ")([^\\p{L}\\p{N}]|$)"
+
 
 def _repeat_words(words: Column) -> Column:
     """Positions inside three-word windows that occur twice or more, counted once each.
@@ -65,32 +75,45 @@ def _covered(windows: Column) -> Column:
     return F.size(F.array_distinct(F.flatten(F.transform(places, lambda i: F.array(i, i + 1, i + 2)))))
 
 
-def _failed(line: Column) -> Column:
-    """Whether a line that has words fails one of the three rules."""
-    end = F.right(F.expr("rtrim(' \t\x0b\x0c\r', __line)") if False else F.rtrim(line, F.lit(T.BLANKS)), F.lit(4))
+def _suspect(text: Column) -> Column:
+    """Whether a text has one of the stock phrases anywhere; only then are its lines searched."""
+    low = F.lower(text)
+    return T.let(low, lambda x: F.lit(False) if not PHRASES else _any([x.contains(p) for p in PHRASES]))
+
+
+def _any(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
+
+
+def _failed(line: Column, after: Column, suspect: Column) -> Column:
+    """Whether a line that has words fails one of the three rules; after is the next line."""
+    end = F.right(F.rtrim(line, F.lit(T.BLANKS)), F.lit(4))
     n = F.regexp_count(line, F.lit(T.WORD_START_RE))
     doubled = F.length(line) - F.length(F.replace(F.replace(line, F.lit("!!"), F.lit("")), F.lit("??"), F.lit("")))
     bars = T.count(line, SEPARATORS)
-    low = F.lower(line)
-    phrase = low.contains(PHRASES[0])
-    for p in PHRASES[1:]:
-        phrase = phrase | low.contains(p)
+    goes_on = F.coalesce(after.rlike("^[\\x20\\x09]*\\p{Ll}"), F.lit(False))
     rules = T.let(
         F.struct(n.alias("n"), doubled.alias("d"), bars.alias("b"), T.count(line, SYMBOLS).alias("s")),
-        lambda x: ~end.rlike(CLOSING) | (x["d"] >= x["n"]) | (3 * x["s"] >= x["n"]) | ((x["b"] >= 3) & (4 * x["b"] >= x["n"])),
+        lambda x: (~end.rlike(CLOSING) & ~((x["n"] >= WRAPPED) & goes_on)) | (x["d"] >= x["n"]) | (3 * x["s"] >= x["n"]) | ((x["b"] >= 3) & (4 * x["b"] >= x["n"])),
     )
-    return rules | phrase
+    return rules | (suspect & F.lower(line).rlike(_STOCK))
 
 
 def apply_rules(df: DataFrame, text: str = "text", *, min_words: int = 50, max_repeat: float = 0.5, max_loss: float = 0.5) -> DataFrame:
     """df with the columns of OUTPUT; clean_text is the text without its failed lines."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+
+    def judged(ls: Column, suspect: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            return F.struct(x.alias("line"), T.has_word(x).alias("full"), F.when(T.has_word(x), _failed(x, F.get(ls, i + 1), suspect)).otherwise(False).alias("bad"))
 
-    def judged(ls: Column) -> Column:
-        return F.transform(ls, lambda x: F.struct(x.alias("line"), T.has_word(x).alias("full"), F.when(T.has_word(x), _failed(x)).otherwise(False).alias("bad")))
+        return F.transform(ls, one)
 
     facts = T.let(
-        judged(T.lines(F.col(text))),
+        T.let(F.struct(T.lines(body).alias("ls"), _suspect(body).alias("suspect")), lambda x: judged(x["ls"], x["suspect"])),
         lambda j: T.let(
             F.filter(j, lambda x: x["full"]),
             lambda full: F.struct(
@@ -102,16 +125,18 @@ def apply_rules(df: DataFrame, text: str = "text", *, min_words: int = 50, max_r
             ),
         ),
     )
-    counts = T.let(T.words(F.col(text)), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words")))
-    base = df.withColumns({"__facts": facts, "__counts": counts})
-    f, c = F.col("__facts"), F.col("__counts")
-    word_chars = T.solid(body).cast("long")
-    failed = (c["n_words"] < min_words) | (c["n_repeat_words"] > max_repeat * c["n_words"])
-    return base.withColumns(
-        {
-            "n_words": c["n_words"], "word_chars": word_chars, "n_symbols": T.count(body, SYMBOLS).cast("long"),
-            "n_dup_lines": f["n_dup_lines"], "n_repeat_words": c["n_repeat_words"], "n_lines": f["n_lines"],
-            "n_failed_lines": f["n_failed_lines"], "chars_lost": f["chars_lost"], "base_failed": failed,
-            "kept": ~failed & (f["chars_lost"] <= max_loss * word_chars), "clean_text": f["clean_text"],
-        }
-    ).drop("__facts", "__counts")
+    counts = T.let(T.words(body), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words")))
+    parts = F.struct(facts.alias("f"), counts.alias("c"), T.solid(body).cast("long").alias("word_chars"), T.count(body, SYMBOLS).cast("long").alias("n_symbols"))
+
+    def results(p: Column) -> Column:
+        f, c = p["f"], p["c"]
+        failed = (c["n_words"] < min_words) | (c["n_repeat_words"] > max_repeat * c["n_words"])
+        made = {
+            "n_words": c["n_words"], "word_chars": p["word_chars"], "n_symbols": p["n_symbols"], "n_dup_lines": f["n_dup_lines"], "n_repeat_words": c["n_repeat_words"],
+            "n_lines": f["n_lines"], "n_failed_lines": f["n_failed_lines"], "chars_lost": f["chars_lost"], "base_failed": failed,
+            "kept": ~failed & (f["chars_lost"] <= max_loss * p["word_chars"]), "clean_text": f["clean_text"],
+        }
+        return F.struct(*[made[name].alias(name) for name in OUTPUT])
+
+    others = [F.col(f"`{c}`") for c in df.columns if c not in OUTPUT]
+    return df.select(*others, F.inline(T.let(F.array(parts), lambda a: F.transform(a, results))))

@@ -9,7 +9,7 @@ from ..session import cut, ship, table
 from . import byte_bpe, embedding_dedup, language_id, ngram_join, packing, token_files, url_filters
 from . import quality_classifier as quality
 from .line_dedup import dedup_lines
-from .quality_rules import PHRASES, SEPARATORS, apply_rules
+from .quality_rules import apply_rules
 
 
 def vocabulary(name: str) -> str:
@@ -106,24 +106,31 @@ select doc_id, count(*) filter (is_full) as n_lines, count(*) filter (gone) as n
 from kept group by doc_id
 """
 
-_PHRASE_SQL = " or ".join(f"contains(lower(line), '{p}')" for p in PHRASES)
-_SEPS_SQL = f"length(line) - length(translate(line, '{SEPARATORS}', ''))"
+# Fixed values as in the contract of the query, written out: they don't follow the operator's.
+_PHRASE_SQL = (
+    "accept cookies|alle rechte vorbehalten|all rights reserved|click here|conditions générales|cookie policy|copyright \\(c\\)|copyright ©|datenschutzerklärung|enable javascript|"
+    "haga clic aquí|iniciar sesión|licensed under|log in|mentions légales|politique de confidentialité|política de privacidad|privacy policy|released under|se connecter|sign up|"
+    "subscribe to|terms of service|terms of use|todos los derechos reservados|tous droits réservés"
+)
+_END_SQL = "[.!?:;…؛؟۔।॥。！．：；？｡][\"'')\\]»”’」』】）]*$"
+_SEPS_SQL = "length(line) - length(translate(line, '|>·•»', ''))"
 
 OP6_SQL = f"""
 with d as (
   select doc_id, coalesce(text, '') as body,
          [x for x in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if x <> ''] as w from documents),
-ls as (select doc_id, unnest(string_split(body, chr(10))) as line from d),
+ls as (select doc_id, line, lead(line) over (partition by doc_id order by i) as after
+  from (select doc_id, unnest(string_split(body, chr(10))) as line, generate_subscripts(string_split(body, chr(10)), 1) as i from d)),
 f as (
-  select doc_id, line, length(translate(line, {SQL_BLANKS}, '')) as chars,
+  select doc_id, line, after, length(translate(line, {SQL_BLANKS}, '')) as chars,
          len([x for x in regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+') if x <> '']) as n,
          right(rtrim(line, {SQL_BLANKS}), 4) as trimmed
   from ls where length(translate(line, {SQL_BLANKS}, '')) > 0),
 judged as (
-  select *, not regexp_matches(trimmed, '[.!?:;\\x{{2026}}]["'')\\]\\x{{00BB}}\\x{{201D}}]*$')
+  select *, (not regexp_matches(trimmed, '{_END_SQL}') and not (n >= 6 and coalesce(regexp_matches(after, '^[\\x20\\x09]*\\p{{Ll}}'), false)))
       or length(line) - length(replace(replace(line, '!!', ''), '??', '')) >= n
       or 3 * (length(line) - length(translate(line, '#*$%&|<>', ''))) >= n
-      or ({_SEPS_SQL} >= 3 and 4 * ({_SEPS_SQL}) >= n) or {_PHRASE_SQL} as bad from f),
+      or ({_SEPS_SQL} >= 3 and 4 * ({_SEPS_SQL}) >= n) or regexp_matches(lower(line), '(^|[^\\p{{L}}\\p{{N}}])({_PHRASE_SQL})([^\\p{{L}}\\p{{N}}]|$)') as bad from f),
 l as (
   select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines, count(*) filter (bad) as n_failed_lines,
          coalesce(sum(chars) filter (bad), 0) as chars_lost from judged group by doc_id),

@@ -162,11 +162,13 @@ def test_pipeline_stages(spark, tmp_path):
         return "\n".join(" ".join(rng.choice(words) for _ in range(12)) + "." for _ in range(n))
 
     clean = [prose(8) for _ in range(12)]
-    long = prose(30).replace("\n", " ")
-    near = long.replace("wort1 ", "other ", 1)
+    parts = [" ".join(rng.choice(words) for _ in range(20)) + "." for _ in range(30)]
+    # every third sentence begins with another word: no window of three is the same
+    long, near = " ".join(parts), " ".join("other " + x.partition(" ")[2] if i % 3 == 0 else x for i, x in enumerate(parts))
     shared = prose(4)
     rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(clean)]
     rows += [(20, long, "en", "s", len(long)), (21, near, "en", "s", len(near)), (22, clean[0], "en", "s", 1), (23, clean[1] + "\n" + shared, "en", None, 1), (24, clean[2] + "\n" + shared, None, "s", 1)]
+    rows += [(40, prose(9), "en", "s", 1), (40, prose(7), "en", "s", 1), (None, prose(8), "en", "s", 1), (41, near, "en", "s", 1), (41, prose(9), "en", "s", 1)]  # repeated ids with texts of their own, and one whose text came before
     rows += [(30, None, "en", "s", 0), (31, "", None, None, None), (32, "123 456 " * 60, "en", "s", 1), (33, "THE!! BIG!! " * 40, "en", "s", 1), (None, prose(9), "en", "s", 1), (20, long, "en", "s", len(long))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({"kept": F.lit("k"), "n_lines": F.lit(1)})
     columns, kept = docs.columns, {}
@@ -181,6 +183,7 @@ def test_pipeline_stages(spark, tmp_path):
     assert not {30, 31, 32} & set(kept["language_id"]) and 33 in kept["language_id"]
     assert 33 not in kept["quality_rules"] and set(range(12)) <= set(kept["quality_rules"])
     assert 22 not in kept["line_dedup"] and {-1, *range(12), 20, 21, 23} <= set(kept["line_dedup"])
+    assert kept["ngram_jaccard_join"].count(40) == 2 and kept["ngram_jaccard_join"].count(-1) == 2 and kept["ngram_jaccard_join"].count(41) == 1
     assert kept["ngram_jaccard_join"].count(20) == 1 and 21 not in kept["ngram_jaccard_join"] and {-1, *range(12)} <= set(kept["ngram_jaccard_join"])
     assert {r["doc_id"] for r in docs.collect()} == {None if i == -1 else i for i in kept["ngram_jaccard_join"]}
 

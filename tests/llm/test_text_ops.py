@@ -72,6 +72,44 @@ def test_quality_rules_cases(spark):
     assert apply_rules(df.limit(0)).count() == 0
 
 
+ODD = ["__h", "__r", "__d", "__t", "__ks", "__facts", "__counts", "of_doc", "places", "hash", "result", "a.b", "line", "w", "x"]
+
+
+def test_odd_columns_pass(spark):
+    """Columns of any name come out as they went in."""
+    df = spark.createDataFrame([(1, "a.\nb.\nc.\nd."), (2, "x.\na.\nb.\nc.")], DOC).withColumns({c: F.lit(f"mine {c}") for c in ODD})
+    for out in (apply_rules(df), dedup_lines(df), dedup_lines(df, sentences=True)):
+        assert set(df.columns) <= set(out.columns)
+        assert all(r[c] == f"mine {c}" for r in out.collect() for c in ODD)
+
+
+def test_lines_of_other_scripts_and_wrapped_ones(spark):
+    """Well-formed text of any script is kept, as are paragraphs with hard line ends; words that only hold a stock phrase don't fail."""
+    ja, hi, ar = "これは 良い 文 です。", "यह एक अच्छा वाक्य है।", "هل هذه جملة جيدة؟"
+    wrapped = "The long sentence of this paragraph goes\non over the end of its line and on\nuntil it ends here."
+    rows = [(1, " ".join(ja + str(i) for i in range(20)) + ja), (2, " ".join(hi for i in range(20))), (3, ar), (4, wrapped), (5, "The catalog in the blog in question."), (6, "He held the copyright of the novel."), (7, "Please log in."), (8, "Copyright (c) 2020 by X."), (9, "home\nabout\ncontact")]
+    got = {r["doc_id"]: r["n_failed_lines"] for r in apply_rules(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: 0, 6: 0, 7: 1, 8: 1, 9: 3}
+
+
+def test_long_texts(spark):
+    """Half a million words: lines, windows and counts are those of the whole text."""
+    line = "word{0} goes on here{0} for a while."
+    text = "\n".join(line.format(i) for i in range(60_000))
+    df = spark.createDataFrame([(1, text), (2, text + "\nhome | shop | cart | help"), (3, "x.\n" + text[-400:])], DOC)
+    got = {r["doc_id"]: r for r in apply_rules(df).collect()}
+    assert got[1]["n_words"] == 420_000 and got[2]["n_failed_lines"] == 1 and got[1]["kept"] and got[2]["clean_text"] == text
+    lines = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in dedup_lines(df).collect()}
+    assert lines[1] == (60_000, 0) and lines[2] == (60_001, 60_000) and lines[3][1] >= 8
+
+
+def test_filter_computes_once(spark):
+    """A filter on the verdict doesn't compute the facts again."""
+    df = apply_rules(spark.createDataFrame([(1, "a b c d")], DOC))
+    count = lambda x: x._jdf.queryExecution().executedPlan().toString().count("xxhash64")
+    assert count(df.filter("kept")) == count(df)
+
+
 def test_repeat_words(spark):
     rows = [(1, "a b c a b c x"), (2, "a b c d a b c"), (3, "a a a a"), (4, "a b c"), (5, "")]
     got = {r["doc_id"]: r["n_repeat_words"] for r in apply_rules(spark.createDataFrame(rows, DOC)).collect()}
