@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, ship, table
+from ..session import cut, own_dir, ship, table
 from . import byte_bpe, embedding_dedup, language_id, ngram_join, packing, token_files, url_filters
 from . import quality_classifier as quality
 from .line_dedup import dedup_lines
@@ -46,7 +46,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = token_files.new_path(spark)
+    path = own_dir(spark, "token-ids")
     token_files.write(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
     return token_files.read(spark, path)
 

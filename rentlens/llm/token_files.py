@@ -1,6 +1,6 @@
 """Token-id shards on disk with a minimal perfect hash index for keyed access.
 
-write() range-partitions the documents by key, encodes them, and writes each partition as
+write() encodes the documents, range-partitions their ids by key, and writes each partition as
 shards of two files:
 * NAME.ids: the raw ids, little-endian, 2 bytes each if the vocabulary allows it, else 4, nothing else;
 * NAME.idx: the keys in order as an Arrow stream, the offsets of their ids, and the hash index.
@@ -13,14 +13,13 @@ from known ones, and the document's place. A lookup costs a few probes, however
 File names follow from the partition; a file is written under a name of the attempt and then renamed,
 so retried or speculative tasks leave the same bytes. Null text is empty; its document has the end
 id alone. A null key sorts first and is found by None. Of rows that repeat a key all are in the
-payload; the index finds the first. An empty table gives a manifest without shards. Other columns are ignored.
+payload, in the order of their ids' bytes; the index finds the first. Texts of any length are encoded whole. An empty table gives a manifest without shards. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
 import struct
-import uuid
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -33,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import cut
 from .word_bpe import load
 
 MAGIC = b"RLIDX001"
@@ -114,6 +113,11 @@ class Index:
         return cls(levels, np.frombuffer(raw, "<u4", n, at), np.frombuffer(raw, "<i8", n, at + 4 * n))
 
 
+def _width(size: int, end_id: int) -> int:
+    """Bytes of an id."""
+    return 2 if max(size, end_id + 1) <= 1 << 16 else 4
+
+
 def _put(fs: pafs.FileSystem, path: str, data: bytes, attempt: str) -> None:
     with fs.open_output_stream(f"{path}.{attempt}") as f:
         f.write(data)
@@ -153,14 +157,20 @@ def write(df: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text
     fs, root = pafs.FileSystem.from_uri(path)
     fs.create_dir(root, recursive=True)
 
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(tokenizer)
+        width = _width(bpe.size, end_id)
+        for batch in batches:
+            ids = [np.append(x, end_id).astype(f"<u{width}").tobytes() for x in bpe.encode([t or "" for t in batch.column(1).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["k", "ids"])
+
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, task = load(tokenizer), TaskContext.get()
+        width, task = _width(load(tokenizer).size, end_id), TaskContext.get()
         out, base = pafs.FileSystem.from_uri(path)
-        width = 2 if max(bpe.size, end_id + 1) <= 1 << 16 else 4
-        keys, payload, lengths, count = [], [], [], 0
+        keys, payload, lengths, total, count = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal keys, payload, lengths, count
+            nonlocal keys, payload, lengths, total, count
             name = f"{base}/part-{task.partitionId():06d}-{count:04d}"
             column = pa.chunked_array(keys)
             sink = pa.BufferOutputStream()
@@ -170,30 +180,34 @@ def write(df: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text
             hashes, places = np.unique(np.array([_hash(k) for k in stored], np.uint64), return_index=True)
             if len(set(stored)) != len(hashes):
                 raise ValueError("two different keys have the same 64-bit hash")
-            offsets = np.append(0, np.cumsum(lengths)).astype("<i8")
+            offsets = np.append(0, np.cumsum(np.concatenate(lengths))).astype("<i8")
             head = sink.getvalue().to_pybytes()
             attempt = f"try-{task.taskAttemptId()}"
             _put(out, name + ".ids", b"".join(payload), attempt)
             _put(out, name + ".idx", MAGIC + struct.pack("<QQ", len(head), len(offsets)) + head + offsets.tobytes() + Index.build(hashes, places).dump(), attempt)
             row = [[name.rsplit("/", 1)[1]], [task.partitionId()], [count], [json.dumps(stored[0])], [json.dumps(stored[-1])], [len(stored)], [int(offsets[-1])], [width]]
-            keys, payload, lengths, count = [], [], [], count + 1
+            keys, payload, lengths, total, count = [], [], [], 0, count + 1
             return pa.RecordBatch.from_arrays([pa.array(r) for r in row], ["name", "part", "roll", "first", "last", "n_docs", "n_ids", "width"])
 
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                ids = part.column(1).to_pylist()
                 keys.append(part.column(0))
-                for ids in bpe.encode([t or "" for t in part.column(1).to_pylist()]):
-                    payload.append(np.append(ids, end_id).astype(f"<u{width}").tobytes())
-                    lengths.append(len(ids) + 1)
-                if sum(lengths) >= shard_ids:
+                payload += ids
+                lengths.append(np.array([len(x) // width for x in ids]))
+                total += int(lengths[-1].sum())
+                if total >= shard_ids:
                     yield flush()
         if lengths:
             yield flush()
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).repartitionByRange(n, "k").sortWithinPartitions("k")
+    # the ids are a fraction of the texts; they are cut so that sampling the ranges doesn't encode anew
+    kind = df.schema[doc_id].dataType.simpleString()
+    made = cut(df.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).mapInArrow(encoded, f"k {kind}, ids binary"))
+    dealt = made.repartitionByRange(n, "k").sortWithinPartitions("k", "ids")
     rows = dealt.mapInArrow(shards, "name string, part long, roll long, first string, last string, n_docs long, n_ids long, width long").collect()
-    manifest = {"end_id": end_id, "shards": [], "key": df.schema[doc_id].dataType.simpleString()}
+    manifest = {"end_id": end_id, "shards": [], "key": kind}
     before = 0
     for r in sorted(rows, key=lambda r: (r["part"], r["roll"])):
         manifest["shards"].append({"name": r["name"], "first": json.loads(r["first"]), "last": json.loads(r["last"]), "n_docs": r["n_docs"], "n_ids": r["n_ids"], "before": before, "width": r["width"]})
@@ -226,8 +240,20 @@ class Reader:
         raise KeyError(key)
 
 
+def places(shard: Shard) -> np.ndarray:
+    """Where the index finds the document of each stored key; rows that repeat a key follow the first, which it finds."""
+    keys = shard.keys.to_pylist()
+    at = np.arange(len(keys))
+    first = np.array([i == 0 or keys[i] != keys[i - 1] for i in at.tolist()], bool)
+    found = shard.number(keys) + at - np.maximum.accumulate(np.where(first, at, 0))
+    if (np.sort(found) != at).any():
+        raise ValueError(f"{shard.path}: the index doesn't lead to each stored document once")
+    return found
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each stored document, from the files: doc_id, start, n_tokens, ids_crc32. Each shard is a row of the plan's input."""
+    """A row for each stored document: doc_id, start, n_tokens, ids_crc32. Each key is looked up in its shard's index, and its ids are read where that
+    says. Each shard is a row of the plan's input."""
     manifest = Reader(path).manifest
     kind = manifest["key"]
 
@@ -236,19 +262,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for s in batch.to_pylist():
                 shard = Shard(fs, f"{root}/{s['name']}", s["width"])
-                found = shard.number(shard.keys.to_pylist())
-                if (found < 0).any():
-                    raise ValueError(f"{s['name']}: a stored key is not in its index")
+                found = places(shard)
                 raw = _get(fs, shard.path + ".ids")
-                starts, ends = shard.offsets[:-1], shard.offsets[1:]
+                starts, ends = shard.offsets[found], shard.offsets[found + 1]
                 crc = [zlib.crc32(np.frombuffer(raw, f"<u{shard.width}", b - a, a * shard.width).astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([shard.keys.combine_chunks(), pa.array(starts + s["before"]), pa.array(ends - starts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     shards = [(s["name"], s["before"], s["width"]) for s in manifest["shards"]]
     listed = spark.createDataFrame(shards, "name string, before long, width long").repartition(max(1, len(shards)), "name")
     return listed.mapInArrow(rows, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
-
-
-def new_path(spark: SparkSession) -> str:
-    """A fresh folder for a set of shards under the cluster's shared folder."""
-    return f"{shared_dir(spark)}/token-ids-{uuid.uuid4().hex}"

@@ -23,6 +23,7 @@ CONTRACTIONS = ["s", "t", "m", "d", "re", "ve", "ll"]
 
 LETTER, DIGIT, SPACE, OTHER, BAD, SHORT = range(6)
 END, DOC = b"\x00", b"\x01"
+AT_ONCE = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -77,19 +78,27 @@ class WordBpe:
         return tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """One uint32 array for each text."""
+        """One uint32 array for each text; AT_ONCE characters at a time, or one longer text."""
         out: list = [None] * len(texts)
-        raw, easy, hard = [], [], []
+        raw, easy, n = [], [], 0
+
+        def merge() -> None:
+            nonlocal n
+            for i, ids in zip(easy, self._batch(raw) if raw else []):
+                out[i] = ids
+            raw.clear(), easy.clear()
+            n = 0
+
         for i, t in enumerate(texts):
             b = self._latin(t)
-            (hard if b is None else easy).append(i)
-            if b is not None:
-                raw.append(b)
-        if easy:
-            for i, ids in zip(easy, self._batch(raw)):
-                out[i] = ids
-        for i in hard:
-            out[i] = np.array(self.slow.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+            if b is None:
+                out[i] = np.array(self.slow.encode(t, add_special_tokens=False).ids, np.uint32)
+                continue
+            if n + len(b) > AT_ONCE:
+                merge()
+            raw.append(b), easy.append(i)
+            n += len(b)
+        merge()
         return out
 
     def _latin(self, text: str) -> bytes | None:

@@ -141,6 +141,41 @@ def test_token_files(spark, docs, plain, tmp_path):
         token_files.Reader(empty)[1]
 
 
+def test_token_files_read_through_the_index(spark, docs, tmp_path):
+    """Rows come from where the index leads: one that leads elsewhere gives other rows, or an error, not the file's order."""
+    path = f"file://{tmp_path}/set"
+    token_files.write(docs, path, WORDS, partitions=1)
+    manifest = token_files.Reader(path).manifest
+    name = f"{tmp_path}/set/{manifest['shards'][0]['name']}.idx"
+    raw, right = open(name, "rb").read(), {(r["doc_id"], r["start"]) for r in token_files.read(spark, path).collect()}
+    n = len(set(k for k, _ in CASES))
+    values = np.frombuffer(raw[-8 * n :], "<i8")
+    repeated = sorted(k for k, _ in CASES if k is not None).index(3) + 1
+    alone = [i for i, v in enumerate(values) if v != repeated]
+    swapped = values.copy()
+    swapped[alone[:2]] = values[alone[1::-1]]
+    open(name, "wb").write(raw[: -8 * n] + swapped.tobytes())
+    assert {(r["doc_id"], r["start"]) for r in token_files.read(spark, path).collect()} != right
+    open(name, "wb").write(raw[: -8 * n] + np.zeros(n, "<i8").tobytes())
+    with pytest.raises(Exception, match="lead to each stored document"):
+        token_files.read(spark, path).collect()
+
+
+def test_repeated_keys_have_an_order(spark, tmp_path):
+    """Rows that repeat a key with other texts are stored in one order, whatever order they come in."""
+    rows = [(1, "some words"), (1, "other words"), (1, ""), (2, "x"), (1, "some words")]
+    made = []
+    for i, order in enumerate((rows, rows[::-1])):
+        token_files.write(spark.createDataFrame(order, DOC), f"file://{tmp_path}/{i}", WORDS, partitions=2)
+        made.append([tuple(r) for r in token_files.read(spark, f"file://{tmp_path}/{i}").orderBy("start").collect()])
+    assert made[0] == made[1] and len(made[0]) == 5
+
+
+def test_long_text_among_short_ones(plain):
+    bpe, texts = WordBpe(WORDS), ["a b", "word and more, " * 150_000, "c", "日本", "x" * 10]
+    assert [len(a) for a in bpe.encode(texts)] == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_token_files_query(spark, plain):
     docs = sorted(spark.read.parquet(f"{SMALL}/documents.parquet").collect(), key=lambda r: r["doc_id"])
     got = QUERIES["op5_token_files"](spark, SMALL).orderBy("doc_id").collect()
