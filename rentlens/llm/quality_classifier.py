@@ -9,7 +9,8 @@
    they don't ascend, and interpolated between the pools.
 
 A null or empty text has statistics like any other (zeros) and so a score. Training rows
-without a label don't count; without any training row all scores are 0.5. Rows are independent, equal texts get equal scores up to rounding.
+without a label don't count; without any training row all scores are 0.5. Rows are independent, equal texts get equal scores up to rounding. Texts of any length are read
+whole; rows that repeat count each; equal raw scores (ties) fall in one pool. Columns of any name pass; those named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut
+from .text import free_name
+
 #: Kinds of bytes counted (fixed values): name and bytes.
 KINDS = {
     "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "symbol": "#*$%&<>", "bar": "|", "mark": "!?", "stop": ".", "comma": ",;:", "bracket": "()[]{}", "line": "\n", "blank": " \t\r", "other": "\"'`~@^_+=/\\-",
@@ -66,12 +70,12 @@ def describe(df: DataFrame, text: str = "text", name: str = "stats") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = statistics(batch.column("__t").to_pylist())
+            rows = statistics(batch.column(len(others)).to_pylist())
             made = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(NAMES)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), made], [*others, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], [*others, name])
 
     schema = T.StructType([*(df.schema[c] for c in others), T.StructField(name, T.ArrayType(T.DoubleType(), False))])
-    return df.select(*[F.col(f"`{c}`") for c in others], F.col(text).alias("__t")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").alias(free_name(df, "body"))).mapInArrow(run, schema)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -79,7 +83,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _summed(df: DataFrame, make, shape: tuple[int, ...]) -> np.ndarray:
-    """Sum over all rows of make(batch), an array of a fixed shape: by partition, then in two rounds."""
+    """Sum over all rows of make(batch), an array of a fixed shape: by partition, then in two rounds. df is cut, so its partitions are known without running it."""
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
@@ -138,7 +142,7 @@ def pooled(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.
 
 def fit(df: DataFrame, stats: str = "stats", label: str = "label", *, features: int = 256, width: float = 4.0, ridge: float = 1e-3, seed: int = 7) -> Model:
     """Fit to the rows whose label (0 to 1) isn't null. Only sums of a fixed size reach the driver."""
-    rows = df.filter(F.col(label).isNotNull()).select(F.col(stats).alias("s"), F.col(label).cast("double").alias("y"))
+    rows = cut(df.filter(F.col(label).isNotNull()).select(F.col(stats).alias("s"), F.col(label).cast("double").alias("y")))
     k = len(NAMES)
 
     def moments(batch: pa.RecordBatch) -> np.ndarray:
