@@ -7,7 +7,9 @@ distance 1 from each other, so a pivot document tells nothing about most of them
    size over all documents, so its size doesn't grow with the data; any order gives right results). Two sets that
    link differ in so few members that they share one of the first floor(r * n) + 1 of each: the window into which a
    document is replicated. Within a shingle's run, size and place bounds drop documents without a possible partner.
-   The run's first document becomes the pivot of a region with all of the run, so that every pair that can link meets in a region.
+   The run's first document becomes the pivot of a region with all of the run, so that every pair that can link meets in a region. Runs are dealt by
+   shingle. A shingle that many more documents have than others by the sketch (a passage that near copies share) is not: its smallest document is found by
+   an aggregation with partial results, and joined to its postings, which adaptive execution can split.
 2. Documents as pivots, inside a region. For two pivots p and q far apart, a set x goes to p's cell if
    d(x, p) <= d(x, q) + 2r and to q's if d(x, q) <= d(x, p) + 2r; by the triangle inequality any linked pair shares a
    cell. Cells are joined recursively. Members of p's ball of radius r are linked through p, so pairs inside
@@ -22,7 +24,7 @@ Sets of equal shingles are one node (the smallest id), found by a 128-bit hash;
 
 Contract: words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased; a document with fewer words than a shingle has its whole word
 sequence as the one shingle; null, empty and blank texts have an empty set and link with nothing (component: own id).
-Rows with a null id are not compared (component null). Rows that repeat an id count as one document; the id links its texts.
+Rows with a null id are not compared (component null). Rows that repeat an id count as one document: the id links its texts, blank ones too.
 An empty table gives an empty result. The output has its own columns only, so clashing names of other columns don't matter.
 """
 
@@ -41,6 +43,8 @@ from ..session import cut, release
 
 SKETCH = 1 << 18
 RUN = 128
+#: Documents of a sketch cell from which its shingles are not dealt as runs: so many, and so many times the mean cell.
+HOT, HOT_MEANS = 1024, 4
 HEAVY_DOCS, HEAVY_SHINGLES = 1000, 500_000
 _RNG = np.random.default_rng(20240229)
 _BYTES = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,13 +121,14 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """id, n (set size), k1 and k2 (set hash), window (the first shingles in the global order)."""
+    """id, n (set size), k1 and k2 (set hash), window (the first shingles in the global order) and hot (those of them that are too common for a run; the last in the order)."""
     sent = docs.sparkSession.sparkContext.broadcast(counts)
+    limit = max(HOT, HOT_MEANS * int(counts.mean()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = sent.value
         for batch in batches:
-            n, k1, k2, windows = [], [], [], []
+            n, k1, k2, windows, hot = [], [], [], [], []
             for t in batch.column("text").to_pylist():
                 s = shingles(t, size)
                 a, b = _fold(s)
@@ -134,12 +139,14 @@ def describe(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
                     first = near[np.lexsort((s[near], c[near]))][:width]
                 else:
                     first = np.lexsort((s, c))
-                n.append(len(s)), k1.append(a), k2.append(b), windows.append(s[first].astype(np.int64))
+                cold, first = int(np.searchsorted(c[first], limit, "right")), s[first].astype(np.int64)
+                n.append(len(s)), k1.append(a), k2.append(b), windows.append(first[:cold]), hot.append(first[cold:])
+            longs, lists = pa.int64(), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(windows, pa.list_(pa.int64()))], ["id", "n", "k1", "k2", "window"]
+                [batch.column("id"), pa.array(n, longs), pa.array(k1, longs), pa.array(k2, longs), pa.array(windows, lists), pa.array(hot, lists)], ["id", "n", "k1", "k2", "window", "hot"]
             )
 
-    return docs.mapInArrow(run, "id long, n long, k1 long, k2 long, window array<long>")
+    return docs.mapInArrow(run, "id long, n long, k1 long, k2 long, window array<long>, hot array<long>")
 
 
 def _possible(n: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
@@ -199,7 +206,10 @@ def regions(nodes: DataFrame, percent: int) -> DataFrame:
             m = np.unique(np.concatenate(out), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(m[:, i]) for i in range(3)], ["pivot", "node", "n"])
 
-    return posted.mapInArrow(run, "pivot long, node long, n long").distinct()
+    found = posted.mapInArrow(run, "pivot long, node long, n long")
+    common = nodes.filter(F.size("hot") > 0).select("node", "n", F.explode("hot").alias("shingle"))
+    pivots = common.groupBy("shingle").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).filter("m > 1").select("shingle", "pivot")
+    return found.unionByName(common.join(pivots, "shingle").select("pivot", "node", "n")).distinct()
 
 
 class Region:
@@ -272,12 +282,17 @@ def _join_groups(rows: DataFrame, size: int, percent: int) -> DataFrame:
         def close() -> None:
             if len(held) < 2:
                 return
-            nodes = [n for n, _ in held]
-            region = Region(nodes, [_unpack(z, size) for _, z in held], percent)
+            full = [(n, s) for n, s in ((n, _unpack(z, size)) for n, z in held) if len(s)]  # an id's other text can be blank
+            if len(full) < 2:
+                return
+            nodes = [n for n, _ in full]
+            region = Region(nodes, [s for _, s in full], percent)
             pivots = [i for i, n in enumerate(nodes) if n == key[2]]
             if pivots and key[3] > 1:
-                d = np.min([region.measure(p)[0] for p in pivots], axis=0)
-                out.extend((n, None, float(x), key[0]) for n, x in zip(nodes, d))
+                # the least distance of an id's texts, and the largest
+                near = np.min([region.measure(p)[0] for p in pivots], axis=0)
+                far = np.max([region.measure(p)[0] for p in pivots], axis=0)
+                out.extend((n, None, float(x), key[0]) for i, n in enumerate(nodes) for x in {near[i], far[i]})
             region.join(np.arange(len(nodes)))
             out.extend((a, b, None, key[0]) for a, b in region.links)
 
@@ -314,7 +329,7 @@ def _chunked(members: DataFrame, docs: int, weight: int) -> DataFrame:
 
 
 def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rounds: int = 4, heavy_docs: int = HEAVY_DOCS, heavy_shingles: int = HEAVY_SHINGLES) -> DataFrame:
-    """Edges (a, b) between nodes whose components are those of all links. nodes: node, n, window; docs: id, text."""
+    """Edges (a, b) between nodes whose components are those of all links. nodes: node, n, window, hot; docs: id, text."""
     percent = round(threshold * 100)
     members = cut(regions(nodes.filter("n > 0"), percent)).withColumns({"region": F.col("pivot"), "wide": F.col("node") == F.col("pivot"), "last": F.lit(False)})
     release(docs.sparkSession)
@@ -342,7 +357,7 @@ def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rou
         if heavy is None or heavy.isEmpty():
             break
         comp = components(edges)
-        far = found.filter("d is not null").groupBy("region", F.col("a").alias("node")).agg(F.min("d").alias("d"))
+        far = found.filter("d is not null").groupBy("region", F.col("a").alias("node")).agg(F.min("d").alias("d"), F.max("d").alias("far"))
         state = heavy.join(far, ["region", "node"]).join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
         main = state.groupBy("region", "component").agg(F.count("*").alias("m")).groupBy("region").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
         state = cut(state.join(main, "region").withColumn("other", F.col("component") != F.col("main")))
@@ -356,7 +371,7 @@ def links(nodes: DataFrame, docs: DataFrame, *, size: int, threshold: float, rou
         # few others: they go to every chunk, which compares them with all, and the region is done
         few = (F.col("m") <= heavy_docs) & (F.col("w") <= heavy_shingles)
         radius = 1 - threshold + 1e-9
-        left = state.join(sums.select("region", "low", "pivot", few.alias("last")), "region").filter(F.col("other") | (F.col("d") >= F.col("low") - radius) | (F.col("node") == F.col("pivot")))
+        left = state.join(sums.select("region", "low", "pivot", few.alias("last")), "region").filter(F.col("other") | (F.col("far") >= F.col("low") - radius) | (F.col("node") == F.col("pivot")))
         members = cut(left.select("region", "pivot", "node", "n", F.when(F.col("last"), F.col("other")).otherwise(F.col("node") == F.col("pivot")).alias("wide"), "last"))
         del dealt, found, new, heavy, comp, far, state, main, sums, left
         release(docs.sparkSession)
@@ -368,13 +383,17 @@ def link(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, size: int
     docs = _texts(df, doc_id, text)
     facts = cut(describe(docs, sketch(docs, size), size, round(threshold * 100)))
     full = facts.filter("n > 0 and id is not null")
-    same = full.groupBy("k1", "k2").agg(F.min("id").alias("node"))
-    nodes = full.select(F.col("id").alias("node"), "k1", "k2", "n", "window").join(same, ["node", "k1", "k2"]).select("node", "n", "window")
+    # cut, so that the joins below have plain sides, which adaptive execution can split where a text has many copies
+    same = cut(full.groupBy("k1", "k2").agg(F.min("id").alias("node")))
+    nodes = full.select(F.col("id").alias("node"), "k1", "k2", "n", "window", "hot").join(same, ["node", "k1", "k2"]).select("node", "n", "window", "hot")
     edges = links(nodes, docs, size=size, threshold=threshold, **how)
     of = cut(facts.select("id", "n", "k1", "k2").join(same, ["k1", "k2"], "left").select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")))
-    # an id that stands on several texts links their nodes
-    several = of.filter("node is not null and id is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("id", "a")
-    tied = of.join(several, "id").select("a", F.col("node").alias("b")).filter("b is not null")
-    comp = components(edges.unionByName(tied))
+    # an id that stands on several texts links their nodes; its blank texts belong with the others
+    again = cut(of.filter("id is not null").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("m")).filter("m > 1").select("id", "a", "b"))
+    if not again.isEmpty():
+        tied = of.join(again.filter("a <> b"), "id").select("a", F.col("node").alias("b")).filter("b is not null")
+        edges = edges.unionByName(tied)
+        of = of.join(again.select("id", "a"), "id", "left").select("id", "n", F.coalesce("node", "a").alias("node"))
+    comp = components(edges)
     out = of.join(comp, "node", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"))

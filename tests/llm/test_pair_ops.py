@@ -65,6 +65,15 @@ def texts():
     return list(enumerate(out))
 
 
+def test_join_of_common_shingles(spark, texts, monkeypatch):
+    """Shingles that count as too common for a run give the same components."""
+    monkeypatch.setattr(ngram_join, "HOT", 6)
+    monkeypatch.setattr(ngram_join, "HOT_MEANS", 0)
+    _, want = brute_join(texts)
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.link(df).collect()} == want
+
+
 @pytest.mark.parametrize("how", [{}, {"heavy_docs": 5, "heavy_shingles": 900}, {"heavy_docs": 4, "heavy_shingles": 500, "rounds": 1}])
 def test_join_against_brute_force(spark, texts, how):
     sets, want = brute_join(texts)
@@ -85,6 +94,18 @@ def test_join_odd_rows(spark):
     assert ngram_join.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("how", [{}, {"heavy_docs": 4, "heavy_shingles": 400}])
+def test_join_of_repeated_ids(spark, texts, how):
+    """Ids that stand on several texts, blank ones among them, link as if their texts were linked; against brute force."""
+    rng = random.Random(12)
+    rows = [(i, t) for i, t in texts] + [(rng.randint(0, 100), t) for _, t in rng.sample(texts, 12)] + [(3, ""), (4, " "), (90, None)]
+    sets = [(i, shingles(t)) for i, t in rows]
+    links = [(i, j) for x, (i, a) in enumerate(sets) for j, b in sets[x + 1 :] if a and b and 100 * len(a & b) >= 80 * len(a | b)]
+    want = roots({i for i, _ in rows}, links)
+    for r in ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect():
+        assert r["component_id"] == want[r["doc_id"]]
+
+
 def test_join_query(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     sets, want = brute_join(docs)
