@@ -23,7 +23,7 @@ from rentlens.llm.text import free_name
 from rentlens.session import cut, own_dir, remove, ship, table
 
 #: Least scores of a prediction that overrides a given language, and of one that stands for a missing one.
-REFUTED, FITS = 0.9, 0.55
+REFUTED, FITS = 0.99, 0.55
 
 
 def _retexted(docs: DataFrame, out: DataFrame, text: Column) -> DataFrame:

@@ -36,7 +36,7 @@ from .text import free_name
 STEP = 256
 SCALE = 12.0
 #: Letters that are parsed at once; one longer text is parsed alone.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 21
 POINTS = 0x110000
 
 

@@ -72,7 +72,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, se
     first = seen.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter(F.col("first") != F.col("last")).drop("last")
     later = seen.join(first, ["h1", "h2"]).filter(at > F.col("first"))
     # names that df doesn't have, for what the join brings
-    d, t, ks, h, r = (free_name(df, n) for n in ("of_doc", "of_text", "places", "hash", "result"))
+    d, t, ks, h = (free_name(df, n) for n in ("of_doc", "of_text", "places", "hash"))
     places = later.groupBy("d", "t").agg(F.collect_set("k").alias(ks)).withColumnsRenamed({"d": d, "t": t})
     marked = df.withColumn(h, F.xxhash64(body))
     joined = marked.join(places, F.col(f"`{doc_id}`").eqNullSafe(F.col(d)) & (F.col(h) == F.col(t)), "left")
@@ -92,4 +92,5 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, se
         )
 
     others = [F.col(f"`{c}`") for c in df.columns if c not in OUTPUT]
-    return joined.withColumn(r, T.let(full, cleaned)).select(*others, *[F.col(f"{r}.{c}").alias(c) for c in OUTPUT])
+    # a generator, so that a filter on the results doesn't compute them again
+    return joined.select(*others, F.inline(F.transform(F.array(full), cleaned)))

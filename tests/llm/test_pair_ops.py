@@ -236,6 +236,92 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r["doc_id"] for r in docs.collect()} == {None if i == -1 else i for i in kept["ngram_jaccard_join"]}
 
 
+BLANK = " \t\n\x0b\x0c\r"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: The stock phrases that occur in the test tables, and the ends of sentences.
+STOCK = re.compile(r"(^|[^\w])(all rights reserved|licensed under|released under)([^\w]|$)")
+ENDS = re.compile("(?<=[.!?\u2026\u0964\u061f][ \t])|(?<=[\u3002\uff01\uff1f])")
+
+
+def plain_rules(text):
+    """The text that the quality rules leave, or None, in plain Python."""
+    words, lines = WORD.findall(text), text.split("\n")
+    seen, covered = {}, set()
+    for i in range(len(words) - 2):
+        seen.setdefault(tuple(words[i : i + 3]), []).append(i)
+    for places in seen.values():
+        if len(places) > 1:
+            covered |= {i + j for i in places for j in range(3)}
+    left, lost = [], 0
+    for i, line in enumerate(lines):
+        n = len(WORD.findall(line))
+        ended = re.search("[.!?:;\u2026][\"')\\]\u00bb\u201d]*$", line.rstrip(BLANK)[-4:])
+        after = lines[i + 1].lstrip(" \t")[:1] if i + 1 < len(lines) else ""
+        bars = sum(line.count(c) for c in "|>·•»")
+        bad = n > 0 and (
+            (not ended and not (n >= 6 and after.islower())) or len(line) - len(line.replace("!!", "").replace("??", "")) >= n
+            or 3 * sum(line.count(c) for c in "#*$%&|<>") >= n or (bars >= 3 and 4 * bars >= n) or bool(STOCK.search(line.lower()))
+        )
+        if bad:
+            lost += sum(map(len, WORD.findall(line)))
+        else:
+            left.append(line)
+    good = len(words) >= 50 and 100 * len(covered) <= 50 * len(words) and 2 * lost <= sum(map(len, words))
+    return "\n".join(left) if good else None
+
+
+def plain_dedup(docs):
+    """The texts without later windows of three sentences, in plain Python; documents in the order of their ids."""
+    first, out = set(), {}
+    for i in sorted(docs):
+        units = [(u, k) for k, line in enumerate(docs[i].split("\n")) for u in ENDS.split(line)]
+        full = [k for k, (u, _) in enumerate(units) if u.strip(BLANK)]
+        gone = set()
+        for k in range(len(full) - 2):
+            window = tuple(units[x][0].strip(BLANK) for x in full[k : k + 3])
+            if window in first:
+                gone |= set(full[k : k + 3])
+            first.add(window)
+        text, line = "", None
+        for k, (u, own) in enumerate(units):
+            if k not in gone:
+                text += ("\n" if line is not None and own != line else "") + u
+                line = own
+        if text.strip(BLANK):
+            out[i] = text
+    return out
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Each stage's rows on the smallest tables are what plain Python makes of the rows before it."""
+    docs, folder = spark.read.parquet(f"{SMALL}/documents.parquet"), str(tmp_path)
+    texts = {r["doc_id"]: (r["text"], r["lang"]) for r in docs.collect()}
+    model = corpus_pipeline.lid.train(docs, "text", "lang")
+    made = {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SMALL).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        made[name] = docs.collect()
+    of = {n: {r["doc_id"]: r["text"] for r in made[n]} for n in ("language_id", "quality_rules", "line_dedup", "ngram_jaccard_join")}
+    want = {}
+    for i, (text, lang) in texts.items():
+        (pred,), (score,) = model.predict([text])
+        if pred != "und" and (score >= corpus_pipeline.FITS if lang is None else lang == pred or score < corpus_pipeline.REFUTED):
+            want[i] = text
+    assert of["language_id"] == want
+    want = {i: t for i, t in ((i, plain_rules(t)) for i, t in want.items()) if t is not None}
+    assert of["quality_rules"] == want and 0 < len(want) < len(texts)
+    want = plain_dedup(want)
+    assert of["line_dedup"] == want
+    _, groups = brute_join(want.items())
+    assert of["ngram_jaccard_join"] == {i: t for i, t in want.items() if groups[i] == i}
+    from rentlens.llm.queries import vocabulary
+    from tests.llm.test_token_ops import checked, plain_tokenizer
+
+    rows = [{"doc_id": i, "text": t} for i, t in of["ngram_jaccard_join"].items()]
+    assert checked(made["best_fit_packing"], rows, plain_tokenizer(vocabulary("word_bpe_49k.json")), 2048) <= 1.02 * sum(r["length"] for r in made["best_fit_packing"]) / 2048 + 1
+
+
 def test_pipeline_run(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.count() > 0 and "sequence_id" in out.columns

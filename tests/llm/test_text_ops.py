@@ -108,6 +108,9 @@ def test_filter_computes_once(spark):
     df = apply_rules(spark.createDataFrame([(1, "a b c d")], DOC))
     count = lambda x: x._jdf.queryExecution().executedPlan().toString().count("xxhash64")
     assert count(df.filter("kept")) == count(df)
+    once = dedup_lines(spark.createDataFrame([(1, "a b c d")], DOC), sentences=True)
+    splits = lambda x: x._jdf.queryExecution().optimizedPlan().toString().count("split(")
+    assert splits(once.filter(F.length("clean_text") > 0)) == splits(once)
 
 
 def test_repeat_words(spark):

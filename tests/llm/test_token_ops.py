@@ -22,9 +22,13 @@ DOC = "doc_id long, text string"
 CASES = [(3, "hello world, it's 2024!"), (1, None), (2, ""), (5, "ab " * 6000), (3, "hello world, it's 2024!"), (None, "x y"), (9, "naïve Ünï 日本 <|endoftext|> ''s"), (4, "   \n\t ")]
 
 
+def plain_tokenizer(path):
+    return Tokenizer.from_file(path)
+
+
 @pytest.fixture(scope="module")
 def plain():
-    return Tokenizer.from_file(WORDS)
+    return plain_tokenizer(WORDS)
 
 
 @pytest.fixture(scope="module")
