@@ -32,7 +32,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut
 from .word_bpe import load
 
 MAGIC = b"RLIDX001"
@@ -162,7 +161,8 @@ def write(df: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text
         width = _width(bpe.size, end_id)
         for batch in batches:
             ids = [np.append(x, end_id).astype(f"<u{width}").tobytes() for x in bpe.encode([t or "" for t in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["k", "ids"])
+            part = [0 if k is None else max(0, bisect_right(bounds, k) - 1) for k in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(part, pa.int32()), pa.array(ids, pa.binary())], ["k", "part", "ids"])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, task = _width(load(tokenizer).size, end_id), TaskContext.get()
@@ -202,10 +202,12 @@ def write(df: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text
             yield flush()
 
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the ids are a fraction of the texts; they are cut so that sampling the ranges doesn't encode anew
     kind = df.schema[doc_id].dataType.simpleString()
-    made = cut(df.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).mapInArrow(encoded, f"k {kind}, ids binary"))
-    dealt = made.repartitionByRange(n, "k").sortWithinPartitions("k", "ids")
+    # the ranges come from the keys alone, so that texts are encoded once and only ids are shuffled; a bound for each partition
+    ranges = df.select(F.col(doc_id).alias("k")).filter("k is not null").repartitionByRange(n, "k").groupBy(F.spark_partition_id().alias("part")).agg(F.min("k").alias("k"))
+    bounds = sorted(r["k"] for r in ranges.collect())
+    made = df.select(F.col(doc_id).alias("k"), F.col(text).alias("t")).mapInArrow(encoded, f"k {kind}, part int, ids binary")
+    dealt = made.repartitionById(max(1, len(bounds)), F.col("part")).sortWithinPartitions("k", "ids").select("k", "ids")
     rows = dealt.mapInArrow(shards, "name string, part long, roll long, first string, last string, n_docs long, n_ids long, width long").collect()
     manifest = {"end_id": end_id, "shards": [], "key": kind}
     before = 0
