@@ -323,7 +323,8 @@ def _chunked(members: DataFrame, docs: int, weight: int) -> DataFrame:
     """members (region, pivot, node, n, wide, last) with chunks (how many the region needs) and chunk; wide ones go to all chunks."""
     sums = members.groupBy("region").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
     chunks = F.greatest(F.ceil(F.col("m") / docs), F.ceil(F.col("w") / weight), F.lit(1)).cast("int")
-    sized = members.join(sums.select("region", chunks.alias("chunks")), "region")
+    # cut: a join with a plain side can be split where one region has many documents, or do without a shuffle
+    sized = members.join(cut(sums.select("region", chunks.alias("chunks"))), "region")
     own = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     return sized.withColumn("chunk", F.explode(F.when(F.col("wide"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(own)))
 
