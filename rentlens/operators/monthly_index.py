@@ -75,7 +75,12 @@ def describe(series: DataFrame) -> DataFrame:
 def is_stale(series: DataFrame, date: str) -> DataFrame:
     """One row: whether the date is over STALE_MONTHS past the last month."""
     last = series.agg(F.max(S.month_key_index(F.col("month"))).alias("m"))
-    return last.select(F.coalesce(S.month_index(F.lit(date).cast("date")) - F.col("m") > STALE_MONTHS, F.lit(False)).alias("stale"))
+    return last.select(over_stale(S.month_index(F.lit(date).cast("date")), F.col("m")).alias("stale"))
+
+
+def over_stale(month: Column, last: Column) -> Column:
+    """Whether a month number is over STALE_MONTHS past the last one."""
+    return F.coalesce(month - last > STALE_MONTHS, F.lit(False))
 
 
 def rows(series: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from .functions import scalars as S
 from .operators import history, monthly_index, quality, registry, resolve
 from .plans import publish, serve
 from .session import cut, own_dir, table
-from .sources import pages, tables
+from .sources import pages, sinks, state, tables
+from .streaming import feeds
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -667,3 +670,136 @@ def snapshot_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
     finished = S.iso(F.lit("2024-03-01T12:00:00+00:00").cast("timestamp") - F.make_dt_interval(mins=F.col("k").cast("int") * 30))
     return n.select("k", registry.is_fresh(F.col("k") % 2 == 0, finished, "2024-03-01T12:00:00+00:00").alias("fresh"))
+
+
+# detail pages, files and versions
+
+_DETAIL = """concat('<script>window.data = {"advert":{"title":"t', k, '","price":', k * 10, ',"rooms":2,"square":58.5,"address":{"city":"Astana","street":"S', k % 7, '"},"map":{"lat":51.1,"lon":71.4},',
+  case when k % 3 = 0 then '"photos":[{"src":"b"},{"src":"a"},{}],' else '' end, '"complexId":', k % 5, ',"ownerName":"own', k, '"},"adverts":[{"priceM2":', k, ',"createdAt":"2024-01-02","addedAt":"2024-01-03","owner":{"title":"',
+  case when k % 2 = 0 then '' else 'title' end, '","isChecked":', case when k % 2 = 0 then 'true' else 'false' end, '}}]};</script>',
+  '<div class="offer__info-item" data-name="flat.floor"><div class="offer__advert-short-info"> ', k % 9 + 1, ' из 9</div></div>',
+  '<div class="offer__info-item" data-name="flat.wc"><div class="offer__advert-short-info">two</div></div>',
+  '<div class="offer__info-item" data-name="map.complex"><a href="/complex/show/city/alias', k % 5, '/">Name ', k % 5, '</a></div><div class="js-description">free <b>text ', k, '</b></div>')"""
+
+
+def _detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with an advert behind their own content; every fourth has none."""
+    return table(spark, sf_dir, "pages").selectExpr("page_id as id", "page_id as k", "html").selectExpr("id", f"case when k % 4 = 1 then html else concat(html, {_DETAIL}) end as html")
+
+
+@query("""
+select cast(k as varchar) as id, 'u/' || k as url, 't' || k as title, nullif(k * 10, 0)::bigint as price, 2::bigint as rooms, 58.5 as square_m2, (k % 9 + 1)::bigint as floor, 9::bigint as floor_total, 'S' || (k % 7) as street,
+  (k % 5)::bigint as complex_id, 'alias' || (k % 5) as complex_alias, 'Name ' || (k % 5) as complex_name, 'two' as bathrooms_count, 'free text ' || k as full_description,
+  case when k % 3 = 0 then 2 else 0 end::bigint as photo_count, case when k % 3 = 0 then sha256('a|b') end as photo_set_hash, case when k % 2 = 0 then 'own' || k else 'title' end as owner_name,
+  case when k % 2 = 0 then 1 else 0 end::bigint as is_identity_confirmed, k::bigint as price_m2, '2024-01-03' as added_at from (select page_id as k from pages) where k % 4 <> 1""")
+def detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = pages.parse_detail(_detail_pages(spark, sf_dir), "now", url_prefix="u/")
+    return good.select("id", "url", "title", "price", "rooms", "square_m2", "floor", "floor_total", "street", "complex_id", "complex_alias", "complex_name", "bathrooms_count", "full_description", "photo_count", "photo_set_hash", "owner_name", "is_identity_confirmed", "price_m2", "added_at")
+
+
+@query("select cast(page_id as varchar) as id from pages where page_id % 4 = 1")
+def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.parse_detail(_detail_pages(spark, sf_dir), "now")[1]
+
+
+@query("select page_id, contains(html, 'cookie') or contains(html, 'the') as flagged from pages")
+def challenge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", pages.is_challenge(F.col("html"), ["cookie", "the"]).alias("flagged"))
+
+
+@query(f"select id, price::bigint as price, square_m2, nullif(full_description, '') as full_description, nullif(street, '') as street from ({LF})")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings exported to CSV and read back: texts with line ends and quotes, unknown columns dropped, types restored."""
+    path = own_dir(spark, "csv")
+    rows = X.listings(spark, sf_dir, faults=True)
+    sinks.export_csv(rows, f"{path}/out", [c for c in rows.columns if c != "lat_u"])
+    known, _ = tables.known_columns(tables.read_csv(spark, f"{path}/out"))
+    return registry.coerced(known).select("id", "price", "square_m2", "full_description", "street")
+
+
+@query(f"select month, level::double as level from (values {_SERIES}) t(month, level) order by month")
+def series_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index series from its file, in month order."""
+    path = own_dir(spark, "series")
+    values = [{"month": m, "value": v} for m, v in X.SERIES]
+    sinks.write_text(spark, f"{path}/s.json", json.dumps({"values": [*reversed(values), {"month": None, "value": 1}, {"month": "1999-01", "value": -1}]}))
+    return monthly_index.rows(monthly_index.levels(tables.read_series(spark, f"{path}/s.json")))
+
+
+@query("select n_nationkey as k, n_nationkey > 3 as stale from nation")
+def stale_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the series is stale k months after its last one."""
+    last = monthly_index.levels(X.series(spark)).agg(F.max(S.month_key_index(F.col("month"))).alias("m"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")).join(F.broadcast(last))  # one row
+    return n.select("k", monthly_index.over_stale(F.col("m") + F.col("k"), F.col("m")).alias("stale"))
+
+
+@query(f"select id, price::bigint as price from ({L}) where doc_id % 3 <> 0 and status = 'active'")
+def committed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The active listings of a committed generation."""
+    folder = own_dir(spark, "state")
+    state.commit(spark, folder, state.load(spark, folder) | {"listings": _state(spark, sf_dir)})
+    return tables.read_state(spark, f"{tables.read_pointer(spark, folder)['path']}/listings", active_only=True).select("id", "price")
+
+
+@query("select 'v' || i as version from range(5) t(i) where i >= 2 or i = 0")
+def retained_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of five versions the three newest and the current one, the oldest, are kept."""
+    folder = own_dir(spark, "versions")
+    one_row = spark.range(1).coalesce(1)
+    for i in range(5):
+        sinks.write_version(folder, f"v{i}", {"t": one_row}, lambda _: False)
+    sinks.clean_versions(spark, folder, "v0")
+    return spark.createDataFrame([(f"v{i}",) for i in range(5) if sinks.exists(spark, f"{folder}/v{i}")], "version string")
+
+
+@query(f"""
+with recursive {_groups(_GOOD)} select id, price::bigint as price from ({_GOOD}) l where id in (select max(id) from ({_GOOD}) x where not exists (from groups g where g.id = x.id and not keep))""")
+def published_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row read by its id from a published version: the last id of all its pages."""
+    folder = own_dir(spark, "published")
+    publish.build(X.listings(spark, sf_dir, faults=True), X.series(spark), folder, "2024-03-01T00:00:00+00:00")
+    ids: list[str] = []
+    while True:
+        page = serve.read_table(spark, folder, limit=500, offset=len(ids))
+        ids += [json.loads(r)["id"] for r in page["rows"]]
+        if page["returned"] < 500:
+            break
+    row = serve.read_listing(spark, folder, max(ids))
+    return spark.createDataFrame([(row["id"], row["price"])], "id string, price long")
+
+
+@query(f"select observed_at, price from ({X.RECORDED_SQL}) where id = '42' or id = '43' order by observed_at")
+def listing_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = X.recorded(spark, sf_dir)
+    return history.price_history_for(h, "42").unionByName(history.price_history_for(h, "43")).select("observed_at", "price")
+
+
+@query(f"select id, 'r: ' || case when reason = 'area_bounds' then 'area outside [15, 400]' when reason = 'price_m2_bounds' then 'price a square metre outside [1500, 40000]' end as why from (select id, {_REASON} as reason from ({LF})) where reason like '%bounds'")
+def reason_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.reject(X.listings(spark, sf_dir, faults=True)).filter("reason like '%bounds'")
+    return rows.select("id", F.concat(F.lit("r: "), quality.reason_text(F.col("reason"))).alias("why"))
+
+
+@query("""
+select n_nationkey as k, case when n_nationkey * 700 >= 3600 then (n_nationkey * 700 // 3600) || 'h ' || lpad((n_nationkey * 700 % 3600 // 60)::varchar, 2, '0') || 'm'
+  else (n_nationkey * 700 // 60) || 'm ' || lpad((n_nationkey * 700 % 60)::varchar, 2, '0') || 's' end as took,
+  strftime(timestamp '2024-03-01 12:00:00' + to_seconds(n_nationkey), '%Y-%m-%dT%H:%M:%S+00:00') as at from nation""")
+def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("k"))
+    at = F.lit("2024-03-01T12:00:00+00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("k").cast("decimal(18,6)"))
+    return n.select("k", S.duration_text(F.col("k") * 700).alias("took"), S.iso(at).alias("at"))
+
+
+@query(f"select cast(id as varchar) as id, seq, price, old_price, kind from ({_POINTS})")
+def streamed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change points as a stream finds them, stored once, and a batch replayed on top."""
+    folder, name = own_dir(spark, "stream"), "events.parquet"
+    kinds = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(kinds).parquet(f"{sf_dir}/*{name}").filter("event_type = 'purchase'")
+    rows = stream.select(F.col("user_id").cast("string").alias("id"), F.col("value").alias("price"), F.col("ts").cast("timestamp").alias("observed_at"), F.col("event_id").alias("seq"))
+    sink = feeds.append_once(f"{folder}/out", ["id", "seq"])
+    feeds.price_changes(rows).writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    sink(cut(out.filter("batch_id = 0").drop("batch_id")), 0)
+    return spark.read.parquet(f"{folder}/out").select("id", "seq", "price", "old_price", "kind")

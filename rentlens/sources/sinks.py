@@ -22,7 +22,7 @@ def export_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> No
     cols = columns or [c for c in schema.LISTING_COLUMNS if c in df.columns]
     out = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in cols])
     tmp = _beside(path)
-    out.write.csv(tmp, header=True, emptyValue="", nullValue="", escape='"')
+    out.write.csv(tmp, header=True, emptyValue="", nullValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     replace(df.sparkSession, tmp, path)
 
 
