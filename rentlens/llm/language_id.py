@@ -36,7 +36,7 @@ from .text import free_name
 STEP = 256
 SCALE = 12.0
 #: Letters that are parsed at once; one longer text is parsed alone.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 20
 POINTS = 0x110000
 
 
@@ -211,7 +211,7 @@ def _parsed(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, inner: np.nda
     """Phrases that start in each piece (start to stop) in the parse of whole texts; inner pieces follow another one of their text."""
     marks = np.zeros(len(flat) + 1, bool)
     own_leave, count = _walk(flat, start, stop, marks, edges, root, False)
-    before = np.concatenate(([0], np.cumsum(marks)))
+    before = np.concatenate(([0], np.cumsum(marks, dtype=np.int32)))
     leave, entered = own_leave.copy(), start
     while True:
         entry = np.where(inner, np.concatenate((start[:1], leave[:-1])), start)
