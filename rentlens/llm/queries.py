@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, own_dir, ship, table
-from . import byte_bpe, embedding_dedup, language_id, ngram_join, packing, token_files, url_filters
+from . import byte_bpe, embedding_dedup, fill_in_middle, hard_negatives, language_id, ngram_join, packing, token_counts, token_files, url_filters
 from . import quality_classifier as quality
 from .line_dedup import dedup_lines
 from .quality_rules import apply_rules
@@ -83,6 +83,23 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+    return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), text="body", keep=["doc_id"])
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2(c.cast("binary"), 256).alias(n) for c, n in ((F.col("output"), "output_sha256"), (text, "restored_sha256"))]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 SQL_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 OP4_SQL = f"""
@@ -166,6 +183,41 @@ from embeddings left join c on c.node = vec_id left join n on n.a = vec_id
 """
 
 
+OP11_SQL = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * x::double) for x in embedding] as q
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and coalesce(list_sum([case when x is null or isnan(x) or isinf(x) then 1 else 0 end for x in embedding]), 0) = 0),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, cast(list_dot_product(a.q, b.q) as bigint) as score
+  from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+p as (select * from (select *, row_number() over (partition by anchor_id order by score desc, id) as r from s where same) where r <= 5),
+n as (
+  select p.anchor_id, p.id as positive_id, p.score as positive_score, s.id as negative_id, s.score as negative_score,
+         row_number() over (partition by p.anchor_id, p.id order by s.score desc, s.id) as rank
+  from p join s on s.anchor_id = p.anchor_id and not s.same and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
+
+OP13_SQL = """
+with d as (
+  select doc_id, coalesce(text, '') as body, sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u from documents),
+c as (
+  select *, len(u) as n, [('0x' || substr(h, 8 * k + 1, 8))::bigint for k in [0, 1, 2, 3]] as x from d),
+f as (
+  select *, least(x[1] % (n + 1), x[2] % (n + 1)) as a, greatest(x[1] % (n + 1), x[2] % (n + 1)) as b,
+         case when body = '' or contains(body, '<P>') or contains(body, '<S>') or contains(body, '<M>') or x[3] % 100 >= 100 then 'plain'
+              when x[4] % 100 < 50 then 'spm' else 'psm' end as form from c),
+t as (
+  select *, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle, array_to_string(u[b + 1:], '') as suffix from f)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+       sha256(case form when 'plain' then body when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(body) as restored_sha256
+from t
+"""
+
+
 def _shipped(f):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -174,5 +226,5 @@ def _shipped(f):
     return query
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_quality_classifier, op2_url_filters, op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op7_language_id, op8_embedding_dedup, op9_byte_bpe, op10_ngram_join)}
-ORACLE = {"op4_line_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL, "op8_embedding_dedup": OP8_SQL}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_quality_classifier, op2_url_filters, op3_packing, op4_line_dedup, op5_token_files, op6_quality_rules, op7_language_id, op8_embedding_dedup, op9_byte_bpe, op10_ngram_join, op11_hard_negatives, op12_token_counts, op13_fill_in_middle)}
+ORACLE = {"op4_line_dedup": OP4_SQL, "op6_quality_rules": OP6_SQL, "op8_embedding_dedup": OP8_SQL, "op11_hard_negatives": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
