@@ -13,7 +13,8 @@ most_langs different values raise an error, as the model is sent to the workers.
 Texts are lower-cased, runs of other characters than letters become one space; whole texts are parsed. Pieces of STEP letters are parsed in
 lockstep, each from its own start past its end to the end of its last phrase. What depends on a start is then done again: a piece is
 entered where the piece before ends its last phrase, and parsed from there until a phrase starts where one did before. So the phrases are
-those of one parse from left to right. A letter that the reference lacks is a phrase of its own.
+those of one parse from left to right. Ordinary texts settle in a few rounds of that; where phrases never meet (periodic texts), the pieces
+that are left are entered in order, each once, so that the work is linear in the text. A letter that the reference lacks is a phrase of its own.
 
 Null and blank texts and texts without a letter are `und` with score 0, as is everything if there is no labelled text. The score of other
 texts, from 0.5 to 1, grows with the distance to the second language (1 if there is only one). Ties go to the language first by name; rows
@@ -34,6 +35,8 @@ from pyspark.sql import types as T
 from .text import free_name
 
 STEP = 256
+#: Rounds in which pieces that are entered elsewhere are parsed again side by side, before the rest is done in order.
+ROUNDS = 6
 SCALE = 12.0
 #: Letters that are parsed at once; one longer text is parsed alone.
 AT_ONCE = 1 << 20
@@ -213,7 +216,7 @@ def _parsed(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, inner: np.nda
     own_leave, count = _walk(flat, start, stop, marks, edges, root, False)
     before = np.concatenate(([0], np.cumsum(marks, dtype=np.int32)))
     leave, entered = own_leave.copy(), start
-    while True:
+    for _ in range(ROUNDS):
         entry = np.where(inner, np.concatenate((start[:1], leave[:-1])), start)
         todo = np.flatnonzero(entry != entered)
         if not len(todo):
@@ -227,6 +230,32 @@ def _parsed(flat: np.ndarray, start: np.ndarray, stop: np.ndarray, inner: np.nda
         joined = reached < stop[other]
         count[other] = begun + np.where(joined, before[stop[other]] - before[np.minimum(reached, stop[other])], 0)
         leave[other] = np.where(joined, own_leave[other], reached)
+    entry = np.where(inner, np.concatenate((start[:1], leave[:-1])), start)
+    letters_, out = memoryview(flat), memoryview(edges)
+    for first in np.flatnonzero(entry != entered).tolist():
+        k = first
+        while k < len(start) and (inner[k] or k == first):
+            came = int(leave[k - 1])
+            if came == entered[k]:
+                break  # all that follows was parsed from there
+            entered[k] = came
+            reached, begun = came, 0
+            while reached < stop[k] and not marks[reached]:
+                reached, begun = _phrase_end(letters_, reached, out, root), begun + 1
+            joined = reached < stop[k]
+            count[k] = begun + (before[stop[k]] - before[reached] if joined else 0)
+            leave[k] = own_leave[k] if joined else reached
+            k += 1
+    return count
+
+
+def _phrase_end(flat: memoryview, at: int, edges: memoryview, root: int) -> int:
+    """End of the phrase that starts at a place."""
+    state, start = root, at
+    while (edge := edges[state + flat[at]]) >> 32 == state:
+        state = edge & 0xFFFFFFFF
+        at += 1
+    return at + (at == start)
 
 
 def train(df: DataFrame, text: str, lang: str, *, docs_per_lang: int = 64, short: int = 4096, chars_per_lang: int = 16_384, most_langs: int = 128) -> Model:

@@ -148,6 +148,22 @@ def test_cross_parsing_against_brute_force(monkeypatch, letters):
         assert got.tolist() == [[brute_phrases(t, ref) for t in (clean, "", clean[:10], clean)]]
 
 
+@pytest.mark.parametrize("unit", ["w", "abcab", "abc", "q"])
+def test_periodic_texts_take_linear_time(unit):
+    """Phrases of a length that never meets a piece's end: a million letters, and many short texts like it at once."""
+    import time
+
+    ref = "www and abcababcabcab of some words"
+    m = language_id.Model({"x": [ref]})
+    texts = [unit * (1_000_000 // len(unit)), *[unit * (k // len(unit)) for k in range(300, 700)]]
+    codes = [language_id.squeeze(t, m.codes) for t in texts]
+    began = time.process_time()
+    got = m.phrases(codes)[0].tolist()
+    assert time.process_time() - began < 10
+    assert got[1:] == [brute_phrases(t, ref) for t in texts[1:]]
+    assert abs(got[0] * len(texts[-1]) / (got[-1] * len(texts[0])) - 1) < 0.1
+
+
 def test_wide_alphabets_stay_sparse():
     """The table of a language follows its edges, not states times the alphabet of all languages."""
     import random
