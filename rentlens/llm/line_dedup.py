@@ -7,7 +7,8 @@ covered positions of all later windows of a document are merged and those lines
 
 Two aggregations only, both with map-side partial sums: one finds the first occurrence of each
 repeated hash, one gathers a document's positions. The join between them has its hot side
-on repeated hashes; adaptive execution splits it, as nothing above needs a key's rows together.
+on repeated hashes. The first occurrences are written to the checkpoint folder before it: a sort-merge join of two plain shuffles is one
+whose hot partitions adaptive execution splits, a join to an aggregation of the same keys isn't.
 
 Null and empty texts, and documents of fewer than three lines with a word, have no window and stay as
 they are (null text: empty). Rows that repeat both id and text count as one document: none of
@@ -23,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from . import text as T
 from .text import free_name
 
@@ -70,7 +72,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *, se
     seen = key.select("d", "t", F.explode(_windows(F.col("x"), sentences)).alias("w")).select("d", "t", "w.h1", "w.h2", "w.k")
     at = F.struct("d", "t", "k")
     first = seen.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter(F.col("first") != F.col("last")).drop("last")
-    later = seen.join(first, ["h1", "h2"]).filter(at > F.col("first"))
+    later = seen.join(cut(first), ["h1", "h2"]).filter(at > F.col("first"))
     # names that df doesn't have, for what the join brings
     d, t, ks, h = (free_name(df, n) for n in ("of_doc", "of_text", "places", "hash"))
     places = later.groupBy("d", "t").agg(F.collect_set("k").alias(ks)).withColumnsRenamed({"d": d, "t": t})
