@@ -44,8 +44,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60, tas
 
     First every task contracts up to task_edges edges by union-find. If that takes one task, it is the answer; else two rules alternate
     until nothing changes: every node's larger neighbours are linked to its smallest one, then its smaller neighbours are. Edges
-    never grow in number beyond the input's; a hub's rows are joined, not gathered, so adaptive execution can
-    split them. Each round is written to the checkpoint folder. Null ends are dropped.
+    never grow in number beyond the input's; a hub's rows are joined, not gathered, and to a written table, as adaptive execution splits hot
+    keys in joins of plain shuffles only. Each round is written to the checkpoint folder. Null ends are dropped.
     """
     e = edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     e = cut(e.filter("u <> v"))
@@ -58,8 +58,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most: int = 60, tas
         mark = now
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = cut(both.join(cut(low), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
         e = cut(small.filter("u <> v").distinct())
     else:

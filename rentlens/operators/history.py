@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .segments import MOST_ROWS, running
 
 NEW, DROP = "new", "price_drop"
 
 
-def compress(observations: DataFrame, key: str = "id", order: tuple[str, ...] = ("observed_at",)) -> DataFrame:
-    """The first observation of each key and those that change its price, with old_price and kind (start, drop, rise)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    out = observations.filter("price is not null").withColumn("old_price", F.lag("price").over(w))
+def compress(observations: DataFrame, key: str = "id", order: tuple[str, ...] = ("observed_at",), most: int = MOST_ROWS) -> DataFrame:
+    """The first observation of each key and those that change its price, with old_price and kind (start, drop, rise); keys of over `most` rows in segments."""
+    out = running(observations.filter("price is not null"), key, list(order), F.col("price"), "previous", "old_price", most)
     kind = F.when(F.col("old_price").isNull(), "start").when(F.col("price") < F.col("old_price"), "drop").otherwise("rise")
     return out.filter(F.col("old_price").isNull() | S.price_changed(F.col("old_price"), F.col("price"))).withColumn("kind", kind)
 
@@ -64,12 +64,11 @@ def price_history_for(history: DataFrame, listing: str) -> DataFrame:
     return history.filter(F.col("id") == listing).orderBy("observed_at").select("price", "observed_at")
 
 
-def price_asof(probes: DataFrame, history: DataFrame, key: str = "id", at: str = "at", observed: str = "observed_at") -> DataFrame:
+def price_asof(probes: DataFrame, history: DataFrame, key: str = "id", at: str = "at", observed: str = "observed_at", most: int = MOST_ROWS) -> DataFrame:
     """probes with the price of the last history row of their key at or before their time.
 
-    One pass: both sides in one sorted window by key, the last price carried forward."""
+    One pass: both sides sorted together by key and time, the last price carried forward; keys of over `most` rows in segments."""
     left = probes.withColumn("__t", F.col(at)).withColumn("__probe", F.lit(1))
     right = history.select(F.col(key), F.col(observed).alias("__t"), F.col("price").alias("__price"), F.lit(0).alias("__probe"))
-    w = Window.partitionBy(key).orderBy("__t", "__probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = left.unionByName(right, allowMissingColumns=True).withColumn("price", F.last("__price", ignorenulls=True).over(w))
+    both = running(left.unionByName(right, allowMissingColumns=True), key, ["__t", "__probe"], F.col("__price"), "last", "price", most)
     return both.filter("__probe = 1").drop("__t", "__probe", "__price")

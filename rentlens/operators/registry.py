@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import scalars as S
+from ..session import cut
+from .segments import MOST_ROWS, running
 
 #: Attempts before an id is given up, bad cards in a row that mean a changed layout, seconds before an unseen id is missing.
 MAX_ATTEMPTS = 4
@@ -24,7 +26,7 @@ def coerced(rows: DataFrame) -> DataFrame:
 
 
 def latest_wins(rows: DataFrame, key: str, *order: Column) -> DataFrame:
-    """The last row of each key by the given order."""
+    """The last row of each key by the given order. Tasks keep one row of a key before the shuffle (a window group limit), so hot keys cost nothing there."""
     w = Window.partitionBy(key).orderBy(*[o.desc() for o in order])
     return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
@@ -214,21 +216,26 @@ def enrich_drops(drops: DataFrame, state: DataFrame) -> DataFrame:
     return drops.join(state.select("id", *rest), "id", "left")
 
 
-def streaks(outcomes: DataFrame, key: str, order: list[str], good: str = "good") -> DataFrame:
+def streaks(outcomes: DataFrame, key: str, order: list[str], good: str = "good", most_rows: int = MOST_ROWS) -> DataFrame:
     """(key, island, length) of each run of bad outcomes; a good one ends it."""
-    return _islands(outcomes, key, order, good).filter(~F.col(good)).groupBy(key, "island").agg(F.count("*").alias("length"))
+    return _runs(_islands(outcomes, key, order, good, most_rows), key, good)
 
 
-def _islands(outcomes: DataFrame, key: str, order: list[str], good: str) -> DataFrame:
-    return outcomes.withColumn("island", F.sum(F.col(good).cast("int")).over(Window.partitionBy(key).orderBy(*order)))
+def _islands(outcomes: DataFrame, key: str, order: list[str], good: str, most_rows: int) -> DataFrame:
+    return running(outcomes, key, order, F.col(good).cast("int"), "sum", "island", most_rows)
 
 
-def counted_failures(outcomes: DataFrame, key: str, order: list[str], good: str = "good", most: int = MAX_BAD_STREAK) -> DataFrame:
+def _runs(islands: DataFrame, key: str, good: str) -> DataFrame:
+    return islands.filter(~F.col(good)).groupBy(key, "island").agg(F.count("*").alias("length"))
+
+
+def counted_failures(outcomes: DataFrame, key: str, order: list[str], good: str = "good", most: int = MAX_BAD_STREAK, most_rows: int = MOST_ROWS) -> DataFrame:
     """The bad outcomes that count as failures of their ids. A bad card is pending until a good one follows or its run ends; a streak of `most` means that
     the site's layout changed, so none of that streak counts."""
-    w = Window.partitionBy(key, "island")
-    marked = _islands(outcomes, key, order, good).withColumn("__n", F.count_if(~F.col(good)).over(w))
-    return marked.filter(~F.col(good) & (F.col("__n") < most)).drop("__n", "island")
+    bad = cut(_islands(outcomes, key, order, good, most_rows).filter(~F.col(good)))
+    # runs are counted before the shuffle; long ones, which alone could be many rows in one task, match nothing
+    short = _runs(bad, key, good).filter(F.col("length") < most).select(F.col(key).alias("__k"), F.col("island").alias("__i"))
+    return bad.join(cut(short), F.col(key).eqNullSafe(F.col("__k")) & F.col("island").eqNullSafe(F.col("__i")), "left_semi").drop("island")
 
 
 def union_first(*frames: DataFrame, key: str = "id") -> DataFrame:

@@ -16,6 +16,8 @@ from ..session import cut
 from .graph import components
 
 MAX_BLOCK = 60
+#: Rows of a block that meet in one task where blocks have no cap.
+CHUNK = 2000
 TEXT_THRESHOLD = 0.35
 NARROW = ["sq", "price_n", "floor_n", "rooms_n", "lat", "lon", "house", "owner_n", "n_shingles"]
 #: Hits of a connected component that one task may hold; larger components are worked on in rounds.
@@ -56,26 +58,40 @@ def block_keys(prepared: DataFrame) -> DataFrame:
     return prepared.select("id", refine.alias("refine"), F.explode(F.array_compact(F.array(*kinds))).alias("b")).select("id", "b.kind", "b.key", "refine")
 
 
-def blocks(keys: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    """keys with the block that a row is compared in (part) and its size; oversized blocks are refined first."""
-    whole = keys.groupBy("kind", "key").agg(F.count("*").alias("n")).filter("n > 1")
+def blocks(keys: DataFrame, max_block: int | None = MAX_BLOCK) -> DataFrame:
+    """keys with the block that a row is compared in (part) and its size; oversized blocks are refined first (none, without max_block).
+
+    Sizes are aggregates, and written before they are joined: so a block with a third of all rows is split between tasks."""
+    whole = cut(keys.groupBy("kind", "key").agg(F.count("*").alias("n")).filter("n > 1"))
+    if max_block is None:
+        return keys.join(whole, ["kind", "key"]).select("id", "kind", "key", F.lit("").alias("part"), F.col("n").alias("size"))
     sized = keys.join(whole, ["kind", "key"])
     part = sized.withColumn("part", F.when(F.col("n") <= max_block, F.lit("")).otherwise(F.col("refine")))
-    sizes = part.groupBy("kind", "key", "part").agg(F.count("*").alias("size"))
+    sizes = cut(part.groupBy("kind", "key", "part").agg(F.count("*").alias("size")))
     return part.join(sizes, ["kind", "key", "part"]).select("id", "kind", "key", "part", "size")
 
 
-def skipped(parts: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
+def skipped(parts: DataFrame, max_block: int | None = MAX_BLOCK) -> DataFrame:
     """One row: blocks and rows that stay oversized."""
-    over = parts.filter(F.col("size") > max_block)
+    over = parts.filter(F.lit(False) if max_block is None else F.col("size") > max_block)
     return over.agg(F.count_distinct("kind", "key", "part").alias("skipped_blocks"), F.count("*").alias("skipped_rows"))
 
 
-def candidate_pairs(parts: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
-    """Distinct (a, b), a < b, that share a block of 2 to max_block rows."""
-    some = parts.filter(F.col("size").between(2, max_block)).select("id", "kind", "key", "part")
-    left, right = some.withColumnRenamed("id", "a"), some.withColumnRenamed("id", "b")
-    return left.join(right, ["kind", "key", "part"]).filter("a < b").select("a", "b").distinct()
+def candidate_pairs(parts: DataFrame, max_block: int | None = MAX_BLOCK, chunk: int = CHUNK) -> DataFrame:
+    """Distinct (a, b), a < b, that share a block of 2 to max_block rows.
+
+    Without max_block no block is left out: those of over `chunk` rows are cut into chunks by a hash of the id, and each two chunks
+    meet under a key of their own, so that no task holds more than two of them."""
+    some = parts.filter("size > 1") if max_block is None else parts.filter(F.col("size").between(2, max_block))
+    if max_block is not None:
+        left, right = (some.select(F.col("id").alias(n), "kind", "key", "part") for n in "ab")
+        return left.join(right, ["kind", "key", "part"]).filter("a < b").select("a", "b").distinct()
+    n = F.ceil(F.col("size") / chunk).cast("int")
+    chunked = some.select("id", "kind", "key", "part", n.alias("n"), F.pmod(F.xxhash64("id"), n).cast("int").alias("c")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    met = chunked.select("id", "kind", "key", "part", "c", F.least("c", "o").alias("c1"), F.greatest("c", "o").alias("c2"))
+    left, right = met.filter("c = c1").withColumnRenamed("id", "a").drop("c"), met.filter("c = c2").withColumnRenamed("id", "b").drop("c")
+    pairs = left.join(right, ["kind", "key", "part", "c1", "c2"]).filter("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def decisions(pairs: DataFrame, prepared: DataFrame, text_threshold: float = TEXT_THRESHOLD, *, tracks: bool = True) -> DataFrame:
@@ -195,7 +211,7 @@ def survivors(groups: DataFrame, prepared: DataFrame) -> DataFrame:
     return dated.join(best, "clique").select("clique", "id", (F.col("id") == F.col("kept")).alias("keep"))
 
 
-def dedupe(listings: DataFrame, text_threshold: float = TEXT_THRESHOLD, max_block: int = MAX_BLOCK) -> tuple[DataFrame, DataFrame]:
+def dedupe(listings: DataFrame, text_threshold: float = TEXT_THRESHOLD, max_block: int | None = MAX_BLOCK) -> tuple[DataFrame, DataFrame]:
     """(kept listings, one row of statistics)."""
     prepared = cut(prepare(listings))
     parts = cut(blocks(block_keys(prepared), max_block))
