@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from . import segments
 from .segments import MOST_ROWS, running
 
 NEW, DROP = "new", "price_drop"
@@ -46,11 +47,8 @@ def new_events(state: DataFrame, details: DataFrame, now: str, days: int = 1) ->
 
 
 def numbered(events: DataFrame, last_id: int) -> DataFrame:
-    """Events of one commit with event_id after last_id: price drops first, then new ones, each by id.
-
-    The batch is one commit's delta, a small part of the data: one ordered window over it gives gapless numbers."""
-    order = Window.orderBy(F.when(F.col("reason") == DROP, 0).otherwise(1), "id")
-    return events.withColumn("event_id", F.row_number().over(order) + F.lit(last_id))
+    """Events of one commit with gapless event_id after last_id: price drops first, then new ones, each by id. Numbers are given range by range, in parallel."""
+    return segments.numbered(events, [F.when(F.col("reason") == DROP, 0).otherwise(1), "id"], "event_id", last_id + 1)
 
 
 def changes_page(events: DataFrame, since: int = 0, limit: int = 200) -> DataFrame:

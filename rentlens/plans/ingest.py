@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
 from ..functions import scalars as S
 from ..operators import history, registry
+from ..session import cut
+from ..sources import keyed
+from ..sources.state import TABLES
 
+#: Tables that only grow.
+APPENDED = ("history", "events")
 
-def apply_run(old: dict[str, DataFrame], details: DataFrame, snapshot: DataFrame, now: str, *, complete: bool, attempts: DataFrame | None = None, grace_s: int = registry.GRACE_S, strict: bool = True) -> dict[str, DataFrame]:
-    """New listings, history, events and failures.
+
+def run_changes(old: dict[str, DataFrame], details: DataFrame, snapshot: DataFrame, now: str, *, complete: bool, attempts: DataFrame | None = None, grace_s: int = registry.GRACE_S, strict: bool = True) -> dict[str, DataFrame]:
+    """What a run makes of the old tables: all listings and failures after it, the history points and events that it adds.
 
     details: fetched records; of those that repeat an id the last by scraped_at wins. snapshot: (id, price) of the list, price may be null. attempts: failed fetches (id, error, at).
     Prices are compared with the old state before it changes; drops are numbered before new listings. Listed ids without a
@@ -31,7 +37,33 @@ def apply_run(old: dict[str, DataFrame], details: DataFrame, snapshot: DataFrame
     failures = old["failures"] if attempts is None else registry.count_failures(attempts, old["failures"])
     return {
         "listings": listings,
-        "history": old["history"].unionByName(points),
-        "events": old["events"].unionByName(events.select(*[f.name for f in schema.EVENTS])),
+        "points": points,
+        "events": events.select(*[f.name for f in schema.EVENTS]),
         "failures": registry.clear_failures(failures, details.filter(S.is_complete())),
     }
+
+
+def apply_run(old: dict[str, DataFrame], details: DataFrame, snapshot: DataFrame, now: str, **how) -> dict[str, DataFrame]:
+    """New listings, history, events and failures; see run_changes for what goes in."""
+    new = run_changes(old, details, snapshot, now, **how)
+    return {"listings": new["listings"], "history": old["history"].unionByName(new["points"]), "events": old["events"].unionByName(new["events"]), "failures": new["failures"]}
+
+
+def load_buckets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of a bucketed store."""
+    return {name: keyed.read(spark, folder, name, kind, key=None if name in APPENDED else "id") for name, kind in TABLES.items()}
+
+
+def commit_run(spark: SparkSession, folder: str, details: DataFrame, snapshot: DataFrame, now: str, *, buckets: int = keyed.BUCKETS, most_deltas: int = 8, **how) -> int:
+    """A run against a bucketed store: only changed listings and ledger rows, new history points and new events are written. Returns the generation.
+
+    Buckets of listings and ledger with more than most_deltas deltas are rewritten after it."""
+    old = load_buckets(spark, folder)
+    new = run_changes(old, details, snapshot, now, **how)
+    listings, failures = cut(keyed.changed(new["listings"], old["listings"])), cut(new["failures"])
+    cleared = old["failures"].join(failures.select("id"), "id", "left_anti")
+    changes = {"listings": listings, "history": new["points"], "events": new["events"], "failures": keyed.changed(failures, old["failures"])}
+    number = keyed.commit(spark, folder, changes, {"failures": cleared}, APPENDED, buckets=buckets)
+    for name in ("listings", "failures"):
+        keyed.compact(spark, folder, name, TABLES[name], most_deltas)
+    return number

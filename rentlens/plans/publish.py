@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import monthly_index, quality, resolve
+from ..operators import digest, monthly_index, quality, resolve, segments
 from ..session import cut
 from ..sources import sinks, tables
 
@@ -47,12 +47,13 @@ def guard(n: int, previous: int | None, least: int = 10, shrink: float = 0.25, f
 
 
 def is_valid(spark, path: str) -> bool:
-    """Whether a version has its three tables, one meta row, and as many rows as that says."""
+    """Whether a version has its four tables, one meta row, and as many rows as that says."""
     if not sinks.exists(spark, path):
         return False
     try:
         meta = spark.read.parquet(f"{path}/meta").collect()
-        spark.read.parquet(f"{path}/price_index_levels").schema  # noqa: B018
+        for other in ("price_index_levels", "digest"):
+            spark.read.parquet(f"{path}/{other}").schema  # noqa: B018
         return len(meta) == 1 and spark.read.parquet(f"{path}/baseline").agg(F.count(F.hash("*"))).first()[0] == meta[0]["row_count"]
     except Exception:  # whatever can't be read whole is written anew
         return False
@@ -64,30 +65,40 @@ def curate(listings: DataFrame, bounds: quality.Bounds = quality.Bounds(), text_
 
 
 def build(listings: DataFrame, series: DataFrame, folder: str, now: str, *, bounds: quality.Bounds = quality.Bounds(), keep: int = 3, ordered_hash: bool = False) -> dict:
-    """Publish the current listings; returns the new pointer. ordered_hash names versions by version_hash, for tables of some million rows at most."""
-    spark = listings.sparkSession
-    rejected = quality.reject(listings, bounds)
-    kept, stats = curate(listings, bounds)
-    kept = cut(kept)
-    n = kept.count()
+    """Publish the current listings; returns the new pointer.
+
+    The source is read once: rows and reasons are counted while the good ones are written for what follows, kept rows while they are. A version is named by the root of
+    its rows' digest tree, which is stored with it, so that two versions tell which ranges of ids differ; ordered_hash names it by version_hash instead, for tables
+    of some million rows at most. Rows are numbered from 0 in the order of their ids, without gaps."""
+    spark, source, written = listings.sparkSession, Observation("source"), Observation("kept")
+    counted = quality.reject(listings, bounds).observe(source, F.count(F.lit(1)).alias("source_active"), F.count("reason").alias("source_filtered"))
+    good = cut(counted.filter("reason is null").drop("reason"))
+    kept, stats = resolve.dedupe(good)
+    kept = cut(kept.observe(written, F.count(F.lit(1)).alias("n")))
+    n = written.get["n"]
     try:
         previous = tables.read_pointer(spark, folder)["row_count"]
     except tables.NotPublished:
         previous = None
     guard(n, previous)
-    version = (version_hash if ordered_hash else content_hash)(kept).first()["version"]
+    nodes = cut(digest.tree(kept, "id"))
+    version = version_hash(kept).first()["version"] if ordered_hash else digest.root(nodes)
     levels = monthly_index.levels(series)
     path = f"{folder}/{version}"
     if not is_valid(spark, path):
-        source = rejected.agg(F.count("*").alias("source_active"), F.count("reason").alias("source_filtered"))
         points = levels.agg(F.count("*").alias("points"))
-        meta = stats.join(F.broadcast(source)).join(F.broadcast(points)).select(
-            F.lit(version).alias("version"), F.lit(now).alias("built_at"), F.lit(n).cast("long").alias("row_count"), "source_active", "source_filtered", F.col("groups").alias("groups_deduped"),
+        meta = stats.join(F.broadcast(points)).select(
+            F.lit(version).alias("version"), F.lit(now).alias("built_at"), *[F.lit(x).cast("long").alias(c) for c, x in (("row_count", n), *sorted(source.get.items()))], F.col("groups").alias("groups_deduped"),
             (F.col("points") > 0).alias("price_index_measured"), F.concat(F.col("points").cast("string"), F.lit(" points")).alias("price_index_note"),
         )
-        ordinal = kept.withColumn("ordinal", F.monotonically_increasing_id())
-        sinks.write_version(folder, version, {"baseline": ordinal, "meta": meta, "price_index_levels": levels}, lambda p: is_valid(spark, p))
+        stored = {"baseline": segments.numbered(kept, ["id"], "ordinal"), "meta": meta, "price_index_levels": levels, "digest": nodes}
+        sinks.write_version(folder, version, stored, lambda p: is_valid(spark, p))
     pointer = {"version": version, "path": path, "built_at": now, "row_count": n}
     sinks.write_text(spark, f"{folder}/latest.json", json.dumps(pointer))
     sinks.clean_versions(spark, folder, version, keep)
     return pointer
+
+
+def changed_ranges(spark: SparkSession, old: str, new: str) -> DataFrame:
+    """(prefix, n_old, n_new) of the ranges of ids in which two versions, given by their folders, differ."""
+    return digest.changed(spark.read.parquet(f"{old}/digest"), spark.read.parquet(f"{new}/digest"))

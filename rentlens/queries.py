@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as X
+from . import schema
 from .functions import scalars as S
-from .operators import history, monthly_index, quality, registry, resolve
+from .operators import close, digest, history, monthly_index, quality, registry, resolve, segments
 from .plans import publish, serve
 from .session import cut, own_dir, table
-from .sources import pages, sinks, state, tables
+from .sources import keyed, pages, sinks, state, tables
 from .streaming import feeds
 
 QUERIES: dict = {}
@@ -338,7 +339,10 @@ def price_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select id, price, square_m2 from ({L}) order by doc_id limit 100 offset 50")
 def table_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.page(X.listings(spark, sf_dir).withColumn("ordinal", F.col("doc_id")), limit=100, offset=50).select("id", "price", "square_m2")
+    """A page of a stored table with gapless numbers."""
+    path = own_dir(spark, "numbered")
+    segments.numbered(X.listings(spark, sf_dir), ["doc_id"], "ordinal").write.parquet(f"{path}/t")
+    return serve.page(spark.read.parquet(f"{path}/t"), limit=100, offset=50).select("id", "price", "square_m2")
 
 
 @query(f"select id, price, status from ({L}) where id = '42'")
@@ -376,9 +380,18 @@ def adjusted_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", F.round("factor", 6).alias("factor"), F.round(F.col("o_totalprice") * F.col("factor"), 2).alias("adjusted_price"))
 
 
-@query("select '1996-01' as first_month, '2001-01' as last_month, 5::bigint as points, 300.0::double as growth")
+_MONTHS = "select strftime(cast(o_orderdate as date), '%Y-%m') as month, max(o_totalprice) as level from orders group by 1"
+
+
+def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A series of the largest order of each month."""
+    month = F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM")
+    return table(spark, sf_dir, "orders").groupBy(month.alias("month")).agg(F.max("o_totalprice").cast("string").alias("value")).withColumn("ordinal", F.col("month"))
+
+
+@query(f"with s as ({_MONTHS}) select min(month) as first_month, max(month) as last_month, count(*) as points, (arg_max(level, month) / arg_min(level, month) - 1) * 100 as growth from s")
 def index_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_index.describe(monthly_index.levels(X.series(spark)))
+    return monthly_index.describe(monthly_index.levels(_monthly(spark, sf_dir)))
 
 
 # resolution
@@ -672,6 +685,70 @@ def snapshot_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("k", registry.is_fresh(F.col("k") % 2 == 0, finished, "2024-03-01T12:00:00+00:00").alias("fresh"))
 
 
+# closeness, buckets and digests
+
+_HAV = "2 * 6371000.0 * asin(sqrt(least(1, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))))"
+_PLACES = f"select latitude as lat, longitude as lon, count(*) as n from ({L}) where latitude is not null group by 1, 2"
+
+
+@query(f"""
+with p as ({_PLACES}) select a.lat as lat_a, a.lon as lon_a, a.n as n_a, b.lat as lat_b, b.lon as lon_b, b.n as n_b, round({_HAV}, 3) as metres
+from p a join p b on (a.lat < b.lat or (a.lat = b.lat and a.lon < b.lon)) and {_HAV} <= 2500""")
+def near_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All places of listings up to 2.5 km apart."""
+    both = close.near(cut(close.places(X.listings(spark, sf_dir))), 2500)
+    return both.withColumn("metres", F.round("metres", 3))
+
+
+@query(f"""
+with p as ({_PLACES}), s as (select a.lat, a.lon, sum(b.n)::bigint - 1 as n from p a join p b on {_HAV} <= 15 group by 1, 2)
+select l.id, s.n as n_near from ({L}) l left join s on s.lat = l.latitude and s.lon = l.longitude""")
+def near_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many other listings are within 15 m of each."""
+    return close.neighbours(X.listings(spark, sf_dir), 15).select("id", "n_near")
+
+
+@query(f"""
+with c as (select floor, square_m2, price, count(*) as n from ({L}) where floor is not null and square_m2 is not null group by 1, 2, 3),
+s as (select a.floor, a.square_m2, a.price, sum(b.n)::bigint - 1 as n from c a join c b on a.floor = b.floor and abs(a.square_m2 - b.square_m2) <= greatest(3, least(a.square_m2, b.square_m2) * 0.08)
+  and abs(a.price - b.price) / greatest(a.price, b.price)::double <= 0.02 group by 1, 2, 3)
+select l.id, s.n as n_alike from ({L}) l left join s using (floor, square_m2, price)""")
+def alike_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many other listings of the same floor have a close area and a close price."""
+    return close.alike(X.listings(spark, sf_dir)).select("id", "n_alike")
+
+
+@query(f"""
+select id, (case when doc_id % 5 = 0 then price + 7 else price end)::bigint as price, case when doc_id % 5 = 0 then 'active' else status end as status from ({L}) where doc_id % 3 <> 0 and doc_id % 11 <> 0""")
+def bucketed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State after three commits to a bucketed store: all listings, a batch of prices, a batch of deleted ids; then its buckets are compacted."""
+    folder, listings = own_dir(spark, "buckets"), X.listings(spark, sf_dir)
+    now = lambda: keyed.read(spark, folder, "listings", schema.LISTING)
+    keyed.commit(spark, folder, {"listings": _state(spark, sf_dir)}, buckets=16)
+    prices = listings.filter("doc_id % 5 = 0").select("id", (F.col("price") + 7).alias("price"))
+    keyed.commit(spark, folder, {"listings": keyed.changed(registry.update_prices(now(), prices, "2024-03-01T00:00:00+00:00"), now())}, buckets=16)
+    keyed.commit(spark, folder, {}, {"listings": listings.filter("doc_id % 11 = 0")}, buckets=16)
+    keyed.compact(spark, folder, "listings", schema.LISTING, most_deltas=1)
+    return now().select("id", "price", "status")
+
+
+def _leaf_sql(rows: str) -> str:
+    line = "length(id) || ':' || id || coalesce(length(price::varchar) || ':' || price, '-')"
+    sums = " || ':' || ".join(f"sum(('0x' || substr(h, {15 * k + 1}, 15))::bigint)" for k in range(4))
+    return f"select sha256(id)[1:3] as prefix, count(*) as n, sha256(count(*) || ':' || {sums}) as d from (select *, sha256({line}) as h from ({rows})) group by 1"
+
+
+@query(f"""
+with a as ({_leaf_sql(f"select id, price::bigint as price from ({L})")}), b as ({_leaf_sql(f"select id, (case when doc_id % 50 = 3 then price + 1 else price end)::bigint as price from ({L}) where doc_id % 70 <> 4")})
+select prefix, coalesce(a.n, 0) as n_old, coalesce(b.n, 0) as n_new from a full join b using (prefix) where a.d is distinct from b.d""")
+def changed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges of ids in which two versions differ: some prices changed, some rows gone."""
+    old = X.listings(spark, sf_dir)
+    new = old.filter("doc_id % 70 <> 4").withColumn("price", F.when(F.col("doc_id") % 50 == 3, F.col("price") + 1).otherwise(F.col("price")))
+    trees = [cut(digest.tree(df, "id", ["id", "price"])) for df in (old, new)]
+    return digest.changed(*trees)
+
+
 # detail pages, files and versions
 
 _DETAIL = """concat('<script>window.data = {"advert":{"title":"t', k, '","price":', k * 10, ',"rooms":2,"square":58.5,"address":{"city":"Astana","street":"S', k % 7, '"},"map":{"lat":51.1,"lon":71.4},',
@@ -717,12 +794,12 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.coerced(known).select("id", "price", "square_m2", "full_description", "street")
 
 
-@query(f"select month, level::double as level from (values {_SERIES}) t(month, level) order by month")
+@query(f"select month, level from ({_MONTHS}) order by month")
 def series_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An index series from its file, in month order."""
+    """The largest order of each month as an index series: written to its file (a row a month) in another order, with rows that don't count, and read back in month order."""
     path = own_dir(spark, "series")
-    values = [{"month": m, "value": v} for m, v in X.SERIES]
-    sinks.write_text(spark, f"{path}/s.json", json.dumps({"values": [*reversed(values), {"month": None, "value": 1}, {"month": "1999-01", "value": -1}]}))
+    values = [r.asDict() for r in _monthly(spark, sf_dir).select("month", "value").orderBy(F.desc("month")).collect()]
+    sinks.write_text(spark, f"{path}/s.json", json.dumps({"values": [*values, {"month": None, "value": 1}, {"month": "1999-13", "value": -1}]}))
     return monthly_index.rows(monthly_index.levels(tables.read_series(spark, f"{path}/s.json")))
 
 
@@ -742,30 +819,27 @@ def committed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_state(spark, f"{tables.read_pointer(spark, folder)['path']}/listings", active_only=True).select("id", "price")
 
 
-@query("select 'v' || i as version from range(5) t(i) where i >= 2 or i = 0")
+@query("select 'v' || i as version, count(*) as n from range(5) t(i), documents where (i >= 2 or i = 0) and doc_id % 5 <= i group by 1")
 def retained_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of five versions the three newest and the current one, the oldest, are kept."""
-    folder = own_dir(spark, "versions")
-    one_row = spark.range(1).coalesce(1)
+    """Of five growing versions of the documents' ids the three newest and the current one, the oldest, are kept."""
+    folder, ids, kept = own_dir(spark, "versions"), table(spark, sf_dir, "documents").select("doc_id"), None
     for i in range(5):
-        sinks.write_version(folder, f"v{i}", {"t": one_row}, lambda _: False)
+        sinks.write_version(folder, f"v{i}", {"t": ids.filter(F.col("doc_id") % 5 <= i)}, lambda _: False)
     sinks.clean_versions(spark, folder, "v0")
-    return spark.createDataFrame([(f"v{i}",) for i in range(5) if sinks.exists(spark, f"{folder}/v{i}")], "version string")
+    for v in (f"v{i}" for i in range(5) if sinks.exists(spark, f"{folder}/v{i}")):
+        rows = spark.read.parquet(f"{folder}/{v}/t").select(F.lit(v).alias("version"))
+        kept = rows if kept is None else kept.unionByName(rows)
+    return kept.groupBy("version").agg(F.count("*").alias("n"))
 
 
 @query(f"""
 with recursive {_groups(_GOOD)} select id, price::bigint as price from ({_GOOD}) l where id in (select max(id) from ({_GOOD}) x where not exists (from groups g where g.id = x.id and not keep))""")
 def published_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row read by its id from a published version: the last id of all its pages."""
+    """One row read by its id from a published version: that of its last page, whose rows are stored by id."""
     folder = own_dir(spark, "published")
-    publish.build(X.listings(spark, sf_dir, faults=True), X.series(spark), folder, "2024-03-01T00:00:00+00:00")
-    ids: list[str] = []
-    while True:
-        page = serve.read_table(spark, folder, limit=500, offset=len(ids))
-        ids += [json.loads(r)["id"] for r in page["rows"]]
-        if page["returned"] < 500:
-            break
-    row = serve.read_listing(spark, folder, max(ids))
+    pointer = publish.build(X.listings(spark, sf_dir, faults=True), X.series(spark), folder, "2024-03-01T00:00:00+00:00")
+    page = serve.read_table(spark, folder, limit=1, offset=pointer["row_count"] - 1)
+    row = serve.read_listing(spark, folder, json.loads(page["rows"][0])["id"])
     return spark.createDataFrame([(row["id"], row["price"])], "id string, price long")
 
 
