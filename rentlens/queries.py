@@ -13,7 +13,7 @@ from .functions import scalars as S
 from .operators import close, digest, history, monthly_index, quality, registry, resolve, segments
 from .plans import publish, serve
 from .session import cut, own_dir, table
-from .sources import keyed, pages, sinks, state, tables
+from .sources import feed, keyed, pages, sinks, state, tables
 from .streaming import feeds
 
 QUERIES: dict = {}
@@ -877,3 +877,61 @@ def streamed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spark.read.parquet(f"{folder}/out")
     sink(cut(out.filter("batch_id = 0").drop("batch_id")), 0)
     return spark.read.parquet(f"{folder}/out").select("id", "seq", "price", "old_price", "kind")
+
+
+def _run(stream: DataFrame, folder: str, sink) -> None:
+    """Run a stream over all that is there, from its checkpoint on."""
+    stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+
+@query(f"select cast(id as varchar) as id, seq, price, old_price, kind from ({_POINTS})")
+def stored_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change points of a stream that stops after a third of the time and starts again from its checkpoint; kept in a bucketed store with the last prices."""
+    folder, rows = own_dir(spark, "stored"), X.observations(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
+    sink = feeds.stored_changes(f"{folder}/store", buckets=8)
+    for i, part in enumerate(("observed_at < '2024-01-11'", "observed_at >= '2024-01-11'")):
+        rows.filter(part).write.parquet(f"{folder}/in/{i}")
+        _run(spark.readStream.schema(rows.schema).parquet(f"{folder}/in/*"), folder, sink)
+    return feeds.read_changes(spark, f"{folder}/store").select("id", "seq", "price", "old_price", "kind")
+
+
+@query("""
+select user_id as id, cast(ts as date) as day, min(case when event_id % 3 = 0 then 1 else 2 end) as step from events where event_type = 'purchase' and event_id % 3 < 2 group by 1, 2""")
+def first_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases by user and day as a stream stores them: the second run, from the first one's checkpoint, adds only keys that aren't there yet."""
+    folder, e = own_dir(spark, "first"), table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    rows = e.select(F.col("user_id").alias("id"), F.to_date("ts").alias("day"), (F.col("event_id") % 3 + 1).cast("int").alias("step"))
+    for step in (1, 2):
+        rows.filter(F.col("step") == step).write.parquet(f"{folder}/in/{step}")
+        _run(spark.readStream.schema(rows.schema).parquet(f"{folder}/in/*"), folder, feeds.append_new(f"{folder}/out", ["id", "day"], buckets=8))
+    return spark.read.parquet(f"{folder}/out").select("id", "day", "step")
+
+
+@query("""
+with s as (select user_id as id, epoch_ms(ts) as t from events), w as (select max(t) - 86400000 as w from s), o as (select id, t, lead(t) over (partition by id order by t) as n from s, w where t <= w)
+select cast(id as varchar) as id, 'missing' as reason, t + 43200000 as at_ms from o, w where coalesce(n - t > 43200000, t + 43200000 <= w)
+union all select cast(id as varchar), 'revived', n from o where n - t > 43200000""")
+def missing_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users who weren't seen for twelve hours, and when they came back, by timers of a stream; what the watermark hasn't passed is still open."""
+    folder, name = own_dir(spark, "timeline"), "events.parquet"
+    stream = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/*{name}")
+    out = feeds.missing_timeline(stream.select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("seen_at")), "1 day", 12 * 3600)
+    with feeds.timers(spark):
+        _run(out, folder, feeds.append_once(f"{folder}/out", ["id", "reason", "at_ms"]))
+    return spark.read.parquet(f"{folder}/out").select("id", "reason", "at_ms")
+
+
+_LOG = f"""{_CHANGES}, a as (select row_number() over (order by id) as event_id, id, 'price_drop' as reason, new as price from j where new < old - 0.01),
+b as (select (select count(*) from a) + row_number() over (order by id) as event_id, id, 'new' as reason, price::double as price from ({LF})
+  where doc_id % 3 = 0 and price is not null and rooms is not null and square_m2 is not null and created_at in ('2024-01-27', '2024-01-28'))"""
+
+
+@query(f"{_LOG} select * from a where event_id > 20 union all select * from b where event_id > 20")
+def feed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed after its 20th event, as a stream reads it: drops are appended and read, then new listings, from the checkpoint on."""
+    folder = own_dir(spark, "feed")
+    batches = (_changes(spark, sf_dir)[1], history.new_events(_state(spark, sf_dir), X.listings(spark, sf_dir, faults=True), "2024-01-28T08:00:00+00:00"))
+    for events in batches:
+        feed.append(events, f"{folder}/log", ["id"])
+        _run(feed.read_stream(spark, f"{folder}/log", 20), folder, feeds.append_once(f"{folder}/out", ["event_id"]))
+    return spark.read.parquet(f"{folder}/out").select("event_id", "id", "reason", "price")

@@ -57,14 +57,18 @@ def _write(folder: str, table: str, gen: str, rows: DataFrame, key: str, buckets
     return sorted(n.split("=")[1] for n in (s.getPath().getName() for s in fs.listStatus(to(path))) if n.startswith(f"{BUCKET}="))
 
 
-def commit(spark: SparkSession, folder: str, changes: dict[str, DataFrame], gone: dict[str, DataFrame] | None = None, appended: Iterable[str] = (), key: str = "id", buckets: int = BUCKETS) -> int:
-    """Store the changed rows of each table (one a key), delete the keys of `gone`, add the rows of the appended tables; returns the generation."""
+def commit(spark: SparkSession, folder: str, changes: dict[str, DataFrame], gone: dict[str, DataFrame] | None = None, appended: Iterable[str] = (), key: str = "id", buckets: int = BUCKETS, note: int | None = None) -> int:
+    """Store the changed rows of each table (one a key), delete the keys of `gone`, add the rows of the appended tables; returns the generation.
+
+    note: a number kept with the generation, such as that of the batch that made it; without one the old generation's stays."""
     old, gone = manifest(spark, folder), gone or {}
     if old["buckets"] not in (None, buckets):
         raise ValueError(f"the store has {old['buckets']} buckets")
     number = old["generation"] + 1
     gen = f"{number:08d}-{uuid.uuid4().hex[:12]}"
     new = {"generation": number, "buckets": buckets, "tables": {t: {b: list(g) for b, g in by.items()} for t, by in old["tables"].items()}}
+    if note is not None or "note" in old:
+        new["note"] = old.get("note") if note is None else note
     for table in {**changes, **gone}:
         rows = changes[table].withColumn(GONE, F.lit(False)) if table in changes else None
         if table in gone:
