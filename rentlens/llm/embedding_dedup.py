@@ -1,7 +1,7 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
 Reference vectors (pivots) come from a bounded sample, the distinct vectors first in hash order: four times the square root of the number of
-vectors (LEAST_PIVOTS to MOST_PIVOTS), each at a cosine below SPREAD to those before it, so that a group of near copies gives one pivot, however
+vectors (LEAST_PIVOTS to MOST_PIVOTS, and PIVOT_BYTES at most, as they are broadcast), each at a cosine below SPREAD to those before it, so that a group of near copies gives one pivot, however
 large it is. A vector is described by its `near` nearest pivots, in a global order with the rarest first. Two vectors are candidates if they share at
 least `shared` of them; then one of the first near - shared + 1 of each is common, so each vector is filed in the inverted lists (label, pivot)
 of those only.
@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from ..session import cut
 
-LEAST_PIVOTS, MOST_PIVOTS, SPREAD = 256, 4096, 0.9
+LEAST_PIVOTS, MOST_PIVOTS, SPREAD = 256, 1 << 16, 0.9
+#: Bytes of all pivots, and cosines that a task holds at once.
+PIVOT_BYTES, COSINES = 64 << 20, 1 << 22
 #: Bits of a pivot's number in a list's key.
 BITS = 16
 GROUP = ["label_hash", "key", "c1", "c2"]
@@ -49,15 +51,20 @@ def _units(vectors: pa.Array, dim: int) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _spread(sample: np.ndarray, most: int) -> np.ndarray:
+def _spread(sample: np.ndarray, most: int, block: int = 256) -> np.ndarray:
     """Up to `most` of the sample's vectors, in order, that are not close to one taken before."""
-    taken = np.zeros((most, sample.shape[1]))
-    n = 0
-    for v in sample:
-        if n < most and (n == 0 or (taken[:n] @ v).max() < SPREAD):
-            taken[n] = v
-            n += 1
-    return taken[:n]
+    taken = np.zeros((0, sample.shape[1]))
+    for i in range(0, len(sample), block):
+        new = sample[i : i + block]
+        new = new[(new @ taken.T).max(axis=1, initial=-1) < SPREAD]
+        far, kept = new @ new.T < SPREAD, []
+        for j in range(len(new)):
+            if far[j, kept].all():
+                kept.append(j)
+        taken = np.vstack((taken, new[kept]))
+        if len(taken) >= most:
+            return taken[:most]
+    return taken
 
 
 def _nearest(classes: DataFrame, pivots: np.ndarray, near: int) -> DataFrame:
@@ -65,7 +72,8 @@ def _nearest(classes: DataFrame, pivots: np.ndarray, near: int) -> DataFrame:
     sent, dim = classes.sparkSession.sparkContext.broadcast(pivots), pivots.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        step = max(1, COSINES // len(sent.value))
+        for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             if batch.num_rows:
                 close = _units(batch.column(3), dim) @ sent.value.T
                 top = np.argpartition(-close, near - 1, axis=1)[:, :near] if near < close.shape[1] else np.tile(np.arange(close.shape[1]), (len(close), 1))
@@ -218,7 +226,7 @@ def link(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label
     classes = cut(same.select("h1", "h2", "node", "n", F.xxhash64("label").alias("label_hash"), "v"))
     found = None
     for dim, n in sorted(map(tuple, classes.groupBy(F.size("v")).count().collect())):
-        pivots = n_pivots or min(MOST_PIVOTS, max(LEAST_PIVOTS, 4 * int(n**0.5)))
+        pivots = n_pivots or min(MOST_PIVOTS, max(1, PIVOT_BYTES // (8 * dim)), max(LEAST_PIVOTS, 4 * int(n**0.5)))
         part = _join(classes.filter(F.size("v") == dim), dim, threshold, pivots, near, shared, most, deepest)
         found = part if found is None else found.unionByName(part)
     if found is None:

@@ -171,6 +171,56 @@ def test_vectors_of_one_crowd(spark):
     assert {i: r["component_id"] for i, r in got.items()} == want
 
 
+def planted(rng, dim=48):
+    """Vectors with links of all kinds: small groups at every distance around the threshold, chains of links just above it, crowds, copies, and many without one."""
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    out = [rng.normal(size=(2500, dim))]
+    for size in rng.integers(2, 9, 400):
+        base = unit(rng.normal(size=dim))
+        out.append(unit(base + rng.normal(size=(size, dim)) * rng.choice([0.005, 0.01, 0.0145, 0.02])))
+    for _ in range(40):  # each link turns by the angle of a cosine of 0.981
+        v, chain = unit(rng.normal(size=dim)), []
+        for _ in range(12):
+            w = rng.normal(size=dim)
+            w = unit(w - (w @ v) * v)
+            v = 0.981 * v + (1 - 0.981**2) ** 0.5 * w
+            chain.append(v)
+        out.append(np.array(chain))
+    for size in (300, 700):
+        out.append(unit(unit(rng.normal(size=dim)) + rng.normal(size=(size, dim)) * 0.014))
+    v = np.vstack(out)
+    v = np.vstack((v, v[:50], v[:50] * 3.0)).astype(np.float32)
+    return v, np.where(np.arange(len(v)) % 17 == 5, 1, 0)
+
+
+def test_planted_links(spark):
+    """Recall over several thousand vectors with planted links, at the parameters of the query: at least 0.99 of all links, and none that isn't one."""
+    v, labels = planted(np.random.default_rng(11))
+    df = spark.createDataFrame([(i, x.tolist(), int(p)) for i, (x, p) in enumerate(zip(v, labels))], VEC)
+    got = {r["vec_id"]: r for r in embedding_dedup.link(df).collect()}
+    w = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    links = (w @ w.T >= 0.98) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(links, False)
+    want = links.sum(axis=1)
+    counts = np.array([got[i]["n_links"] for i in range(len(v))])
+    assert len(v) > 5000 and want.sum() > 100_000 and (counts <= want).all()
+    few = want < 20  # small groups and chains, which the crowds' many links would hide
+    assert counts.sum() >= 0.99 * want.sum() and counts[few].sum() >= 0.99 * want[few].sum() and want[few].sum() > 3000
+    assert all(got[i]["kept"] == (got[i]["component_id"] == i) for i in range(len(v)))
+
+
+def test_pivots_in_blocks(monkeypatch):
+    rng = np.random.default_rng(4)
+    sample = rng.normal(size=(600, 4))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    want = []
+    for x in sample:
+        if len(want) < 80 and all(x @ y < embedding_dedup.SPREAD for y in want):
+            want.append(x)
+    for block in (1, 7, 600):
+        assert np.allclose(embedding_dedup._spread(sample, 80, block), want)
+
+
 def test_vector_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, None, 1), (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1), (7, [inf, 1.0], 1), (8, [None, 1.0], 1), (9, [1.0, 0.0], None), (10, [1.0, 0.0, 0.0], 1), (11, [], 1), (12, [1.0, 0.0], 1)]
