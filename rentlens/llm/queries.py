@@ -28,7 +28,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a page's url ends with the number of its document, to which the labels belong
+    """Pages by given rules, then mined ones. A page's url ends with the number of its document, whose labels say what to block: low quality, or toxic."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     number = F.try_to_number(F.regexp_extract("url", "/([0-9]{1,18})(?:\\.html)?/?(?:[?#].*)?$", 1), F.lit("9" * 18)).cast("long")
     bad = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
