@@ -136,8 +136,13 @@ OP6_SQL = f"""
 with d as (
   select doc_id, coalesce(text, '') as body,
          [x for x in regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if x <> ''] as w from documents),
-ls as (select doc_id, line, lead(line) over (partition by doc_id order by i) as after
-  from (select doc_id, unnest(string_split(body, chr(10))) as line, generate_subscripts(string_split(body, chr(10)), 1) as i from d)),
+ls_i as (select doc_id, unnest(string_split(body, chr(10))) as line, generate_subscripts(string_split(body, chr(10)), 1) as i from d),
+ls as (select doc_id, line, lead(line) over (partition by doc_id order by i) as after from ls_i),
+full_lines as (select doc_id, i, trim(line, {SQL_BLANKS}) as line from (select doc_id, i, line from ls_i) where trim(line, {SQL_BLANKS}) <> ''),
+around as (select doc_id, i, line, lag(line) over p as before, lead(line) over p as after from full_lines window p as (partition by doc_id order by i)),
+firsts as (select line, before, after from around where length(line) <= 120 qualify row_number() over (partition by doc_id, line order by i) = 1),
+repeated as (
+  select line from (select distinct line, before, after from firsts) group by line having count(*) >= 20 and count(*) >= (select count(*) from documents) / 2000.0),
 f as (
   select doc_id, line, after, length(translate(line, {SQL_BLANKS}, '')) as chars,
          len([x for x in regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+') if x <> '']) as n,
@@ -147,7 +152,8 @@ judged as (
   select *, (not regexp_matches(trimmed, '{_END_SQL}') and not (n >= 6 and coalesce(regexp_matches(after, '^[\\x20\\x09]*\\p{{Ll}}'), false)))
       or length(line) - length(replace(replace(line, '!!', ''), '??', '')) >= n
       or 3 * (length(line) - length(translate(line, '#*$%&|<>', ''))) >= n
-      or ({_SEPS_SQL} >= 3 and 4 * ({_SEPS_SQL}) >= n) or regexp_matches(lower(line), '(^|[^\\p{{L}}\\p{{N}}])({_PHRASE_SQL})([^\\p{{L}}\\p{{N}}]|$)') as bad from f),
+      or ({_SEPS_SQL} >= 3 and 4 * ({_SEPS_SQL}) >= n) or regexp_matches(lower(line), '(^|[^\\p{{L}}\\p{{N}}])({_PHRASE_SQL})([^\\p{{L}}\\p{{N}}]|$)')
+      or trim(line, {SQL_BLANKS}) in (select line from repeated) as bad from f),
 l as (
   select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines, count(*) filter (bad) as n_failed_lines,
          coalesce(sum(chars) filter (bad), 0) as chars_lost from judged group by doc_id),

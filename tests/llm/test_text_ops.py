@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rentlens.llm import language_id, quality_classifier, url_filters
 from rentlens.llm.line_dedup import dedup_lines
 from rentlens.llm.queries import OP4_SQL, OP6_SQL, QUERIES
-from rentlens.llm.quality_rules import apply_rules
+from rentlens.llm.quality_rules import apply_rules, repeated_lines
 from tests.oracle import SMALL, connect, same
 
 DOC = "doc_id long, text string"
@@ -72,6 +72,22 @@ def test_quality_rules_cases(spark):
     assert apply_rules(df.limit(0)).count() == 0
 
 
+def test_repeated_lines(spark):
+    """A short line between many different neighbours is boilerplate; one that a document repeats, or that copies repeat, isn't, nor is a long one."""
+    own = lambda i, k: f"Document {i} has a line {k} of its own with a good many words in it."
+    long = "A long passage " + "of many words " * 12 + "ends here."
+    rows = [(i, "\n".join([own(i, 0), "  Read more about our offers. " if i % 2 else "Read more about our offers.", own(i, 1), long, own(i, 2), own(i, 3), own(i, 4)])) for i in range(30)]
+    rows += [(100 + i, "\n".join([own(100, 0), "A line of copies.", *[own(100, k) for k in range(1, 5)]])) for i in range(50)]
+    rows += [(200, "\n".join(x for k in range(40) for x in (own(200, k), "Again and again."))), (201, None), (202, "Read more about our offers.")]
+    df = spark.createDataFrame(rows, DOC)
+    assert repeated_lines(df).count() == 1 and repeated_lines(df.limit(0)).count() == 0
+    got = {r["doc_id"]: r for r in apply_rules(df).collect()}
+    assert {i: r["n_failed_lines"] for i, r in got.items() if r["n_failed_lines"]} == {i: 1 for i in [*range(30), 202]}
+    assert all("offers" not in got[i]["clean_text"] for i in range(30)) and got[110]["clean_text"] == rows[40][1]
+    # the share counts where there are many documents
+    assert repeated_lines(df, share=0.5).count() == 0 and repeated_lines(df, max_chars=1000).count() == 2
+
+
 ODD = ["__h", "__r", "__d", "__t", "__ks", "__facts", "__counts", "of_doc", "places", "hash", "result", "a.b", "line", "w", "x"]
 
 
