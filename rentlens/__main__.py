@@ -26,8 +26,9 @@ def main(argv: list[str] | None = None) -> None:
     spark, now = local_session(), datetime.now(UTC).isoformat(timespec="seconds")
     if args.command == "dedupe":
         rows = registry.coerced(tables.known_columns(tables.read_csv(spark, args.folder))[0])
-        kept, stats = resolve.dedupe(rows)
-        print(stats.first().asDict())
+        kept, _ = resolve.dedupe(rows)
+        for r in resolve.audit(rows).orderBy("kind", "key").toLocalIterator():
+            print(r["kind"], r["key"], r["text"], sep="\t")
         if args.path and not args.dry_run:
             if args.path == args.folder and not args.no_backup:
                 print("backup:", sinks.backup(spark, args.folder))

@@ -16,6 +16,9 @@ from .segments import MOST_ROWS, running
 
 #: Attempts before an id is given up, bad cards in a row that mean a changed layout, seconds before an unseen id is missing.
 MAX_ATTEMPTS = 4
+BREAKER_FAILURES, BREAKER_TRIPS = 8, 3
+#: The codes of a run's result.
+EXIT = {"ok": 0, "blocked": 2, "layout_changed": 3, "no_pages": 4}
 MAX_BAD_STREAK = 3
 GRACE_S = 6 * 3600
 
@@ -238,6 +241,54 @@ def counted_failures(outcomes: DataFrame, key: str, order: list[str], good: str
     return bad.join(cut(short), F.col(key).eqNullSafe(F.col("__k")) & F.col("island").eqNullSafe(F.col("__i")), "left_semi").drop("island")
 
 
+def processed(outcomes: DataFrame, run: str, order: list[str], kind: str = "kind", *, breaker: int = BREAKER_FAILURES, trips: int = BREAKER_TRIPS, streak: int = MAX_BAD_STREAK, most_rows: int = MOST_ROWS) -> DataFrame:
+    """The outcomes that a run gets to, with trip (the breaker's number at this row, else null) and ended (blocked, layout_changed, network or null).
+
+    Kinds: ok (a complete card), bad (an answer without one), network (no answer), blocked. `breaker` network failures with no answer between them trip the breaker and are
+    counted anew; at its `trips`-th trip the run gives up. `streak` bad cards with no good one between them, failures aside, mean a changed layout. The first
+    of these ends the run; later rows weren't fetched. All by running sums, so a run of any length is dealt to many tasks."""
+    steps = [
+        ("__net", F.when(F.col(kind) == "network", 1).otherwise(0), "sum"),
+        ("__net_before", F.when(F.col(kind) != "network", F.col("__net")), "last"),
+        ("__bad", F.when(F.col(kind) == "bad", 1).otherwise(0), "sum"),
+        ("__bad_before", F.when(F.col(kind) == "ok", F.col("__bad")), "last"),
+    ]
+    out = outcomes
+    for name, value, how in steps:
+        out = running(out, run, order, value, how, name, most_rows)
+    failures = F.col("__net") - F.coalesce("__net_before", F.lit(0))
+    tripped = (F.col(kind) == "network") & (failures % breaker == 0)
+    out = running(out.withColumn("__tripped", F.when(tripped, 1).otherwise(0)), run, order, F.col("__tripped"), "sum", "__trips", most_rows)
+    bad = F.col("__bad") - F.coalesce("__bad_before", F.lit(0))
+    ended = F.when(F.col(kind) == "blocked", "blocked").when((F.col(kind) == "bad") & (bad >= streak), "layout_changed").when((F.col("__tripped") == 1) & (F.col("__trips") >= trips), "network")
+    flagged = out.withColumns({"trip": F.when(F.col("__tripped") == 1, F.col("__trips")), "ended": ended})
+    at = F.struct(*order)
+    first = cut(flagged.filter("ended is not null").groupBy(F.col(run).alias("__run")).agg(F.min(at).alias("__end")))
+    kept = flagged.join(first, F.col(run).eqNullSafe(F.col("__run")), "left").filter(F.col("__end").isNull() | (at <= F.col("__end")))
+    return kept.select(*outcomes.columns, "trip", "ended")
+
+
+def run_results(done: DataFrame, run: str, kind: str = "kind") -> DataFrame:
+    """(run, done, failed, trips, ended, code) of processed outcomes: the result of each run, as the code that it exits with. Giving up on the network is no error."""
+    count = lambda *kinds: F.count_if(F.col(kind).isin(*kinds))
+    sums = done.groupBy(run).agg(count("ok").alias("done"), count("bad", "network").alias("failed"), F.count("trip").alias("trips"), F.max("ended").alias("ended"))
+    code = F.when(F.col("ended") == "blocked", EXIT["blocked"]).when(F.col("ended") == "layout_changed", EXIT["layout_changed"]).otherwise(EXIT["ok"])
+    return sums.withColumn("code", code)
+
+
+def list_result(meta: DataFrame) -> DataFrame:
+    """meta of merge_pages with the code of a list scan: no_pages if none was read."""
+    return meta.withColumn("code", F.when(F.col("pages_read") > 0, EXIT["ok"]).otherwise(EXIT["no_pages"]))
+
+
+def window_details(outcomes: DataFrame, details: DataFrame, run: str, order: list[str], kind: str = "kind", **how) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(complete rows, bad ids, results) of runs over detail cards: outcomes (run, id, kind and order), details (id and columns). Only what a run got to counts; failed
+    connections are in neither, as they say nothing of an id. The window's runs have no breaker: give breaker a large number."""
+    done = cut(processed(outcomes, run, order, kind, **how))
+    rows = details.join(done.filter(F.col(kind) == "ok").select("id").distinct(), "id", "left_semi").filter(S.is_complete())
+    return rows, done.filter(F.col(kind) == "bad").select("id").distinct(), run_results(done, run, kind)
+
+
 def union_first(*frames: DataFrame, key: str = "id") -> DataFrame:
     """Union that keeps each key's row from the first frame that has it."""
     out = None

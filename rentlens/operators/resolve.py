@@ -226,3 +226,27 @@ def dedupe(listings: DataFrame, text_threshold: float = TEXT_THRESHOLD, max_bloc
     for c in counts[1:]:
         stats = stats.join(F.broadcast(c))  # one row each
     return kept, stats
+
+
+def audit(listings: DataFrame, text_threshold: float = TEXT_THRESHOLD, max_block: int | None = MAX_BLOCK) -> DataFrame:
+    """(kind, key, text): a report of what a dedupe does. Counts, with the dropped share in percent; pairs by reason; for each group who stays, who goes, and why.
+
+    A member goes for the reason that it has in common with the one that stays: all members of a group are confirmed pairs."""
+    prepared = cut(prepare(listings))
+    parts = cut(blocks(block_keys(prepared), max_block))
+    decided = cut(decisions(candidate_pairs(parts, max_block), prepared, text_threshold))
+    groups = cut(survivors(cliques(decided.filter("ok")), prepared))
+    stay = groups.filter("keep").select("clique", F.col("id").alias("stays"))
+    pair = groups.filter("not keep").join(stay, "clique").withColumns({"a": F.least("id", "stays"), "b": F.greatest("id", "stays")})
+    goes = F.concat_ws(", ", F.transform(F.array_sort(F.collect_list(F.struct("id", "why"))), lambda x: F.concat(x["id"], F.lit(" ("), x["why"], F.lit(")"))))
+    told = pair.join(decided.select("a", "b", "why"), ["a", "b"]).groupBy("clique").agg(F.concat(F.lit("keep "), F.first("stays"), F.lit(": "), goes).alias("text"))
+    reasons = decided.groupBy("why").agg(F.count("*").alias("n"))
+    one = listings.agg(F.count("*").alias("total"))  # one row, as are the next ones
+    for more in (decided.agg(F.count("*").alias("candidate_pairs")), groups.agg(F.count_distinct("clique").alias("groups"), F.count_if(~F.col("keep")).alias("dropped")), skipped(parts, max_block)):
+        one = one.join(F.broadcast(more))
+    counts = ["total", "candidate_pairs", "groups", "dropped", "skipped_blocks", "skipped_rows"]
+    share = F.format_string("%.2f", F.col("dropped") * 100 / F.greatest(F.lit(1), F.col("total")))
+    rows = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("string").alias("text")) for c in counts], F.struct(F.lit("dropped_percent").alias("key"), share.alias("text")))
+    out = one.select(F.lit("count").alias("kind"), F.inline(rows))
+    out = out.unionByName(reasons.select(F.lit("reason").alias("kind"), F.col("why").alias("key"), F.col("n").cast("string").alias("text")))
+    return out.unionByName(told.select(F.lit("group").alias("kind"), F.col("clique").alias("key"), "text"))

@@ -532,6 +532,20 @@ def er_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.dedupe(X.listings(spark, sf_dir))[1]
 
 
+@query(f"""
+with recursive {_groups(L)}, n as (select (select count(*) from ({L})) as total, (select count(*) from groups where not keep) as dropped),
+told as (select g.clique, k.id as stays, string_agg(g.id || ' (' || f.why || ')', ', ' order by g.id) as goes from groups g join groups k on k.clique = g.clique and k.keep and not g.keep
+  join final f on f.a = least(g.id, k.id) and f.b = greatest(g.id, k.id) group by 1, 2)
+select 'count' as kind, 'total' as key, total::varchar as text from n union all select 'count', 'candidate_pairs', (select count(*) from pairs)::varchar union all
+select 'count', 'groups', (select count(distinct clique) from groups)::varchar union all select 'count', 'dropped', dropped::varchar from n union all
+select 'count', 'skipped_blocks', (select count(distinct (kind, key, part)) from parts where size > 60)::varchar union all select 'count', 'skipped_rows', (select count(*) from parts where size > 60)::varchar union all
+select 'count', 'dropped_percent', printf('%.2f', dropped * 100 / greatest(1, total)::double) from n union all
+select 'reason', why, count(*)::varchar from final group by 2 union all select 'group', clique, 'keep ' || stays || ': ' || goes from told""")
+def dedupe_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a dedupe: counts, pairs by reason, and who stays and goes in each group."""
+    return resolve.audit(X.listings(spark, sf_dir))
+
+
 # publication and pages
 
 
@@ -651,6 +665,26 @@ def counted_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.counted_failures(e, "user_id", ["ts", "event_id"]).select("event_id", "user_id")
 
 
+_KIND = "case event_type when 'error' then 'network' when 'view' then 'bad' when 'signup' then case when event_id % 40 = 7 then 'blocked' else 'ok' end else 'ok' end"
+_RUN = f"""
+with o as (select user_id, event_id, ts, {_KIND} as kind from events),
+a as (select *, sum((kind <> 'network')::int) over w as answers, sum((kind = 'ok')::int) over w as goods from o window w as (partition by user_id order by ts, event_id rows unbounded preceding)),
+b as (select *, sum((kind = 'network')::int) over (partition by user_id, answers order by ts, event_id rows unbounded preceding) as net, sum((kind = 'bad')::int) over (partition by user_id, goods order by ts, event_id rows unbounded preceding) as bad from a),
+c as (select *, kind = 'network' and net % 2 = 0 as tripped from b),
+d as (select *, sum(tripped::int) over (partition by user_id order by ts, event_id rows unbounded preceding) as trips from c),
+e as (select *, case when kind = 'blocked' then 'blocked' when kind = 'bad' and bad >= 3 then 'layout_changed' when tripped and trips >= 2 then 'network' end as ended from d),
+f as (select *, count(ended) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as over_ from e)"""
+
+
+@query(f"""{_RUN}
+select user_id, count(*) filter (kind = 'ok') as done, count(*) filter (kind in ('bad', 'network')) as failed, count(*) filter (tripped) as trips, max(ended) as ended,
+  case max(ended) when 'blocked' then 2 when 'layout_changed' then 3 else 0 end as code from f where over_ = 0 group by 1""")
+def run_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users' events as runs over cards: what each run got done before it was blocked, met a changed layout, or gave up on the network; and its code."""
+    o = table(spark, sf_dir, "events").selectExpr("user_id", "event_id", "ts", f"{_KIND} as kind")
+    return registry.run_results(registry.processed(o, "user_id", ["ts", "event_id"], breaker=2, trips=2), "user_id")
+
+
 @query(f"select id, 'new' as reason, price, cast(null as double) as old_price from ({_WINDOW})")
 def window_all_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every id of the window is new; a warm-up adds nothing."""
@@ -774,9 +808,68 @@ def detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("id", "url", "title", "price", "rooms", "square_m2", "floor", "floor_total", "street", "complex_id", "complex_alias", "complex_name", "bathrooms_count", "full_description", "photo_count", "photo_set_hash", "owner_name", "is_identity_confirmed", "price_m2", "added_at")
 
 
-@query("select cast(page_id as varchar) as id from pages where page_id % 4 = 1")
+_BROKEN = """case k % 12 when 1 then html when 5 then concat(html, '<script>window.data = {"advert":{"title":};</script>') else concat(html, '<script>window.data = {"other":{}};</script>') end"""
+
+
+@query("select cast(page_id as varchar) as id, case page_id % 12 when 1 then 'no data' when 5 then 'bad JSON' else 'no advert' end as reason from pages where page_id % 4 = 1")
 def quarantined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.parse_detail(_detail_pages(spark, sf_dir), "now")[1]
+    """Pages that give no listing, and why: without data, with broken data, or without an advert in it."""
+    pages_ = _detail_pages(spark, sf_dir).withColumn("k", F.col("id"))
+    broken = pages_.filter("k % 4 = 1").selectExpr("id", f"{_BROKEN} as html")
+    return pages.parse_detail(pages_.filter("k % 4 <> 1").select("id", "html").unionByName(broken), "now")[1]
+
+
+@query("""
+select cast(k as varchar) as id, 't' || k as title, (k * 10)::bigint as price, 'own' || k as owner, case when k % 2 = 0 then 'true' else 'false' end as checked,
+  case when k % 2 = 1 then k * 1.5 end as score, case when k % 2 = 1 then 'p' || k end as plan from (select page_id as k from pages) where k % 4 <> 1""")
+def landed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of stored variants: known ones, and ones that the parser's struct doesn't have."""
+    path = own_dir(spark, "landed")
+    extra = """replace(html, '"advert":{', concat('"advert":{', case when id % 2 = 1 then concat('"rank":{"score":', id * 1.5, ',"plan":"p', id, '"},') else '' end))"""
+    pages.landed(_detail_pages(spark, sf_dir).selectExpr("id", f"{extra} as html")).select("id", "data").write.parquet(f"{path}/t")
+    d, get = spark.read.parquet(f"{path}/t").filter("data is not null"), pages.field
+    v = F.col("data")
+    return d.select(
+        F.col("id").cast("string").alias("id"), get(v, "$.advert.title").alias("title"), get(v, "$.advert.price", "long").alias("price"), get(v, "$.advert.ownerName").alias("owner"),
+        get(v, "$.adverts[0].owner.isChecked").alias("checked"), get(v, "$.advert.rank.score", "double").alias("score"), get(v, "$.advert.rank.plan").alias("plan"),
+    )
+
+
+@query(ORACLE["detail_rows"])
+def landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listings of detail pages, by the variants that were stored when they landed."""
+    path = own_dir(spark, "landed")
+    pages.landed(_detail_pages(spark, sf_dir)).write.parquet(f"{path}/t")
+    good, _ = pages.parse_detail(spark.read.parquet(f"{path}/t"), "now", url_prefix="u/", data="data")
+    return good.select(*detail_rows(spark, sf_dir).columns)
+
+
+# list pages page_id: every tenth is empty, two cards each otherwise, one of them on many pages; all say that there are 40 pages
+_LISTED = """concat(html, '<script>window.digitalData = {"listing":{"pagesCount":40}};</script>', case when page_id % 10 <> 3 then concat('<div class="a-card" data-id="', cast(page_id % 50 as string),
+  '"><b class="a-card__price">', cast(page_id as string), '</b></div><div class="a-card" data-id="p', cast(page_id as string), '"></div>') else '' end)"""
+
+
+def _merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    listed = table(spark, sf_dir, "pages").selectExpr("page_id as page_number", f"{_LISTED} as html")
+    return registry.merge_pages(pages.parse_list(listed), pages.list_outcomes(listed))
+
+
+@query("""
+select cast(page_id % 50 as varchar) as id, max(page_id) as price, max(page_id) as page_number from pages where page_id % 10 <> 3 group by 1
+union all select 'p' || page_id, null, page_id from pages where page_id % 10 <> 3""")
+def merged_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of a list scan: the last page of an id wins."""
+    return _merged(spark, sf_dir)[0].select("id", "price", "page_number")
+
+
+@query("""
+with e as (select coalesce(min(page_id), 1e9) as e from pages where page_id % 10 = 3 and page_id > 40)
+select 40::bigint as total_pages, count(*) filter (page_id % 10 <> 3) as pages_read, string_agg(page_id, ',' order by page_id) filter (page_id % 10 = 3) as skipped,
+  count(*) filter (page_id % 10 = 3) = 0 as complete, 0 as code from pages, e where page_id < e""")
+def merged_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a list scan read and missed up to the empty page after its last one, and its result's code."""
+    meta = registry.list_result(_merged(spark, sf_dir)[1])
+    return meta.select(F.col("total_pages").cast("long").alias("total_pages"), "pages_read", F.array_join(F.col("skipped_pages").cast("array<string>"), ",").alias("skipped"), "complete", "code")
 
 
 @query("select page_id, contains(html, 'cookie') or contains(html, 'the') as flagged from pages")

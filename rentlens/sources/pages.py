@@ -122,23 +122,24 @@ def detail_blocks(html: str | None) -> dict:
 
 
 def _mapped(pages: DataFrame, html: str, name: str, kind: T.DataType, arrow: pa.DataType, parse) -> DataFrame:
-    """pages with what parse makes of each page; null for a page that it can't take, as one bad page must not stop the rest."""
+    """pages with what parse makes of each page; null for a page that it can't take, with the error's text in `name`_error, as one bad page must not stop the rest."""
     ship(pages.sparkSession)
+    error = f"{name}_error"
 
     def guarded(h: str | None):
         try:
-            return parse(h)
-        except Exception:
-            return None
+            return parse(h), None
+        except Exception as e:
+            return None, f"{type(e).__name__}: {e}"[:200]
 
-    others = [c for c in pages.columns if c != name]
+    others = [c for c in pages.columns if c not in (name, error)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([guarded(h) for h in batch.column(html).to_pylist()], arrow)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), made], [*others, name])
+            made = [guarded(h) for h in batch.column(html).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array([m for m, _ in made], arrow), pa.array([e for _, e in made], pa.string())], [*others, name, error])
 
-    return pages.select(others).mapInArrow(run, T.StructType([*(pages.schema[c] for c in others), T.StructField(name, kind)]))
+    return pages.select(others).mapInArrow(run, T.StructType([*(pages.schema[c] for c in others), T.StructField(name, kind), T.StructField(error, T.StringType())]))
 
 
 def _carded(pages: DataFrame, html: str, page: str) -> DataFrame:
@@ -181,6 +182,37 @@ def payload(html: Column) -> Column:
     return F.from_json(payload_text(html), PAYLOAD, {"mode": "PERMISSIVE"})
 
 
+def landed(pages: DataFrame, html: str = "html", name: str = "data") -> DataFrame:
+    """pages with the data object as a variant, parsed once, for a table that is stored: all fields are kept, also those that nobody knows yet. Bad JSON is null."""
+    return pages.withColumn(name, F.try_parse_json(payload_text(F.col(html))))
+
+
+def field(data: Column, path: str, kind: str = "string") -> Column:
+    """A field of a variant by its JSON path; null where it is missing or of another kind."""
+    return F.try_variant_get(data, path, kind)
+
+
+def _struct_of(data: Column) -> Column:
+    """The known part of a variant as the struct that payload makes, field by field, as one odd field must not cost the others."""
+    kind = T.StructType.fromDDL(PAYLOAD)
+
+    def of(value: Column, t: T.DataType) -> Column:
+        if isinstance(t, T.StructType):
+            there = F.try_variant_get(value, "$", "map<string, variant>").isNotNull()
+            return F.when(there, F.struct(*[of(F.try_variant_get(value, f"$.{f.name}", "variant"), f.dataType).alias(f.name) for f in t]))
+        if isinstance(t, T.ArrayType):
+            return F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: of(x, t.elementType))
+        return F.try_variant_get(value, "$", "string")
+
+    return of(data, kind)
+
+
+def reason_of(html: Column) -> Column:
+    """Why a page gives no advert: no data, bad JSON, or no advert in it."""
+    text = payload_text(html)
+    return F.when(F.coalesce(text, F.lit("")) == "", "no data").when(F.try_parse_json(text).isNull(), "bad JSON").otherwise("no advert")
+
+
 def is_challenge(html: Column, markers: list[str]) -> Column:
     """Whether a landed page is a challenge page by one of the markers given."""
     out = F.lit(False)
@@ -197,8 +229,10 @@ def links_of(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit('<a [^>]*href="([^"]*)"'), 1)
 
 
-def parse_detail(pages: DataFrame, scraped_at: str, page_id: str = "id", html: str = "html", url_prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """(listing rows, quarantined ids): pages without an advert, or that can't be parsed, are set aside."""
+def parse_detail(pages: DataFrame, scraped_at: str, page_id: str = "id", html: str = "html", url_prefix: str = "", data: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(listing rows, quarantine): pages without an advert, or that can't be parsed, are set aside by id and reason (no data, bad JSON, no advert, or the parser's error).
+
+    data names a variant column of landed pages, which is then read instead of the page's JSON."""
     text, both = T.StringType(), T.StructType([T.StructField("_1", T.StringType()), T.StructField("_2", T.StringType())])
     kind = T.StructType([T.StructField("info", T.ArrayType(both)), *[T.StructField(c, text) for c in ("href", "complex", "description", "price")]])
     arrow = pa.struct([("info", pa.list_(pa.struct([("_1", pa.string()), ("_2", pa.string())]))), *[(c, pa.string()) for c in ("href", "complex", "description", "price")]])
@@ -207,8 +241,11 @@ def parse_detail(pages: DataFrame, scraped_at: str, page_id: str = "id", html: s
         b = detail_blocks(h)
         return b | {"info": [{"_1": k, "_2": v} for k, v in b["info"]]}
 
-    found = _mapped(pages.select(page_id, html), html, "b", kind, arrow, blocks)
-    d = found.select(F.col(page_id).cast("string").alias("id"), payload(F.col(html)).alias("d"), "b", F.map_from_entries("b.info").alias("info"))
+    known = payload(F.col(html)) if data is None else _struct_of(F.col(data))
+    # typed columns first, as variants don't go through Arrow
+    read = pages.select(F.col(page_id).cast("string").alias("id"), F.col(html).alias("html"), known.alias("d"))
+    found = _mapped(read, "html", "b", kind, arrow, blocks)
+    d = found.select("id", "d", "b", F.map_from_entries("b.info").alias("info"), F.coalesce("b_error", reason_of(F.col("html"))).alias("reason"))
     good = F.col("d.advert").isNotNull() & F.col("b").isNotNull()
     ad, extra = F.col("d.advert"), F.get(F.col("d.adverts"), F.lit(0))
     owner = extra["owner"]
@@ -227,4 +264,4 @@ def parse_detail(pages: DataFrame, scraped_at: str, page_id: str = "id", html: s
     }
     from ..schema import SITE_COLUMNS
 
-    return d.filter(good).select(*[columns[c].alias(c) for c in SITE_COLUMNS]), d.filter(~good).select("id")
+    return d.filter(good).select(*[columns[c].alias(c) for c in SITE_COLUMNS]), d.filter(~good).select("id", "reason")
