@@ -6,7 +6,8 @@
    sums its part of the normal equations (features x features, a fixed size); the parts are added in two
    rounds and solved with a ridge on the driver.
 3. Isotonic calibration: the training rows' raw scores are counted in fixed bins, pooled where
-   they don't ascend, and interpolated between the pools.
+   they don't ascend, and interpolated between the pools. A row's raw score for that is one by the rows of the other folds: sums
+   are kept by fold, so leaving one out is a subtraction, and no row calibrates weights that it helped to fit.
 
 A null or empty text has statistics like any other (zeros) and so a score. Training rows
 without a label don't count; without any training row all scores are 0.5. Rows are independent, equal texts get equal scores up to rounding. Texts of any length are read
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +33,7 @@ KINDS = {
     "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "symbol": "#*$%&<>", "bar": "|", "mark": "!?", "stop": ".", "comma": ",;:", "bracket": "()[]{}", "line": "\n", "blank": " \t\r", "other": "\"'`~@^_+=/\\-",
 }
 NAMES = ["log_chars", "log_words", "word_length", *KINDS, "wide", "distinct", "again", "lines_distinct", "words_a_line", "lines_ended", "distinct_root"]
-BINS = 2000
+BINS, FOLDS = 2000, 4
 
 
 def _class_table() -> np.ndarray:
@@ -140,9 +141,14 @@ def pooled(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.
     return p[:, 0] / p[:, 2], p[:, 1] / p[:, 2]
 
 
+def fold(stats: str) -> Column:
+    """The calibration fold of a row, by its statistics."""
+    return F.pmod(F.xxhash64(stats), F.lit(FOLDS)).cast("int")
+
+
 def fit(df: DataFrame, stats: str = "stats", label: str = "label", *, features: int = 256, width: float = 4.0, ridge: float = 1e-3, seed: int = 7) -> Model:
     """Fit to the rows whose label (0 to 1) isn't null. Only sums of a fixed size reach the driver."""
-    rows = cut(df.filter(F.col(label).isNotNull()).select(F.col(stats).alias("s"), F.col(label).cast("double").alias("y")))
+    rows = cut(df.filter(F.col(label).isNotNull()).select(F.col(stats).alias("s"), F.col(label).cast("double").alias("y"), fold(stats).alias("f")))
     k = len(NAMES)
 
     def moments(batch: pa.RecordBatch) -> np.ndarray:
@@ -157,15 +163,25 @@ def fit(df: DataFrame, stats: str = "stats", label: str = "label", *, features:
     model = Model(mean, np.where(std > 1e-9, std, 1), features, width, seed)
 
     def normal(batch: pa.RecordBatch) -> np.ndarray:
-        z = model.features(_matrix(batch.column("s")))
-        return np.hstack([z.T @ z, (z.T @ batch.column("y").to_numpy())[:, None]])
+        z, f = model.features(_matrix(batch.column("s"))), batch.column("f").to_numpy()
+        y = batch.column("y").to_numpy()
+        parts = [(z[f == k], y[f == k]) for k in range(FOLDS)]
+        return np.stack([np.hstack([a.T @ a, (a.T @ b)[:, None]]) for a, b in parts])
+
+    folds = _summed(rows, normal, (FOLDS, features + 1, features + 2))
+
+    def solved(equations: np.ndarray) -> np.ndarray:
+        n = equations[-1, -2]  # the constant's square, summed
+        return np.linalg.solve(equations[:, :-1] + ridge * max(n, 1) / features * np.eye(features + 1), equations[:, -1])
 
-    equations = _summed(rows, normal, (features + 1, features + 2))
-    left = equations[:, :-1] + ridge * count[0] / features * np.eye(features + 1)
-    model.beta = np.linalg.solve(left, equations[:, -1])
+    whole = folds.sum(axis=0)
+    model.beta = solved(whole)
+    without = np.stack([solved(whole - part) for part in folds])
 
     def binned(batch: pa.RecordBatch) -> np.ndarray:
-        raw, y = model.raw(_matrix(batch.column("s"))), batch.column("y").to_numpy()
+        y = batch.column("y").to_numpy()
+        # each row's score by the weights of the other folds
+        raw = np.einsum("ij,ij->i", model.features(_matrix(batch.column("s"))), without[batch.column("f").to_numpy()])
         at = np.clip(((raw + 0.5) * BINS / 2).astype(int), 0, BINS - 1)
         return np.vstack([np.bincount(at, w, BINS) for w in (np.ones(len(y)), raw, y)])
 

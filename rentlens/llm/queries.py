@@ -20,7 +20,8 @@ def vocabulary(name: str) -> str:
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", language_id.bucket("doc_id", 3) == 1)
+    """Scores of all documents; a null id is in no fold and has no label."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", F.coalesce(language_id.bucket("doc_id", 3) == 1, F.lit(False)))
     stats = cut(quality.describe(docs))
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.avg("quality").alias("label"))
     model = quality.fit(stats.filter(~F.col("held_out")).join(labels, "doc_id"))
@@ -57,7 +58,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.bucket("doc_id", 4) == 2)
+    """Languages of all documents; one with a null id is not held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(language_id.bucket("doc_id", 4) == 2, F.lit(False)))
     model = language_id.train(docs.filter(~F.col("held_out")), "text", "lang")
     return language_id.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 

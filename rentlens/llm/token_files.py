@@ -13,7 +13,7 @@ from known ones, and the document's place. A lookup costs a few probes, however
 File names follow from the partition; a file is written under a name of the attempt and then renamed,
 so retried or speculative tasks leave the same bytes. Null text is empty; its document has the end
 id alone. A null key sorts first and is found by None. Of rows that repeat a key all are in the
-payload, in the order of their ids' bytes; the index finds the first. Texts of any length are encoded whole. An empty table gives a manifest without shards. Other columns are ignored.
+payload, in the order of their ids' bytes; the index finds the first; they go to one task, as a key is an id. Texts of any length are encoded whole. An empty table gives a manifest without shards. Other columns are ignored.
 """
 
 from __future__ import annotations
