@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 LEAST_POINTS, DAYS, STALE_MONTHS = 3, 30.44, 3
+#: Months that a series may leave out; more are a mistyped month, and would make a calendar that is too large to broadcast.
+MOST_GAP = 1200
 FACTOR_BOUNDS = (0.5, 2.0)
 
 
@@ -29,6 +31,8 @@ def calendar(series: DataFrame) -> DataFrame:
     w = Window.orderBy("m")
     known = series.select(S.month_key_index(F.col("month")).alias("m"), "level")
     spans = known.withColumn("m1", F.lead("m").over(w)).withColumn("v1", F.lead("level").over(w))
+    wide = F.col("m1") - F.col("m") > MOST_GAP
+    spans = spans.withColumn("m1", F.when(wide, F.raise_error(F.concat(F.lit("the series has no month for too long after month "), F.col("m").cast("string"))).cast("int")).otherwise(F.col("m1")))
     months = spans.select("m", "level", "v1", "m1", F.explode(F.sequence(F.col("m"), F.coalesce(F.col("m1") - 1, F.col("m")))).alias("at"))
     line = F.col("level") + (F.coalesce("v1", "level") - F.col("level")) * F.coalesce(F.try_divide(F.col("at") - F.col("m"), F.col("m1") - F.col("m")), F.lit(0.0))
     return months.select(F.col("at").alias("m"), line.alias("cur"), F.coalesce("v1", "level").alias("nxt"))

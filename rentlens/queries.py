@@ -565,11 +565,12 @@ def published_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select k, case when k % 2 = 0 then case when k * 3600 > 14400 then 'broken' else 'starting' end when k * 1800 > 14400 then 'stale' else 'ok' end as state,
-  case when (k % 2 = 0 and k * 3600 > 14400) or (k % 2 = 1 and k * 1800 > 14400) then 503 else 200 end as code from (select n_nationkey as k from nation)""")
+select event_id, case when k % 2 = 0 then case when k * 7 > 14400 then 'broken' else 'starting' end when k * 5 > 14400 then 'stale' else 'ok' end as state,
+  case when (k % 2 = 0 and k * 7 > 14400) or (k % 2 = 1 and k * 5 > 14400) then 503 else 200 end as code from (select event_id, event_id % 5000 as k from events)""")
 def health_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
-    return n.select("k", serve.health(F.col("k") % 2 == 1, F.col("k") * 1800, F.col("k") * 3600).alias("h")).select("k", "h.state", "h.code")
+    """The state of a service at many moments, by the age of its version and how long it has been up."""
+    n = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 5000).alias("k"))
+    return n.select("event_id", serve.health(F.col("k") % 2 == 1, F.col("k") * 5, F.col("k") * 7).alias("h")).select("event_id", "h.state", "h.code")
 
 
 @query("select page_id, nullif(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '') as title from pages")
@@ -628,12 +629,13 @@ def ids_of_either(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 select n as page_number, case when n % 5 = 0 then null when n % 5 = 1 then nullif(n - 1, 0) else n end as total_pages, n % 3 <> 0 as ok, n % 3 = 0 and n % 5 = 1 and n > 1 as ended
-from (select n_nationkey as n from nation)""")
+from (select page_id as n from pages)""")
 def list_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("page_number"))
+    """What a scan may conclude from list pages: some without cards, some that say how many pages there are."""
+    n = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page_number"), "html")
     count = "case when page_number % 5 = 0 then '' else concat('<script>window.digitalData = {\"listing\":{\"pagesCount\":', case when page_number % 5 = 1 then page_number - 1 else page_number end, '}};</script>') end"
     card = "case when page_number % 3 <> 0 then '<div class=\"a-card\" data-id=\"1\"></div>' else '' end"
-    return pages.list_outcomes(n.selectExpr("page_number", f"concat({count}, {card}) as html")).withColumn("total_pages", F.col("total_pages").cast("long"))
+    return pages.list_outcomes(n.selectExpr("page_number", f"concat(html, {count}, {card}) as html")).withColumn("total_pages", F.col("total_pages").cast("long"))
 
 
 @query(f"""
@@ -711,12 +713,11 @@ def moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", S.moment(F.concat(text, tail)).cast("long").alias("at"))
 
 
-@query("select n_nationkey as k, n_nationkey % 2 = 0 and n_nationkey <= 6 as fresh from nation")
+@query("select event_id, event_id % 2 = 0 and 1705406400 - floor(epoch(ts))::bigint <= 10800 as fresh from events")
 def snapshot_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots finished k half hours before the time asked about; every odd one is incomplete."""
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
-    finished = S.iso(F.lit("2024-03-01T12:00:00+00:00").cast("timestamp") - F.make_dt_interval(mins=F.col("k").cast("int") * 30))
-    return n.select("k", registry.is_fresh(F.col("k") % 2 == 0, finished, "2024-03-01T12:00:00+00:00").alias("fresh"))
+    """Snapshots finished at the events' times, every odd one incomplete; asked about at noon of 16 January."""
+    finished = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return table(spark, sf_dir, "events").select("event_id", registry.is_fresh(F.col("event_id") % 2 == 0, finished, "2024-01-16T12:00:00+00:00").alias("fresh"))
 
 
 # closeness, buckets and digests
@@ -896,12 +897,12 @@ def series_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_index.rows(monthly_index.levels(tables.read_series(spark, f"{path}/s.json")))
 
 
-@query("select n_nationkey as k, n_nationkey > 3 as stale from nation")
+@query("select o_orderkey, year(o_orderdate) * 12 + month(o_orderdate) - 1 - (2001 * 12) > 3 as stale from orders")
 def stale_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether the series is stale k months after its last one."""
+    """Whether the series is stale at the dates of orders."""
     last = monthly_index.levels(X.series(spark)).agg(F.max(S.month_key_index(F.col("month"))).alias("m"))
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k")).join(F.broadcast(last))  # one row
-    return n.select("k", monthly_index.over_stale(F.col("m") + F.col("k"), F.col("m")).alias("stale"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d")).join(F.broadcast(last))  # one row
+    return o.select("o_orderkey", monthly_index.over_stale(S.month_index(F.col("d")), F.col("m")).alias("stale"))
 
 
 @query(f"select id, price::bigint as price from ({L}) where doc_id % 3 <> 0 and status = 'active'")
@@ -949,13 +950,12 @@ def reason_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select n_nationkey as k, case when n_nationkey * 700 >= 3600 then (n_nationkey * 700 // 3600) || 'h ' || lpad((n_nationkey * 700 % 3600 // 60)::varchar, 2, '0') || 'm'
-  else (n_nationkey * 700 // 60) || 'm ' || lpad((n_nationkey * 700 % 60)::varchar, 2, '0') || 's' end as took,
-  strftime(timestamp '2024-03-01 12:00:00' + to_seconds(n_nationkey), '%Y-%m-%dT%H:%M:%S+00:00') as at from nation""")
+select o_orderkey, case when k >= 3600 then (k // 3600) || 'h ' || lpad((k % 3600 // 60)::varchar, 2, '0') || 'm' else (k // 60) || 'm ' || lpad((k % 60)::varchar, 2, '0') || 's' end as took,
+  strftime(timestamp '2024-03-01 12:00:00' + to_seconds(k), '%Y-%m-%dT%H:%M:%S+00:00') as at from (select o_orderkey, o_orderkey % 20000 as k from orders)""")
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("k"))
+    n = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % 20000).cast("int").alias("k"))
     at = F.lit("2024-03-01T12:00:00+00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("k").cast("decimal(18,6)"))
-    return n.select("k", S.duration_text(F.col("k") * 700).alias("took"), S.iso(at).alias("at"))
+    return n.select("o_orderkey", S.duration_text(F.col("k")).alias("took"), S.iso(at).alias("at"))
 
 
 @query(f"select cast(id as varchar) as id, seq, price, old_price, kind from ({_POINTS})")

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from rentlens import schema
@@ -219,3 +220,10 @@ def test_index(spark):
         assert r["level"] == r["want"]
     assert one(spark, monthly_index.guarded(F.lit(2.5))) == 1.0
     assert monthly_index.is_stale(levels, "2027-01-01").first()["stale"]
+
+
+def test_mistyped_month(spark):
+    """A month far from the others raises instead of filling a calendar."""
+    series = spark.createDataFrame([("2024-01", 1.0), ("2024-02", 1.1), ("9024-03", 1.2)], "month string, level double")
+    with pytest.raises(Exception, match="no month for too long"):
+        monthly_index.calendar(series).collect()
