@@ -3,8 +3,8 @@
 1. describe(): statistics of each whole text (lengths, shares of kinds of characters, repetition of
    words and lines, line ends).
 2. fit(): standardised statistics go through random cosines, whose inner products approximate a Gaussian kernel. Each partition
-   sums its part of the normal equations (features x features, a fixed size); the parts are added in two
-   rounds and solved with a ridge on the driver.
+   sums its part of the normal equations (features x features, a fixed size); the parts are added line by
+   line of the equations and solved with a ridge on the driver, which gets each line once.
 3. Isotonic calibration: the training rows' raw scores are counted in fixed bins, pooled where
    they don't ascend, and interpolated between the pools. A row's raw score for that is one by the rows of the other folds: sums
    are kept by fold, so leaving one out is a subtraction, and no row calibrates weights that it helped to fit.
@@ -20,7 +20,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,25 +83,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _summed(df: DataFrame, make, shape: tuple[int, ...]) -> np.ndarray:
-    """Sum over all rows of make(batch), an array of a fixed shape: by partition, then in two rounds. df is cut, so its partitions are known without running it."""
+    """Sum over all rows of make(batch), an array of a fixed shape: by partition, then line by line of the arrays, so that the driver gets each line once, however many partitions there are."""
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape)
+        total = None
         for batch in batches:
-            total += make(batch)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()])], ["part", "sums"])
+            if batch.num_rows:
+                total = make(batch) if total is None else total + make(batch)
+        if total is not None:
+            lines = total.reshape(-1, shape[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(lines))), pa.array([x.tobytes() for x in lines])], ["line", "sums"])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape)
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for x in batch.column("sums"):
-                total += np.frombuffer(x.as_buffer(), np.float64).reshape(shape)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()])], ["part", "sums"])
-
-    kinds = "part long, sums binary"
-    rounds = max(1, int(df.rdd.getNumPartitions() ** 0.5))
-    rows = df.mapInArrow(parts, kinds).repartition(rounds, "part").mapInArrow(added, kinds).collect()
-    return sum((np.frombuffer(r["sums"], np.float64).reshape(shape) for r in rows), np.zeros(shape))
+            for i, x in zip(batch.column("line").to_pylist(), batch.column("sums")):
+                total[i] = np.frombuffer(x.as_buffer(), np.float64) + total.get(i, 0)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["line", "sums"])
+
+    kinds = "line long, sums binary"
+    out = np.zeros(shape)
+    for r in df.mapInArrow(parts, kinds).repartition("line").mapInArrow(added, kinds).collect():
+        out.reshape(-1, shape[-1])[r["line"]] = np.frombuffer(r["sums"], np.float64)
+    return out
 
 
 class Model:
