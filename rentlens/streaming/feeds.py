@@ -146,7 +146,8 @@ class Sightings(StatefulProcessor):
         moments = waiting[:1] + ([last + self.grace] if last is not None and not missing else [])
         if moments:
             self.handle.registerTimer(min(moments))
-        yield pd.DataFrame(out, columns=["id", "reason", "at_ms"])
+        if out:
+            yield pd.DataFrame(out, columns=["id", "reason", "at_ms"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new: list[int] = []
