@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import scalars as S
 from ..session import cut
-from .segments import MOST_ROWS, running
+from .segments import MOST_ROWS, Dealt, running
 
 #: Attempts before an id is given up, bad cards in a row that mean a changed layout, seconds before an unseen id is missing.
 MAX_ATTEMPTS = 4
@@ -247,18 +247,13 @@ def processed(outcomes: DataFrame, run: str, order: list[str], kind: str = "kind
     Kinds: ok (a complete card), bad (an answer without one), network (no answer), blocked. `breaker` network failures with no answer between them trip the breaker and are
     counted anew; at its `trips`-th trip the run gives up. `streak` bad cards with no good one between them, failures aside, mean a changed layout. The first
     of these ends the run; later rows weren't fetched. All by running sums, so a run of any length is dealt to many tasks."""
-    steps = [
-        ("__net", F.when(F.col(kind) == "network", 1).otherwise(0), "sum"),
-        ("__net_before", F.when(F.col(kind) != "network", F.col("__net")), "last"),
-        ("__bad", F.when(F.col(kind) == "bad", 1).otherwise(0), "sum"),
-        ("__bad_before", F.when(F.col(kind) == "ok", F.col("__bad")), "last"),
-    ]
-    out = outcomes
-    for name, value, how in steps:
-        out = running(out, run, order, value, how, name, most_rows)
+    one = lambda test: F.when(test, 1).otherwise(0)
+    dealt = Dealt(outcomes, run, order, most_rows)
+    dealt.add("__net", one(F.col(kind) == "network"), "sum").add("__net_before", F.when(F.col(kind) != "network", F.col("__net")), "last")
+    dealt.add("__bad", one(F.col(kind) == "bad"), "sum").add("__bad_before", F.when(F.col(kind) == "ok", F.col("__bad")), "last")
     failures = F.col("__net") - F.coalesce("__net_before", F.lit(0))
-    tripped = (F.col(kind) == "network") & (failures % breaker == 0)
-    out = running(out.withColumn("__tripped", F.when(tripped, 1).otherwise(0)), run, order, F.col("__tripped"), "sum", "__trips", most_rows)
+    dealt.make("__tripped", one((F.col(kind) == "network") & (failures % breaker == 0)))
+    out = dealt.add("__trips", F.col("__tripped"), "sum").rows()
     bad = F.col("__bad") - F.coalesce("__bad_before", F.lit(0))
     ended = F.when(F.col(kind) == "blocked", "blocked").when((F.col(kind) == "bad") & (bad >= streak), "layout_changed").when((F.col("__tripped") == 1) & (F.col("__trips") >= trips), "network")
     flagged = out.withColumns({"trip": F.when(F.col("__tripped") == 1, F.col("__trips")), "ended": ended})

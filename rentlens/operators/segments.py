@@ -24,30 +24,53 @@ MOST_ROWS, FEW_KEYS = 2_000_000, 100_000
 KEY, SEGMENT, BEFORE = "__hot_key", "__segment", "__before"
 
 
-def running(df: DataFrame, key: str, order: list[str], value: Column, kind: str, name: str, most: int = MOST_ROWS) -> DataFrame:
-    """df with the running value of its rows in a column `name`."""
-
-    def within(*group: str) -> Column:
-        w = Window.partitionBy(*group).orderBy(*order)
+class Dealt:
+    """The rows of a table by key in order, for one running value after another: ordinary keys as they are, hot ones in segments.
+
+    Hot keys are counted and dealt once, however many values follow; a value may use those added before it."""
+
+    def __init__(self, df: DataFrame, key: str, order: list[str], most: int = MOST_ROWS):
+        self.key, self.order, self.cold, self.hot = key, order, df, None
+        hot = cut(df.groupBy(F.col(key).alias(KEY)).agg(F.count("*").alias("__n")).filter(F.col("__n") > most).withColumn("__hot", F.lit(True)))
+        size = hot.agg(F.count("*").alias("keys"), F.sum("__n").alias("rows")).first()
+        if size["keys"]:
+            segments = -(-2 * size["rows"] // most)
+            self.small = size["keys"] + segments <= FEW_KEYS  # as are the tables of hot keys, and of segments by key
+            few = hot.select(KEY, "__hot")
+            marked = df.join(F.broadcast(few) if self.small else few, F.col(key).eqNullSafe(F.col(KEY)), "left").drop(KEY)
+            self.cold = marked.filter(F.col("__hot").isNull()).drop("__hot")
+            # a task for each segment
+            self.hot = segmented(marked.filter("__hot").drop("__hot"), key, order, segments).repartitionById(segments, F.col(SEGMENT))
+
+    def _within(self, value: Column, kind: str, *group: str) -> Column:
+        w = Window.partitionBy(*group).orderBy(*self.order)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return {"last": F.last(value, ignorenulls=True).over(so_far), "previous": F.lag(value).over(w), "sum": F.sum(value).over(so_far)}[kind]
 
-    hot = cut(df.groupBy(F.col(key).alias(KEY)).agg(F.count("*").alias("__n")).filter(F.col("__n") > most).withColumn("__hot", F.lit(True)))
-    size = hot.agg(F.count("*").alias("keys"), F.sum("__n").alias("rows")).first()
-    if not size["keys"]:
-        return df.withColumn(name, within(key))
-    segments = -(-2 * size["rows"] // most)
-    small = size["keys"] + segments <= FEW_KEYS  # as are the tables of hot keys, and of segments by key
-    few = hot.select(KEY, "__hot")
-    marked = df.join(F.broadcast(few) if small else few, F.col(key).eqNullSafe(F.col(KEY)), "left").drop(KEY)
-    cold = marked.filter(F.col("__hot").isNull()).drop("__hot").withColumn(name, within(key))
-    rows = segmented(marked.filter("__hot").drop("__hot"), key, order, segments)
-    left = _left_behind(rows, key, order, value, kind)
-    # segments are alike in size, so ranges of them are too
-    inside = rows.repartitionByRange(segments, SEGMENT).withColumn(name, within(SEGMENT, key))
-    both = inside.join(F.broadcast(left) if small else left, (F.col(SEGMENT) == F.col("__s")) & F.col(key).eqNullSafe(F.col(KEY)), "left")
-    total = F.coalesce(F.col(name) + F.col(BEFORE), F.col(name), F.col(BEFORE)) if kind == "sum" else F.coalesce(name, BEFORE)
-    return cold.unionByName(both.withColumn(name, total).drop(SEGMENT, KEY, "__s", BEFORE))
+    def add(self, name: str, value: Column, kind: str) -> Dealt:
+        """Add the running value as a column."""
+        self.cold = self.cold.withColumn(name, self._within(value, kind, self.key))
+        if self.hot is not None:
+            left = _left_behind(self.hot, self.key, self.order, value, kind)
+            inside = self.hot.withColumn(name, self._within(value, kind, SEGMENT, self.key))
+            both = inside.join(F.broadcast(left) if self.small else left, (F.col(SEGMENT) == F.col("__s")) & F.col(self.key).eqNullSafe(F.col(KEY)), "left")
+            total = F.coalesce(F.col(name) + F.col(BEFORE), F.col(name), F.col(BEFORE)) if kind == "sum" else F.coalesce(name, BEFORE)
+            self.hot = both.withColumn(name, total).drop(KEY, "__s", BEFORE)
+        return self
+
+    def make(self, name: str, value: Column) -> Dealt:
+        """Add a column that needs no other rows."""
+        self.cold = self.cold.withColumn(name, value)
+        self.hot = None if self.hot is None else self.hot.withColumn(name, value)
+        return self
+
+    def rows(self) -> DataFrame:
+        return self.cold if self.hot is None else self.cold.unionByName(self.hot.drop(SEGMENT))
+
+
+def running(df: DataFrame, key: str, order: list[str], value: Column, kind: str, name: str, most: int = MOST_ROWS) -> DataFrame:
+    """df with the running value of its rows in a column `name`."""
+    return Dealt(df, key, order, most).add(name, value, kind).rows()
 
 
 def segmented(rows: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
@@ -79,5 +102,5 @@ def numbered(df: DataFrame, order: list[Column | str], name: str, first: int = 0
         at += size
     starts = spark.createDataFrame(before, f"__s int, {BEFORE} long")
     within = F.row_number().over(Window.partitionBy(SEGMENT).orderBy(*keys))
-    out = rows.repartitionByRange(n, SEGMENT).withColumn(name, within).join(F.broadcast(starts), F.col(SEGMENT) == F.col("__s"))
+    out = rows.repartitionById(n, F.col(SEGMENT)).withColumn(name, within).join(F.broadcast(starts), F.col(SEGMENT) == F.col("__s"))
     return out.withColumn(name, F.col(name) + F.col(BEFORE)).select(*[c for c in df.columns if c != name], name)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rentlens import __main__ as commands
 from rentlens import fixtures
 from rentlens.operators import registry, resolve
+from rentlens.session import cut
 from rentlens.sources import pages, sinks
 from tests.oracle import SMALL
 
@@ -32,14 +33,14 @@ def simulate(kinds, breaker, trips, streak):
     return len(kinds), tripped, None
 
 
-@pytest.mark.parametrize("most_rows", [4, 10**6])
+@pytest.mark.parametrize("most_rows", [20, 10**6])
 def test_runs_against_a_simulation(spark, most_rows):
     rng = random.Random(8)
     runs = {f"r{i}": rng.choices(["ok", "bad", "network", "blocked"], [6, 3 * rng.random(), 8 * rng.random(), 0.1], k=rng.randint(1, 60)) for i in range(40)}
     rows = [(r, i, f"{r}-{i}", k) for r, kinds in runs.items() for i, k in enumerate(kinds)]
     df = spark.createDataFrame(rows, "run string, at int, id string, kind string").repartition(3)
     how = {"breaker": 3, "trips": 2, "streak": 3, "most_rows": most_rows}
-    done = registry.processed(df, "run", ["at"], **how)
+    done = cut(registry.processed(df, "run", ["at"], **how))
     assert done.columns == ["run", "at", "id", "kind", "trip", "ended"]
     got = {r["run"]: r for r in registry.run_results(done, "run").collect()}
     n = {r["run"]: r["count"] for r in done.groupBy("run").count().collect()}
@@ -52,7 +53,7 @@ def test_runs_against_a_simulation(spark, most_rows):
         endings.add(ended)
     assert endings == {None, "blocked", "network", "layout_changed"}
     details = df.select("id", F.lit(1).alias("price"), F.lit(1).alias("rooms"), F.when(F.col("at") == 2, None).otherwise(1.0).alias("square_m2"))
-    complete, bad, results = registry.window_details(df, details, "run", ["at"], **how)
+    complete, bad, results = registry.window_details(df, details, "run", ["at"], **how | {"most_rows": 10**6})
     assert {r["id"] for r in bad.collect()} == {r["id"] for r in done.filter("kind = 'bad'").collect()} and results.count() == len(runs)
     assert {r["id"] for r in complete.collect()} == {r["id"] for r in done.filter("kind = 'ok' and at <> 2").collect()}
     assert registry.run_results(registry.processed(df.limit(0), "run", ["at"]), "run").count() == 0
