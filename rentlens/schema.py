@@ -16,7 +16,7 @@ LISTING_COLUMNS = SITE_COLUMNS + LIFECYCLE_COLUMNS
 LONG_COLUMNS = {"price", "price_m2", "rooms", "floor", "floor_total", "complex_id", "photo_count", "is_identity_confirmed"}
 DOUBLE_COLUMNS = {"square_m2", "latitude", "longitude"}
 REQUIRED = ("price", "rooms", "square_m2")
-#: Columns of old seed files that are known and ignored.
+#: Columns of old seed files that are known and ignored.
 IGNORED_SEED_COLUMNS = ["finish_type", "red_flags", "premium_markers", "extra_attributes", "requires_manual_review", "llm_skipped_error", "is_live", "is_installment_segment"]
 
 
