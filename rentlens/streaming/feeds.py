@@ -165,9 +165,12 @@ class Sightings(StatefulProcessor):
 def missing_timeline(sightings: DataFrame, late: str = "1 day", grace_s: int = GRACE_S) -> DataFrame:
     """(id, reason missing or revived, at_ms) of a stream of sightings (id, seen_at), which may come up to `late` out of order; later ones are ignored.
 
+    Times count to the nearest millisecond (halves go away from zero), the watermark's too; a sighting without a time says nothing.
     Needs the state store that timers need: start its query inside timers()."""
     ship(sightings.sparkSession)
-    seen = sightings.select(F.col("id").cast("string").alias("id"), "seen_at", F.unix_millis("seen_at").alias("at")).withWatermark("seen_at", late)
+    at = F.expr("round(unix_micros(seen_at), -3) div 1000")  # unix_millis would cut
+    timed = sightings.filter("seen_at is not null").select(F.col("id").cast("string").alias("id"), at.alias("at"))
+    seen = timed.select("id", F.timestamp_millis("at").alias("seen_at"), "at").withWatermark("seen_at", late)
     return seen.groupBy("id").transformWithStateInPandas(Sightings(grace_s * 1000), "id string, reason string, at_ms long", "append", "EventTime")
 
 
