@@ -50,13 +50,35 @@ def sent(node):
     return own + sum(map(sent, inner))
 
 
+def long_texts(spark, n, words):
+    """Rows of one block with prices and texts of their own, but for two that are alike."""
+    texts = spark.range(n).select(F.col("id").cast("string").alias("id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.concat(F.lit("w"), F.when((F.col("id") == 1) & (i < words * 0.8), 0).otherwise(F.col("id")), F.lit("x"), i))).alias("full_description"))
+    return texts.select("*", F.pow(F.lit(2.0), F.col("id").cast("int")).alias("price"), *[F.lit(v).alias(c) for c, v in BASE.items()])
+
+
 def test_a_set_is_sent_once_for_a_block(spark, monkeypatch):
     """50 long texts make 1,225 pairs to read in one block: what is sent follows the 50 texts."""
     n, words = 50, 3000
-    texts = spark.range(n).select(F.col("id").cast("string").alias("id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.concat(F.lit("w"), F.col("id"), F.lit("x"), i))).alias("full_description"))
-    df = texts.select("*", F.pow(F.lit(2.0), F.col("id").cast("int")).alias("price"), *[F.lit(v).alias(c) for c, v in BASE.items()])
+    df = long_texts(spark, n, words)
     monkeypatch.setattr(queries.X, "listings", lambda *_, **__: df)
     with small_parts(spark):
         out = queries.QUERIES["pair_decisions"](spark, "")
-        assert {r["why"] for r in out.collect()} == {"unconfirmed"} and out.count() == n * (n - 1) // 2
+        assert {r["why"] for r in out.collect()} == {"unconfirmed", "B_text"} and out.count() == n * (n - 1) // 2
     assert n * words * 8 < sent(out._jdf.queryExecution().executedPlan()) < 4 * n * words * 8
+
+
+def test_a_dedupe_sends_a_set_once_for_a_block(spark, monkeypatch):
+    """The same of all that a dedupe writes on its way, as er_stats and published versions do."""
+    n, words, total, real = 50, 3000, [], resolve.cut
+    df = long_texts(spark, n, words)
+
+    def cut(made):
+        out = real(made)
+        total.append(sent(made._jdf.queryExecution().executedPlan()))
+        return out
+
+    monkeypatch.setattr(resolve, "cut", cut)
+    with small_parts(spark):
+        monkeypatch.setattr(queries.X, "listings", lambda *_, **__: df)
+        assert queries.QUERIES["er_stats"](spark, "").first()["candidate_pairs"] == n * (n - 1) // 2
+    assert n * words * 8 < sum(total) < 6 * n * words * 8
