@@ -82,3 +82,24 @@ def test_a_dedupe_sends_a_set_once_for_a_block(spark, monkeypatch):
         monkeypatch.setattr(queries.X, "listings", lambda *_, **__: df)
         assert queries.QUERIES["er_stats"](spark, "").first()["candidate_pairs"] == n * (n - 1) // 2
     assert n * words * 8 < sum(total) < 6 * n * words * 8
+
+
+@pytest.mark.parametrize("name", ["published_meta", "published_listing"])
+def test_a_published_version_sends_a_set_once_for_a_block(spark, monkeypatch, name):
+    """The same of the build of a version: all rows are good ones, with prices apart."""
+    n, words, total, real = 50, 3000, [], resolve.cut
+    price = F.round(100_000 * F.pow(F.lit(1.05), F.col("id").cast("int"))).cast("long")
+    texts = {"city": "Astana", "storage": "live", "status": "active"}
+    df = long_texts(spark, n, words).withColumn("price", price).select("*", *[F.lit(v).alias(c) for c, v in texts.items()])
+
+    def cut(made):
+        out = real(made)
+        total.append(sent(made._jdf.queryExecution().executedPlan()))
+        return out
+
+    monkeypatch.setattr(resolve, "cut", cut)
+    with small_parts(spark):
+        monkeypatch.setattr(queries.X, "listings", lambda *_, **__: df)
+        row = queries.QUERIES[name](spark, "").first()
+        assert row["row_count"] == n - 1 if name == "published_meta" else row["id"] == "9"
+    assert n * words * 8 < sum(total) < 6 * n * words * 8
